@@ -1,0 +1,70 @@
+import re
+from collections import Counter
+
+from fixtures import SCHEMA, documents, rows
+from pyspark.sql import functions as F
+
+from tradebars.llm import quality
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, lines = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            lines += line in seen
+            seen.add(line)
+    grams = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    twice, covered = Counter(grams), set()
+    for i, g in enumerate(grams):
+        if twice[g] > 1:
+            covered.update(range(i, i + 8))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), lines, len(covered)
+
+
+def test_counts_equal_brute_force(spark):
+    extra = [(300, "a b c d e f g h " * 5 + "\n\n x # $ <|> \n x # $ <|> \n", "en", "a", 1), (301, "one\x0btwo\x0cthree\r\n" * 4, "en", "a", 1)]
+    out = quality.counts(documents(spark, rows() + extra)).collect()
+    assert len(out) == len(rows()) + 2
+    for r in out:
+        assert tuple(r[c] for c in quality.COUNTS) == brute(r.text)
+
+
+SYMBOLS = " " + " ".join(f"{i}#$%|" for i in range(60))
+
+
+def make(n, tail="", lang="en", source="a", start=0):
+    return [(start + i, " ".join(f"word{(i * 7 + k * k) % 997}x" for k in range(40)) + tail, lang, source, 1) for i in range(n)]
+
+
+def test_junk_goes_and_clean_documents_stay(spark):
+    junk = make(10, SYMBOLS, start=1000)
+    prices = make(10, " costs $5 & more", start=2000)
+    out = {r.doc_id: r for r in quality.verdicts(documents(spark, make(300) + junk + prices + make(5, source=None, lang=None, start=3000))).collect()}
+    assert all(not out[r[0]].kept for r in junk)
+    assert all(r.kept for k, r in out.items() if not 1000 <= k < 2000)
+
+
+def test_thresholds_follow_the_group(spark):
+    """Where a source uses many symbols as a rule, they don't count against its documents."""
+    code = make(200, SYMBOLS, source="code", start=5000)
+    out = {r.doc_id: r.kept for r in quality.verdicts(documents(spark, make(300) + code)).collect()}
+    assert all(out.values())
+
+
+def test_sketches_merge(spark):
+    docs = quality.counts(documents(spark, make(100) + make(100, " $ $ $", source="b", start=500)))
+    whole = quality.sketches(docs)
+    parts = quality.sketches(docs.where("doc_id % 2 = 0")).union(quality.sketches(docs.where("doc_id % 2 = 1")))
+    a = quality.thresholds(whole).orderBy("source").collect()
+    assert a == quality.thresholds(parts).orderBy("source").collect()
+
+
+def test_empty_nulls_and_clashes(spark):
+    assert quality.verdicts(spark.createDataFrame([], SCHEMA)).count() == 0
+    out = {r.doc_id: r for r in quality.verdicts(documents(spark)).collect()}
+    assert out[100].base_failed and out[101].base_failed and not out[100].kept
+    docs = documents(spark).withColumn("kept", F.lit("mine")).withColumn("_lang", F.lit(1))
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and {r.kept for r in kept.collect()} == {"mine"}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradebars.llm import bpe, quality, tokens
+from tradebars.llm import _sql, bpe, jaccard, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_groups(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"], limit=4096)
@@ -38,8 +42,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_counts, op9_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_ngram_jaccard, op3_token_counts, op9_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_ngram_jaccard": _sql.JACCARD, "op9_quality_rules": _sql.QUALITY}
