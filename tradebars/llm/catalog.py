@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradebars.llm import _sql, bpe, jaccard, quality, tokens
+from tradebars.llm import _sql, bpe, jaccard, licenses, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_groups(_table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"], limit=4096)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.STRONG))
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["name"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *[n(k) for k in secrets.STRONG], F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -42,7 +53,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_ngram_jaccard, op3_token_counts, op9_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op9_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
