@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradebars.llm import _sql, bpe, decontaminate, jaccard, licenses, quality, secrets, tokens
+from tradebars.llm import _sql, bpe, decontaminate, html, jaccard, langid, licenses, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -57,7 +65,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op9_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op6_language_id, op7_html_text, op9_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
