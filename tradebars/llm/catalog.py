@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradebars.llm import _sql, bpe, decontaminate, html, jaccard, langid, licenses, quality, secrets, tokens
+from tradebars.llm import _sql, bpe, decontaminate, html, jaccard, langid, licenses, quality, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"), 24)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -65,7 +69,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op6_language_id, op7_html_text, op9_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op6_language_id, op7_html_text, op8_kd_shards, op9_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
