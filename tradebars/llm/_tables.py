@@ -19,11 +19,18 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
-def settle(df: DataFrame) -> DataFrame:
+#: Rows that a task writes at least where the number of rows is known.
+ROWS_A_TASK = 250_000
+
+
+def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write the rows as Parquet to the shared folder and read them again.
 
-    That cuts the lineage, survives lost executors, and gives the planner true sizes.
+    That cuts the lineage, survives lost executors, and gives the planner true sizes. Where about so many rows are known to
+    come, as many tasks write them as they need.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
     path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 import public_tokenizers
@@ -68,8 +72,32 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@functools.lru_cache(1)
+def _archive() -> str:
+    """The package as a zip file, to be shipped to executors."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="spark-"), "tradebars.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(os.path.join(top, "tradebars")):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(full := os.path.join(folder, name), os.path.relpath(full, top))
+    return path
+
+
+def _shipped(query: Query) -> Query:
+    """The query, run where executors have this package."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.addPyFile(_archive())
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op6_language_id, op7_html_text, op8_kd_shards, op9_quality_rules, op10_byte_bpe)}
+    return {f.__name__: _shipped(f) for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op6_language_id, op7_html_text, op8_kd_shards, op9_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

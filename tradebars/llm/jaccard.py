@@ -10,8 +10,10 @@ copies cost nothing beyond their own scan. The work on classes:
 2. Fragments. The whole sets of the remaining classes are cut at the fragments of the n-gram order. Each fragment drops
    what no other class has and notes how many classes have the rest.
 3. Candidates. Ordered from rare to common, each class takes its prefix of n - ceil(0.8 n) + 1; linked classes share a
-   shingle there. Those that share one are not paired with each other: each meets the leader of the shingle, a smallest
-   class. Passages that many texts repeat come last in this order, so they make no candidates by themselves.
+   shingle there. Those that share one are not paired with each other: each meets the leader of the shingle, the class
+   whose shingles most others have (in a group of edited copies, the original). Shingles with the same classes are one.
+   Passages that many texts repeat come last in this order, so they make no candidates by themselves, and a pair is dropped
+   where the sets from the shared place on are too small for the overlap it needs.
 4. Partial overlaps. For every (member, leader) pair, each fragment counts the overlap of its two segments; the sum per
    pair decides. Members of a large group are dealt out by a salt with a copy of the leader's segment.
 5. Further rounds. While a shingle's classes are still in several components, more of them lead, and meet only classes of
@@ -205,7 +207,8 @@ def _by_runs(it: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def _prefixes(cut: DataFrame, classes: DataFrame) -> DataFrame:
-    """(hash, sig, n): the prefix of each class, from rare to common."""
+    """(hash, classes, sig, n, place, score): the prefix of each class, from rare to common, by place in that order; the score is how many classes have one of its
+    shingles, on average, in thousandths."""
 
     def take(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_runs(it, "sig"):
@@ -214,22 +217,25 @@ def _prefixes(cut: DataFrame, classes: DataFrame) -> DataFrame:
             common = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int32)
             sig = np.repeat(table.column("sig").to_numpy(), lengths)
             n = np.repeat(table.column("n").to_numpy(), lengths)
-            order = np.lexsort((hashes, common, sig))
+            order = np.lexsort((hashes.view(np.int64), common, sig))  # as the table is ordered too
             hashes, sig, n = hashes[order], sig[order], n[order]
             first = _common(sig)[0]
             shared = np.diff(np.append(first, len(sig)))
             rank = np.arange(len(sig)) - np.repeat(first, shared)
-            keep = rank < n - _need(n) + 1 - (n - np.repeat(shared, shared))  # those that nobody shares come before all
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[keep].view(np.int64)), pa.array(sig[keep]), pa.array(n[keep])], names=["hash", "sig", "n"])
+            spread = np.concatenate([[0], np.cumsum(common[order], dtype=np.int64)])
+            score = np.repeat((spread[first + shared] - spread[first]) * 1000 // n[first] if len(n) else shared, shared)
+            place = rank + n - np.repeat(shared, shared)  # those that nobody shares come before all
+            keep = place < n - _need(n) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[keep].view(np.int64)), pa.array(common[order][keep]), pa.array(sig[keep]), pa.array(n[keep]), pa.array(place[keep]), pa.array(score[keep])], names=["hash", "classes", "sig", "n", "place", "score"])
 
     rows = cut.join(classes.select("sig", "n"), "sig").select("sig", "n", "hashes", "classes")
-    return rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(take, "hash bigint, sig bigint, n bigint")
+    return rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(take, "hash bigint, classes int, sig bigint, n bigint, place bigint, score bigint")
 
 
 def _overlaps(cut: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, overlap) of the pairs (a, b): counted in each fragment, then summed."""
-    pairs = settle(pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(1 << 20))))
-    width = settle(pairs.groupBy("b").agg(F.ceil(F.count("*") / SALT).alias("width")))
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(1 << 20)))
+    width = pairs.groupBy("b").agg(F.ceil(F.count("*") / SALT).alias("width"))
     members = cut.join(pairs.join(width, "b"), cut["sig"] == F.col("a")).select(F.col("b").alias("lead"), "fragment", (F.col("salt") % F.col("width")).alias("salt"), F.col("a").alias("member"), "hashes")
     leaders = cut.join(width, cut["sig"] == F.col("b")).select(F.col("b").alias("lead"), "fragment", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("salt"), F.lit(None).cast("bigint").alias("member"), "hashes")
     rows = leaders.union(members).withColumn("place", F.xxhash64("lead", "fragment", "salt"))
@@ -268,36 +274,52 @@ def _linked(cut: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.join(sizes, ["a", "b"]).where("100 * overlap >= 80 * (na + nb - overlap)").select("a", "b")
 
 
-def _oriented(pairs: DataFrame) -> DataFrame:
-    """Pairs whose sizes allow a link, each once."""
-    return pairs.where("5 * na >= 4 * nb and 5 * nb >= 4 * na and a != b").groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))
+#: What the first shingle that two linked classes have in common allows: the sets from there on hold the overlap.
+_FITS = "9 * (na - pa) >= 4 * (na + nb) and 9 * (nb - pb) >= 4 * (na + nb) and a != b"
 
 
-def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame | None:
+def _once(pairs: DataFrame) -> DataFrame:
+    return pairs.where(_FITS).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))
+
+
+def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after more links: components of the old components."""
+    ends = found.join(labels.withColumnsRenamed({"node": "a", "label": "la"}), "a", "left").join(labels.withColumnsRenamed({"node": "b", "label": "lb"}), "b", "left")
+    edges = ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a != b").distinct()
+    merged = components(settle(edges, found.count())).select(F.col("node").alias("label"), F.col("label").alias("next"))
+    lone = found.select(F.col("a").alias("node")).union(found.select("b")).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    all_ = labels.union(lone)
+    return settle(all_.join(merged, "label", "left").select("node", F.coalesce("next", "label").alias("label")), all_.count())
+
+
+def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(node, label) of the linked classes."""
-    lead = prefixes.groupBy("hash").agg(F.min(F.struct("n", "sig")).alias("lead"), F.count("*").alias("m")).where("m > 1")
-    met = prefixes.join(lead, "hash")
-    pairs = settle(_oriented(met.select(F.col("sig").alias("a"), F.col("lead.sig").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb"))))
-    edges = settle(_linked(cut, pairs))
+    groups = prefixes.groupBy("classes", "hash").agg(F.max(F.struct("score", "sig", "n", "place")).alias("lead"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("sig")).alias("members")).where("m > 1")
+    # Of shingles with the same classes the first in the order stays: its places are those that `_FITS` is about.
+    groups = settle(groups.groupBy("m", "members").agg(F.min(F.struct("classes", "hash", "lead")).alias("first")).select("first.*").drop("classes"))
+    met = settle(prefixes.drop("classes").join(groups, "hash"))
+    first = met.select(F.col("sig").alias("a"), F.col("lead.sig").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb"), F.col("place").alias("pa"), F.col("lead.place").alias("pb"))
+    pairs = settle(_once(first))
+    labels = components(settle(_linked(cut, pairs), pairs.count()))
     upto, step = 1, LEADERS
-    labels = components(edges)
     while True:
-        named = prefixes.join(labels, prefixes["sig"] == labels["node"], "left").select("hash", "sig", "n", F.coalesce("label", "sig").alias("label"))
-        mixed = named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {upto} and low != high").select("hash", "m")
-        open_rows = settle(named.join(mixed, "hash"))
-        ranked = settle(open_rows.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy("n", "sig"))))
-        leaders = ranked.where(f"rank > {upto} and rank <= {upto + step}").select("hash", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
-        new = ranked.join(leaders, "hash").where("rank > rb and label != lb").select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb")
-        new = settle(_oriented(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+        named = met.join(labels, met["sig"] == labels["node"], "left").select("hash", "sig", "n", "place", "score", F.coalesce("label", "sig").alias("label"))
+        mixed = named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {upto + 1} and low != high").select("hash", "m")
+        ranked = named.join(mixed, "hash").withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig"))))
+        ranked = settle(ranked)
+        left = ranked.count()
+        if not left:
+            return labels
+        leaders = ranked.where(f"rank > {upto} and rank <= {upto + step}").select("hash", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
+        new = ranked.join(leaders, "hash").where("rank > rb and label != lb").select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
+        new = settle(_once(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), left)
         upto, step = upto + step, step * LEADERS
-        if not new.isEmpty():
-            pairs = settle(pairs.union(new))
-            found = settle(_linked(cut, new))
+        tried = new.count()
+        if tried:
+            pairs = pairs.union(new)
+            found = settle(_linked(cut, new), tried)
             if not found.isEmpty():
-                edges = settle(edges.union(found))
-                labels = components(edges)
-        elif open_rows.where(f"m > {upto}").isEmpty():
-            return labels
+                labels = _relabelled(labels, found)
 
 
 def join_groups(docs: DataFrame) -> DataFrame:
