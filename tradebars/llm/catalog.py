@@ -8,6 +8,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,9 +97,16 @@ def _shipped(query: Query) -> Query:
     return run
 
 
+QUERIES = (
+    op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination,
+    op6_language_id, op7_html_text, op8_kd_shards, op9_quality_rules, op10_byte_bpe,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination, op6_language_id, op7_html_text, op8_kd_shards, op9_quality_rules, op10_byte_bpe)}
+    return {f.__name__: _shipped(f) for f in QUERIES} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard": _sql.JACCARD, "op9_quality_rules": _sql.QUALITY}
+    said = {"op2_ngram_jaccard": _sql.JACCARD, "op9_quality_rules": _sql.QUALITY}
+    return said | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
