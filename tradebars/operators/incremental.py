@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradebars.functions.schema import BARS, MONTHS
 from tradebars.functions.trades import month_of
@@ -60,7 +61,7 @@ class Store:
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
 
     def bars(self) -> DataFrame:
-        return self._read("bars", BARS.add("month", "string"))
+        return self._read("bars", T.StructType([*BARS, T.StructField("month", T.StringType())]))
 
     def values(self) -> DataFrame:
         return self._read("values", "symbol string, date date, qty double, freq bigint, month string")

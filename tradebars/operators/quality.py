@@ -11,7 +11,10 @@ from tradebars.functions.trades import lerp, lerp_int
 MIN_TRADES = 100
 MAX_GAP_HOURS = 6
 WARMUP_HOURS = 168
-_HOUR = F.expr("interval 1 hour")
+
+
+def _hour():
+    return F.expr("interval 1 hour")
 
 
 def _hours(later, earlier):
@@ -32,8 +35,8 @@ def gaps(bars: DataFrame) -> DataFrame:
     """(symbol, start, end, duration_hours) of every run of missing hours."""
     by = Window.partitionBy("symbol").orderBy("time")
     steps = bars.select("symbol", "time").distinct().withColumn("prev", F.lag("time").over(by))
-    start = F.col("prev") + _HOUR
-    return steps.where(F.col("time") > start).select("symbol", start.alias("start"), (F.col("time") - _HOUR).alias("end"), _hours(F.col("time"), start).alias("duration_hours"))
+    start = F.col("prev") + _hour()
+    return steps.where(F.col("time") > start).select("symbol", start.alias("start"), (F.col("time") - _hour()).alias("end"), _hours(F.col("time"), start).alias("duration_hours"))
 
 
 def low_activity(bars: DataFrame, min_trades: int = MIN_TRADES) -> DataFrame:
@@ -56,7 +59,7 @@ def verdict(bars: DataFrame, min_trades: int = MIN_TRADES) -> DataFrame:
 def spine(bars: DataFrame) -> DataFrame:
     """Every hour of each symbol from its first to its last bar."""
     ends = bars.groupBy("symbol").agg(F.min("time").alias("low"), F.max("time").alias("high"))
-    return ends.select("symbol", F.explode(F.sequence("low", "high", _HOUR)).alias("time"))
+    return ends.select("symbol", F.explode(F.sequence("low", "high", _hour())).alias("time"))
 
 
 def neighbours(bars: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradebars.functions.schema import METRICS, SAMPLES, SHORT_BARS, TRADES
 from tradebars.functions.trades import epoch_to_time, month_of
@@ -109,7 +110,7 @@ def write_month_json(bars: DataFrame, path: str) -> None:
 
 def read_month_json(spark: SparkSession, path: str) -> DataFrame:
     """Bars of all months; broken files give nothing."""
-    schema = SHORT_BARS.add("_corrupt_record", "string").add("symbol", "string").add("month", "string")
+    schema = T.StructType([*SHORT_BARS, *[T.StructField(c, T.StringType()) for c in ("_corrupt_record", "symbol", "month")]])
     rows = spark.read.schema(schema).option("multiLine", True).json(path)
     good = rows.where("_corrupt_record is null and t is not null")
     return good.select("symbol", F.timestamp_seconds("t").alias("time"), *[F.col(k).alias(m) for m, k in METRICS.items()])
