@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradebars.functions.tables import written
 from tradebars.functions.trades import day_of
 
 WINDOW_DAYS = 7
@@ -76,11 +77,10 @@ def rolling(values: DataFrame, days: DataFrame, window: int = WINDOW_DAYS) -> Da
     return pooled.join(numbered, ["symbol", "day"]).select(*_DAY, "p99", "p999")
 
 
-def bootstrap(trades: DataFrame, n: int = BOOTSTRAP_TRADES) -> DataFrame:
+def bootstrap(trades: DataFrame, n: int = BOOTSTRAP_TRADES, days: DataFrame | None = None) -> DataFrame:
     """(symbol, date, p99, p999) over the first n trades of a symbol's first date, where it has so many."""
-    days = dated(trades)
-    first = days.groupBy("symbol").agg(F.min("date").alias("date"))
-    early = days.join(first, _DAY).withColumn("rank", F.row_number().over(Window.partitionBy("symbol").orderBy("time", "agg_id", "qty"))).where(F.col("rank") <= n)
+    first = (dated(trades) if days is None else days).groupBy("symbol").agg(F.min("date").alias("date"))
+    early = dated(trades).join(first, _DAY).withColumn("rank", F.row_number().over(Window.partitionBy("symbol").orderBy("time", "agg_id", "qty"))).where(F.col("rank") <= n)
     full = early.groupBy(*_DAY).agg(F.percentile("qty", F.array(*map(F.lit, PERCENTS))).alias("p"), F.count("*").alias("m")).where(F.col("m") >= n)
     return full.select(*_DAY, F.col("p")[0].alias("p99"), F.col("p")[1].alias("p999"))
 
@@ -88,16 +88,20 @@ def bootstrap(trades: DataFrame, n: int = BOOTSTRAP_TRADES) -> DataFrame:
 def thresholds(trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = BOOTSTRAP_TRADES, prior: DataFrame | None = None) -> DataFrame:
     """(symbol, date, p99, p999, source) of every date of the trades.
 
+    The day values are written to the shared folder: they are small against the trades, which are so read once for them and
+    once for the first trades of each symbol.
+
     `prior` holds values(symbol, date, qty, freq) of dates before those of the trades, in which case the first date is no
     beginning. With `capacity` None all trades of a day count, else its sample.
     """
     values = histogram(trades) if capacity is None else daily_sample(trades, capacity).select(*_DAY, "qty", F.lit(1).cast("bigint").alias("freq"))
-    days = dated(trades).select(*_DAY).distinct()
-    seen = days
+    values = written(values)
+    days = seen = values.select(*_DAY).distinct()
+    early = bootstrap(trades, bootstrap_n, days).withColumnsRenamed({"p99": "b99", "p999": "b999"})
     if prior is not None:
-        values, seen = values.unionByName(prior.select(*_DAY, "qty", "freq")), days.unionByName(prior.select(*_DAY)).distinct()
+        values = values.unionByName(prior.select(*_DAY, "qty", "freq"))
+        seen = values.select(*_DAY).distinct()
     before = rolling(values, seen, window).withColumnsRenamed({"p99": "r99", "p999": "r999"})
-    early = bootstrap(trades, bootstrap_n).withColumnsRenamed({"p99": "b99", "p999": "b999"})
     both = days.join(before, _DAY, "left").join(early, _DAY, "left")
     source = F.when(F.col("r99").isNotNull(), "rolling").when(F.col("b99").isNotNull(), "bootstrap").otherwise("default")
     return both.select(*_DAY, F.coalesce("r99", "b99", F.lit(DEFAULT_P99)).alias("p99"), F.coalesce("r999", "b999", F.lit(DEFAULT_P999)).alias("p999"), source.alias("source"))
