@@ -305,13 +305,15 @@ def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame:
     while True:
         named = met.join(labels, met["sig"] == labels["node"], "left").select("hash", "sig", "n", "place", "score", F.coalesce("label", "sig").alias("label"))
         mixed = named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {upto + 1} and low != high").select("hash", "m")
-        ranked = named.join(mixed, "hash").withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig"))))
-        ranked = settle(ranked)
-        left = ranked.count()
+        open_rows = settle(named.join(mixed, "hash"))
+        left = open_rows.count()
         if not left:
             return labels
-        leaders = ranked.where(f"rank > {upto} and rank <= {upto + step}").select("hash", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
-        new = ranked.join(leaders, "hash").where("rank > rb and label != lb").select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
+        # Only ranks up to the last new leader are asked for, so each task passes on no more of a shingle than these.
+        ranked = open_rows.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig")))).where(f"rank <= {upto + step}")
+        leaders = ranked.where(f"rank > {upto}").select("hash", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb"))
+        new = open_rows.join(leaders, "hash").where("(score < sb or score = sb and sig < b) and label != lb")
+        new = new.select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
         new = settle(_once(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), left)
         upto, step = upto + step, step * LEADERS
         tried = new.count()
