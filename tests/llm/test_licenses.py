@@ -16,6 +16,8 @@ TEXTS = [
     "GENERAL PUBLIC LICENSE",
     "word " * 500 + "mozilla public license " + "mit " * 400,
     "éCC BY", "xcc by cc byx cc by",
+    "modification permitted " * 3 + "redistribution and use in source and binary forms " + "permitted forms binary " * 9,
+    "compliance license file " * 5 + "you may not use this file except in compliance with the license compliance",
 ]
 
 

@@ -2,10 +2,11 @@
 
 Spark's built-in functions do all of it. Texts are lower-cased (A-Z) and cut into words. Base phrases are counted where
 their words stand consecutively. The index holds, for each word of the licence templates below, the templates and places
-where it stands. Word weights (IDF) are counted over all documents. For each document and template, the words of highest
-weight that both have are looked up; a hit at place p in the document and q in the template proposes that the template
-begins at p - q, and proposals are joined with the template's words at those places. A template counts when its mandatory
-key phrase stands there whole. Its score is the weight of its matched words, as a share of all its words.
+where it stands. Word weights (IDF) are counted over all documents. For each document and template, the word of highest
+weight that the document shares with the template's key phrase is looked up; a hit at place p in the document and q in the
+template proposes that the template begins at p - q, and proposals are joined with the template's words at those places. A
+template counts when its mandatory key phrase stands there whole. As a whole key phrase has all its words, the one looked up
+is among them, so no phrase is missed. Its score is the weight of its matched words, as a share of all its words.
 
 Defined results: a null or empty text has no words, places or labels, and score 0; repeated rows get the same result each;
 rows with a null doc_id are told apart by their text; an empty table gives an empty result; ties in weight go by the
@@ -52,7 +53,7 @@ TEMPLATES = (
 #: Words of templates that are too common to be looked up; they still count in key phrases.
 COMMON = frozenset("0 1 2 3 4 a and any are at by copy except file for free in into is may not of only option or other person purpose source terms the this to under use v version with without you your".split())
 #: Words looked up for each document and template.
-LOOKED_UP = 3
+LOOKED_UP = 1
 _KEY = ["doc_id", "text_hash"]
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -115,12 +116,12 @@ def matched(docs: DataFrame) -> DataFrame:
     weights = settle(counts.groupBy("word").agg((1 + F.log(F.lit(total + 1) / (F.count("*") + 1))).alias("weight")))
     weighted = F.broadcast(index.join(weights, "word", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0))))
 
-    share = counts.select(*_KEY, "word").join(weighted.where(F.col("word").isin(rare)).select("word", "template", "weight").distinct(), "word")
+    share = counts.select(*_KEY, "word").join(weighted.where(F.col("key") & F.col("word").isin(rare)).select("word", "template", "weight").distinct(), "word")
     best = Window.partitionBy(*_KEY, "template").orderBy(F.desc("weight"), "word")
     looked_up = share.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= LOOKED_UP).select(*_KEY, "template", "word")
     tokens = hits.withColumnRenamed("place", "at")
     placed = looked_up.alias("l").join(tokens.alias("t"), F.col("l.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("l.text_hash") == F.col("t.text_hash")) & (F.col("l.word") == F.col("t.word"))).select("l.*", "at")
-    postings = F.broadcast(index.select("template", "word", "place"))
+    postings = F.broadcast(index.where("key").select("template", "word", "place"))
     begins = placed.join(postings, ["template", "word"]).select(*_KEY, "template", (F.col("at") - F.col("place")).alias("begin")).distinct()
 
     expected = begins.join(weighted, "template").select(*_KEY, "template", "label", "begin", (F.col("begin") + F.col("place")).alias("at"), "word", "key", "weight")
