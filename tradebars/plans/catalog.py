@@ -144,10 +144,11 @@ def _j3(t):
     return I.pending(wanted, wanted.where("month < '1995-07'"))
 
 
-@query("j4_hour_spine", sql.whale("SELECT s.symbol, s.time, b.n_trades FROM hours s LEFT JOIN bars b ON b.symbol = s.symbol AND b.time = s.time", sql.filled()))
+@query("j4_hour_spine", sql.whale("SELECT s.symbol, s.time, coalesce(b.n_trades, 0) AS n_trades, b.n_trades IS NOT NULL AS has_bar FROM hours s LEFT JOIN bars b ON b.symbol = s.symbol AND b.time = s.time", sql.filled()))
 def _j4(t):
     bars = B.hourly_bars(t)
-    return Q.spine(bars).join(bars.select("symbol", "time", "n_trades"), ["symbol", "time"], "left")
+    joined = Q.spine(bars).join(bars.select("symbol", "time", "n_trades"), ["symbol", "time"], "left")
+    return joined.select("symbol", "time", F.coalesce("n_trades", F.lit(0)).alias("n_trades"), F.col("n_trades").isNotNull().alias("has_bar"))
 
 
 # Aggregations
@@ -283,9 +284,9 @@ def _w7(t):
     return Q.verdict(_repeated(t), sql.MIN_TRADES)
 
 
-@query("w8_gap_places", sql.whale("SELECT symbol, time, gap AS gap_hours, place AS gap_place FROM gapped", sql.filled()))
+@query("w8_gap_places", sql.whale("SELECT symbol, time, gap AS gap_hours, place AS gap_place FROM gapped WHERE gap IS NOT NULL", sql.filled()))
 def _w8(t):
-    return Q.neighbours(B.hourly_bars(t)).select("symbol", "time", "gap_hours", "gap_place")
+    return Q.neighbours(B.hourly_bars(t)).where("gap_hours is not null").select("symbol", "time", "gap_hours", "gap_place")
 
 
 @query("w9_fill", sql.whale(f"SELECT {_METRICS}, fill_kind FROM filled", sql.filled()))
