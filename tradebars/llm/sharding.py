@@ -25,9 +25,12 @@ from tradebars.llm._tables import settle
 BINS = 1024
 HEAVY = 1 / 20
 TOLERANCE = 1 / 4000
+#: Lots that the copies of a text are dealt into by doc_id, before anything is shuffled by text.
+LOTS = 1024
 #: Rows that one task numbers about.
 NUMBERED = 2000
 _BITS = 31
+_TEXT = ["text_hash", "text_crc32"]
 _DIMENSIONS = ("k_bytes", "k_lang", "k_source", "k_id")
 
 
@@ -55,7 +58,7 @@ class Node:
 
 def _rows(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", "lang", "source", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64("text").alias("text_hash"))
+    return docs.select("doc_id", "lang", "source", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64("text").alias("text_hash"), F.pmod(F.xxhash64("doc_id"), F.lit(LOTS)).alias("lot"))
 
 
 def _key(value: Column, tie: Column) -> Column:
@@ -63,22 +66,24 @@ def _key(value: Column, tie: Column) -> Column:
     return F.shiftleft(F.greatest(F.lit(0), F.least(value, F.lit(2**_BITS - 1))).cast("bigint"), _BITS) + F.pmod(tie, F.lit(2**_BITS))
 
 
-def _points(rows: DataFrame, heavy: float, least: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """(text_hash, text_crc32, parts) of each group, and the points with their dimensions and weight."""
-    groups = rows.groupBy("text_hash", "text_crc32").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / heavy)).cast("bigint").alias("parts"), F.count("*").alias("copies"))
-    groups = settle(groups.select("text_hash", "text_crc32", F.least("parts", "copies").alias("parts")))
-    joined = _parts(rows, groups)
-    by = ["text_hash", "text_crc32", "part"]
-    points = joined.groupBy(*by).agg(F.sum("size").alias("weight"), F.min("size").alias("bytes"), F.min("lang").alias("lang"), F.min("source").alias("source"), F.min("doc_id").alias("id"))
+def _lots(rows: DataFrame) -> DataFrame:
+    """(text_hash, text_crc32, lot) with sums and least values: of a text's copies, `LOTS` rows at most go on."""
+    name = lambda c: F.min(c).alias(c)
+    return rows.groupBy(*_TEXT, "lot").agg(F.sum("size").alias("weight"), F.count("*").alias("copies"), name("size"), name("lang"), name("source"), F.min("doc_id").alias("id"))
+
+
+def _points(lots: DataFrame, heavy: float, least: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """The point (text_hash, text_crc32, part) of each lot, and the points with their dimensions and weight."""
+    groups = lots.groupBy(*_TEXT).agg(F.greatest(F.lit(1), F.ceil(F.sum("weight") / heavy)).cast("bigint").alias("parts"), F.sum("copies").alias("copies"))
+    groups = groups.select(*_TEXT, F.least("parts", "copies", F.lit(LOTS)).alias("parts"))
+    dealt = settle(lots.join(groups, _TEXT).withColumn("part", F.pmod("lot", F.col("parts"))))
+    by = [*_TEXT, "part"]
+    points = dealt.groupBy(*by).agg(F.sum("weight").alias("weight"), F.min("size").alias("bytes"), F.min("lang").alias("lang"), F.min("source").alias("source"), F.min("id").alias("id"))
     tie = F.xxhash64("text_hash", "part")
     name = lambda c: F.coalesce(F.floor(F.crc32(c) / 2), F.lit(0))
     share = (F.coalesce("id", F.lit(least)) - F.lit(least)) / F.lit(float(max(1, most - least)))
     values = {"k_bytes": F.floor(F.log2("bytes") * 2.0**25), "k_lang": name("lang"), "k_source": name("source"), "k_id": F.floor(share * (2.0**_BITS - 1))}
-    return groups, points.select(*by, "weight", *[_key(v, tie).alias(k) for k, v in values.items()])
-
-
-def _parts(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    return rows.join(groups, ["text_hash", "text_crc32"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts"))).drop("parts")
+    return dealt.select(*by, "lot"), points.select(*by, "weight", *[_key(v, tie).alias(k) for k, v in values.items()])
 
 
 def _cuts(points: DataFrame, root: Node, total: float, shards: int) -> bool:
@@ -129,19 +134,19 @@ def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
     rows = _rows(docs)
     whole = rows.agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     total = whole["size"] or 0
-    groups, points = _points(rows, max(1.0, HEAVY * total / shards), whole.low or 0, whole.high or 0)
+    dealt, points = _points(settle(_lots(rows)), max(1.0, HEAVY * total / shards), whole.low or 0, whole.high or 0)
     points = settle(points)
     root = Node(0, shards)
     while _cuts(points, root, total, shards):
         pass
-    numbers = points.select("text_hash", "text_crc32", "part", root.number().alias("shard"))
-    placed = _parts(rows.select("doc_id", "size", "text_crc32", "text_hash"), groups).join(numbers, ["text_hash", "text_crc32", "part"]).drop("part")
-    lots = max(1, math.ceil(whole.n / shards / NUMBERED))
-    placed = settle(placed.withColumn("lot", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(lots))))
-    sizes = placed.groupBy("shard", "lot").agg(F.count("*").alias("n"))
-    offsets = sizes.select("shard", "lot", (F.sum("n").over(Window.partitionBy("shard").orderBy("lot")) - F.col("n")).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("shard", "lot").orderBy("doc_id", "text_hash"))
-    return placed.withColumn("place", within).join(offsets, ["shard", "lot"]).select(
+    numbers = dealt.join(points.select(*_TEXT, "part", root.number().alias("shard")), [*_TEXT, "part"]).drop("part")
+    placed = rows.select("doc_id", "size", *_TEXT, "lot").join(numbers, [*_TEXT, "lot"]).drop("lot")
+    stretches = max(1, math.ceil(whole.n / shards / NUMBERED))
+    placed = settle(placed.withColumn("stretch", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(stretches))))
+    sizes = placed.groupBy("shard", "stretch").agg(F.count("*").alias("n"))
+    offsets = sizes.select("shard", "stretch", (F.sum("n").over(Window.partitionBy("shard").orderBy("stretch")) - F.col("n")).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("shard", "stretch").orderBy("doc_id", "text_hash"))
+    return placed.withColumn("place", within).join(offsets, ["shard", "stretch"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), (F.col("offset") + F.col("place") - 1).cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )
 
