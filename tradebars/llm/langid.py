@@ -160,7 +160,12 @@ def held_out() -> Column:
 def training_words(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(lang, word, n): word counts of the sample of each language."""
     ids = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = ids.withColumn("bucket", F.shiftrightunsigned(F.xxhash64("doc_id"), 52))
+    # Counts by bucket tell up to which hash a language's sample reaches, so few rows are ranked however many there are.
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("bucket"))
+    reach = ids.groupBy("lang", "bucket").agg(F.count("*").alias("n")).withColumn("before", upto - F.col("n")).where(F.col("before") < sample)
+    ids = ids.join(F.broadcast(reach.groupBy("lang").agg(F.max("bucket").alias("last"))), "lang").where("bucket <= last")
+    by = Window.partitionBy("lang").orderBy("bucket", F.xxhash64("doc_id"), "doc_id")
     ids = ids.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= sample).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     chosen = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
 
