@@ -53,6 +53,17 @@ def test_thresholds_follow_the_group(spark):
     assert all(out.values())
 
 
+def test_alternating_repeated_lines_go(spark):
+    """Every other line repeats an earlier one: some 0.08 for each word, and nearly half of the lines."""
+    text = lambda k: "".join(f"share this page\nfresh{k}x{i} word{i}x line{k}\n" for i in range(12))
+    junk = [(1000 + k, text(k), "en", "a", 1) for k in range(5)]
+    few = [(2000 + k, f"title of page{k}\n" + make(1)[0][1].replace(" ", "\n", 8) + f"\ntitle of page{k}", "en", "a", 1) for k in range(5)]
+    docs = documents(spark, make(300) + junk + few)
+    assert not any(r.base_failed for r in quality.verdicts(docs).collect())
+    kept = {r.doc_id for r in quality.keep_good(docs.withColumn(quality.LINES, F.lit(7))).where(f"{quality.LINES} = 7").collect()}
+    assert kept == {*range(300), *range(2000, 2005)}
+
+
 def test_sketches_merge(spark):
     docs = quality.counts(documents(spark, make(100) + make(100, " $ $ $", source="b", start=500)))
     whole = quality.sketches(docs)
