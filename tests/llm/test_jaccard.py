@@ -102,6 +102,15 @@ def test_keep_one(spark):
     assert ids == sorted(want, key=str) + ["None"] * 0 + [None] * ids.count(None) and ids.count(None) <= 1
 
 
+def test_keep_one_keeps_null_ids_and_texts_of_one_id(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    data = [(None, words(0)), (None, words(1)), (None, words(1)), (7, words(1)), (5, words(2)), (5, words(3)), (5, words(3)), (4, words(2) + " more"), (None, words(4)), (None, words(4) + " more")]
+    kept = jaccard.keep_one(documents(spark, [(i, t, "en", "a", 1) for i, t in data])).collect()
+    found = sorted(((r.doc_id, r.text.removesuffix(" more")) for r in kept), key=str)
+    assert found == sorted([(None, words(0)), (7, words(1)), (4, words(2)), (5, words(3)), (None, words(4))], key=str)
+    assert sum(r.doc_id is None for r in jaccard.keep_one(documents(spark)).collect()) == 1
+
+
 def test_empty_and_odd_tables(spark):
     assert got(spark.createDataFrame([], SCHEMA)) == []
     assert got(documents(spark)) == brute(rows())

@@ -354,12 +354,16 @@ def join_groups(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the least doc_id, with the columns of docs.
 
-    Repeated rows of that doc_id are one document and one row stays; rows with a null doc_id stay only where nothing else
-    of their component does.
+    A document is a doc_id with a text: repeated rows of both are one document and one row stays, while different texts of
+    one doc_id are told apart, as are those with a null doc_id, which stay where nothing else of their component has one.
+    Documents are told apart by 64-bit hashes.
     """
-    groups = join_groups(docs)
-    inner, restore = shield(docs, ["_keep"])
-    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    inner, restore = shield(docs, ["_key", "_keep"])
+    inner = inner.withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = join_groups(inner.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    named = groups.join(inner.select("_key", "doc_id").distinct(), "_key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
+    firsts = settle(named.groupBy("component_id").agg(first).select(F.col("first._key").alias("_keep")))
     small = firsts.count() <= BROADCAST_ROWS
-    kept = inner.join(F.broadcast(firsts) if small else firsts, inner["doc_id"] == F.col("_keep"), "left_semi")
-    return restore(kept.dropDuplicates(["doc_id"]))
+    kept = inner.join(F.broadcast(firsts) if small else firsts, inner["_key"] == F.col("_keep"), "left_semi")
+    return restore(kept.dropDuplicates(["_key"]))
