@@ -9,7 +9,7 @@ import corpus_pipeline
 import public_tokenizers as P
 import test_decontaminate
 import test_jaccard
-import test_quality
+import test_quality_rules
 import test_secrets
 
 from tradebars.llm import bpe, quality
@@ -26,13 +26,13 @@ def corpus():
     data += [(340 + i, data[i][1], None, "a", 1) for i in range(5)]
     data += [(400 + i, make(40) + " " + item + " " + make(10), "en", "b", 1) for i, (_, item) in enumerate(test_decontaminate.ITEMS) if item and len(item) > 30]
     data += [(500 + i, make(40) + "\n" + t + "\n" + make(5), "fr", None, 1) for i, t in enumerate(test_secrets.TEXTS[:6])]
-    data += [(600 + i, make(30) + test_quality.SYMBOLS, "en", "a", 1) for i in range(4)]
+    data += [(600 + i, make(30) + test_quality_rules.SYMBOLS, "en", "a", 1) for i in range(4)]
     data += [(700, None, "en", "a", 1), (701, "", "en", "a", 1), (702, "a b c d e f g h " * 9, "en", "a", 1)]
     return data
 
 
 def brute_quality(data):
-    counted = [(r, dict(zip(quality.COUNTS, test_quality.brute(r[1]), strict=True))) for r in data]
+    counted = [(r, dict(zip(quality.COUNTS, test_quality_rules.brute(r[1]), strict=True))) for r in data]
     failed = lambda c: c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
     value = lambda m, c: {"symbol_share": c["n_symbols"] / max(1, c["word_chars"]), "word_length": c["word_chars"] / max(1, c["n_words"]), "dup_line_share": c["n_dup_lines"] / max(1, c["n_words"])}[m]
     seen = defaultdict(list)
