@@ -1,5 +1,7 @@
 import itertools
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tradebars.llm import html
@@ -57,3 +59,66 @@ def test_long_page(spark):
     body = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
     weight = html.fit(pages(spark))
     assert html.main_text(page(body), weight) == " ".join([LONG] * 5000)
+
+
+@pytest.fixture(scope="module")
+def weight(spark):
+    """Fitted on pages whose articles hold nothing but paragraphs, so that lists, tables and the like score low."""
+    return html.fit(pages(spark))
+
+
+COMMENT = "<section id=comments><h3>2 comments</h3><article class=comment-body><p>First! a nice read, thanks a lot for this</p></article><article class='comment even'><p>I disagree with all of it, sorry</p></article></section>"
+KEPT = [
+    ("<h2>A heading</h2>", "A heading"),
+    ("<ul><li>one item<li>another <b>item</b></ul>", "one item another item"),
+    ("<table><tr><th>Year<th>Sum<tr><td>1999</td><td>12</td></tr></table>", "Year Sum 1999 12"),
+    ("<blockquote>They said so</blockquote>", "They said so"),
+    ("<pre><span class='hljs-comment'># sum</span>\n  a = b &lt; c</pre>", "# sum a = b < c"),
+    ("<p title='a > b' class=lead>quoted &amp; led</p>", "quoted & led"),
+    ("<figure><img src=x><figcaption>A picture</figcaption></figure>", "A picture"),
+    ("<dl><dt>Term<dd>Its meaning</dl>", "Term Its meaning"),
+    ("<div>bare text<div>nested</div>after</div>", "bare text nested after"),
+    (f"<p>{LONG}</p>", LONG),
+    ("<p>see <a href=/x>this link</a>, too", "see this link , too".replace(" ,", ",")),
+]
+DROPPED = [
+    "<aside class=related><article><h4>Read this too</h4><p>A teaser of another story, as long as you like</p></article></aside>",
+    COMMENT, "<p class=advert>Buy one now</p>", "<p class='share-buttons'>Tell your friends</p>", "<button>Copy it</button>", "<form><label>Your mail</label><input name=x>Send</form>",
+    "<script>var a = '<p>no</p>';</script>", "<div class='cookie-notice'>We bake</div>", "<nav><ul><li><a href=/>Home</a></ul></nav>", "<style>p{}</style>", "<!-- <p>no</p> -->",
+    "<div class=newsletter-signup><p>Sign up for mail</p></div>", "<footer>Filed under words</footer>", "<div role=complementary>Seen elsewhere</div>", "<span class=ad>Sale</span>",
+]
+SHELLS = [
+    "<article>{}</article>", "<main><article class='post tags-ai type-post'>{}</article></main>", "<div class='main-content header-story'><article>{}</article></div>", "<div class='page has-sidebar'><main>{}</main></div>",
+    "<div class='post tags-ai'><h1>Top</h1>{}</div>", "<form id=aspnet><div itemprop='articleBody'>{}</div></form>", "<div class=layout-sidebar><main>{}</main></div>",
+]
+
+
+def test_every_block_of_the_article_and_no_frame(weight):
+    """Pages built from parts whose place is known: the text must be that of the kept parts, in order."""
+    r = random.Random(4)
+    for i in range(300):
+        parts = [("", f"<p>{LONG} {i}</p>", f"{LONG} {i}")]
+        parts += [("", *r.choice(KEPT)) for _ in range(r.randint(0, 6))] + [("x", r.choice(DROPPED), "") for _ in range(r.randint(0, 4))]
+        r.shuffle(parts)
+        shell = r.choice(SHELLS)
+        body = "".join(p for _, p, _ in parts)
+        want = " ".join([*(["Top"] if "Top" in shell else []), *(t for _, _, t in parts if t)])
+        assert html.main_text(page(shell.format(body) + r.choice(["", COMMENT])), weight) == want, (shell, body)
+
+
+def test_parts_that_stood_out_before(weight):
+    text = lambda body: html.main_text(page(body), weight)
+    assert text(f"<article><header><h1>Title</h1><p>By someone</p></header><p>{LONG}</p></article>") == f"Title {LONG}"
+    assert text(f"<header><h1>Site</h1></header><article><p>{LONG}</p></article>") == LONG
+    assert text(f"<div class=wrap><div id=text><h2>Head</h2><ul><li>a<li>b</ul><p>{LONG}</p><p>{LONG}</p></div>{COMMENT}</div>") == f"Head a b {LONG} {LONG}"
+    assert text("<article><h1>Only</h1><p><b>Few words.<br></article>") == "Only Few words."
+    assert text(f"<article><p>one <svg viewBox='0 0'/> two</p><p>{LONG}</article>") == f"one two {LONG}"
+    assert text(f"<article><p class=\"broken>{LONG}</p><p>{LONG}</article>") in (LONG, f"{LONG} {LONG}")
+
+
+def test_null_repeated_and_tied_pages(spark, weight):
+    """Of two stretches of one score the first is taken; repeated rows give one row each."""
+    twice = f"<div><p>{LONG} a</p></div>" + "<nav>" + "<a href=/>menu words</a> " * 80 + "</nav>" + f"<div><p>{LONG} b</p></div>"
+    assert html.main_text(page(twice), weight).startswith(f"{LONG} a")
+    docs = spark.createDataFrame([(1, "u", page(twice))] * 3 + [(1, None, None)], SCHEMA)
+    assert [len(r.text) > 0 for r in html.extract(docs, weight).orderBy(F.desc("n_chars")).collect()] == [True, True, True, False]

@@ -3,14 +3,23 @@
 A page is a sequence of tokens: words, told apart by the element they stand in, and tags. Each token's score is the
 logarithm of how much likelier it is within the main text than outside; words of running text come out positive, tags of
 menus and frames negative. The contiguous stretch with the greatest sum, found in one linear scan (`best_stretch`), is
-the main text; blocks in it whose elements score as frame (adverts, comments and the like) are left out.
+the content region. It is completed to the element that holds it: the one marked as content, or else the innermost container
+around all its blocks, or the one around that which is named so. Every block there is kept, whatever its own weight, but for those in a frame: an element that its
+tag, or the words of its class, id or role, name as menu, header, footer, sidebar, notice, advert, form or comments.
+Where a page marks its article, words outside the mark score as frame.
+
+Class words condemn less than tags do. A class such as `post tags-ai`, of which one name says content, is no frame, nor
+is `has-sidebar`, which tells of another element. Where no marked article lies outside of frames, an element that only
+its class (or `form`) condemns is pardoned if it holds a marked article or most words of the page. Comments and related
+articles are never pardoned. Headings in the `header` of an article are its title and stay.
 
 Weights are fitted on labelled pages: those that mark their main text themselves (`article`, `main` or an articleBody
-property) label their tokens. Counts are gathered by a Spark aggregation over a bounded sample of pages, on top of
+property) label their tokens. Counts are gathered by a Spark aggregation over a bounded sample of such pages, on top of
 pseudo-counts for elements and class names whose use is settled by convention.
 
 Defined results: a null or empty page, or one without a positive stretch, has the empty text; unclosed elements end with
-the page, and a truncated tag is dropped; repeated rows are extracted each; other columns play no part.
+the page or where HTML implies their end; a truncated tag is dropped; repeated rows are extracted each; other columns play
+no part.
 """
 
 from __future__ import annotations
@@ -25,108 +34,249 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages that the weights are fitted on at most: those of the least hash.
+#: Labelled pages that the weights are fitted on at most: those of the least hash.
 SAMPLE = 4000
 
-#: Elements whose content is never shown as text, block elements, frame elements, and class or id words of frames.
+#: Elements by how they are shown, and class, id and role words.
 HIDDEN = ("script", "style", "noscript", "template", "svg", "iframe", "title", "textarea", "select", "object", "canvas")
-BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-CONTAINER = frozenset("article aside blockquote details dialog div dl fieldset figure footer form head header main menu nav ol pre section table ul".split())
-FRAME = frozenset("aside dialog fieldset footer form head header menu nav button label".split())
-FRAME_WORDS = frozenset("ad ads adbox advert advertisement banner breadcrumb breadcrumbs comment comments cookie consent disqus disclaimer footer form header login menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted promotion recommended related reply respond share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul button label".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+FRAME = frozenset("aside dialog fieldset footer header menu nav button label".split())
+FRAME_WORDS = frozenset("ad ads adbox advert advertisement banner breadcrumb breadcrumbs cookie consent disclaimer footer form header login menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted promotion share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget".split())
+FRAME_ROLES = frozenset("alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+OTHERS_WORDS = frozenset("comment comments disqus recommended related replies reply respond".split())
 CONTENT_WORDS = frozenset("article articlebody body content entry main post story text".split())
+STATE_WORDS = frozenset("has is no with without".split())
+#: An open element of the first kind ends where one of the second begins, unless the third stands between.
+IMPLIED_ENDS = {
+    "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+    "td": (("td", "th"), ("table",)), "th": (("td", "th"), ("table",)), "tr": (("tr", "td", "th"), ("table",)),
+    "tbody": (("thead", "tbody", "tr"), ("table",)), "tfoot": (("thead", "tbody", "tr"), ("table",)),
+}
 PSEUDO = 200.0
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(HIDDEN)})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|([^<]+|<)", re.S | re.I)
-_HINT = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTES = r"""((?>[^>"']+|"[^"]*"|'[^']*')*)"""
+_TOKEN = re.compile(
+    rf"""<!--.*?(?:-->|\Z)|<svg\b[^>]*/>|<({"|".join(HIDDEN)})\b(?>[^>"']+|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*){_ATTRIBUTES}(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|([^<]+|<)""",
+    re.S | re.I,
+)
+_HINT = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-
-Token = tuple[str, int]
+NONE, SOFT, HARD = 0, 1, 2
+
+
+def judge(tag: str, attributes: str) -> tuple[int, bool, bool]:
+    """Whether the element is a frame (NONE, SOFT: by its words only, HARD), whether it is marked as content, and whether one of
+    its names says content."""
+    frame = HARD if tag in FRAME else SOFT if tag == "form" else NONE
+    marked = tag in ("article", "main")
+    if "=" not in attributes or tag in ("html", "body"):
+        return frame, marked, False
+    named: list[list[str]] = []
+    for m in _HINT.finditer(attributes):
+        value = m[2] or m[3] or m[4] or ""
+        if m[1].lower() == "role" and value.lower() in FRAME_ROLES:
+            frame = max(frame, SOFT)
+        named += [parts for token in value.split() if (parts := _PART.findall(_CAMEL.sub(" ", token).lower())) and parts[0] not in STATE_WORDS]
+    marked |= any("articlebody" in parts or {"article", "body"} <= set(parts) for parts in named)
+    content = any(all(p in CONTENT_WORDS for p in parts) for parts in named)
+    if tag == "main":
+        return frame, marked, content
+    for parts in named:
+        others = OTHERS_WORDS.intersection(parts)
+        if others and (tag != "article" or parts[0] in OTHERS_WORDS and all(p in OTHERS_WORDS or p in CONTENT_WORDS for p in parts)) and (parts[0] in others or parts[-1] in others):
+            return HARD, marked, content
+    if tag != "article":
+        if any(FRAME_WORDS.intersection(parts) and (not content or all(p in FRAME_WORDS for p in parts)) for parts in named):
+            frame = max(frame, SOFT)
+    return frame, marked, content
 
 
-def _kind(tag: str, attributes: str) -> str:
-    """frame, content or the element's name."""
-    words: set[str] = set()
-    if "=" in attributes:
-        for m in _HINT.finditer(attributes):
-            words.update(_PART.findall(_CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower()))
-    if words & FRAME_WORDS and not (tag in ("article", "main", "body", "html")):
-        return "frame"
-    if tag in FRAME:
-        return "frame"
-    if tag in ("article", "main") or "articlebody" in words or {"article", "body"} <= words:
-        return "content"
-    return tag
+Token = tuple[str, int]
 
 
 class Page:
-    """Tokens of a page in order, as (type, count), and the blocks of text: (first token, type, text)."""
+    """Tokens of a page in order, as (type, count), and the blocks of text: (token, element, text)."""
 
     def __init__(self, source: str):
-        self.tokens: list[Token] = []
-        self.blocks: list[tuple[int, str, str]] = []
-        self.inside: list[bool] = []  # of each token: within an element marked as content, and in no frame there
+        self.blocks: list[tuple[int, int, str]] = []
+        self.parents, self.tags, self.frames, self.marks, self.named = [0], ["body"], [NONE], [False], [False]
+        self._tokens: list[tuple[str, int, int]] = []  # a tag, or "" for words; how many; the element
         self._held: list[str] = []
-        self._open: list[tuple[str, str]] = []
-        self._leaf = "body"
+        self._open = [0]
         for m in _TOKEN.finditer(source):
-            if m[5] is not None:
-                self._held.append(m[5])
+            if m[8] is not None:
+                self._held.append(m[8])
             elif m[3] is not None:
                 self._tag(m[3].lower(), bool(m[2]), m[4])
+            elif m[6] is not None:
+                self._tag(m[6].lower(), bool(m[5]), m[7])
         self._flush()
-
-    def _context(self) -> str:
-        kinds = [k for _, k in self._open]
-        if "content" in kinds:
-            kinds = kinds[kinds.index("content") :]
-        if "frame" in kinds:
-            return "frame"
-        return "li" if self._leaf == "li" and any(t in ("ul", "ol") for t, _ in self._open) else self._leaf if self._leaf in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "td", "pre", "blockquote") else "other"
-
-    def _add(self, token: str, n: int = 1) -> None:
-        kinds = [k for _, k in self._open]
-        self.tokens.append((token, n))
-        self.inside.append("content" in kinds and "frame" not in kinds[kinds.index("content") :])
+        self._settle()
 
     def _flush(self) -> None:
         if self._held:
             words = unescape("".join(self._held)).split()
             self._held = []
             if words:
-                context = "word@" + self._context()
-                self.blocks.append((len(self.tokens), context, " ".join(words)))
-                self._add(context, len(words))
+                self.blocks.append((len(self._tokens), self._open[-1], " ".join(words)))
+                self._tokens.append(("", len(words), self._open[-1]))
+
+    def _close(self, kinds: tuple[str, ...], borders: tuple[str, ...] | frozenset[str]) -> None:
+        """End the outermost open element of the kinds this side of the borders, with all in it."""
+        found = None
+        for place in range(len(self._open) - 1, 0, -1):
+            tag = self.tags[self._open[place]]
+            if tag in kinds:
+                found = place
+            elif tag in borders:
+                break
+        if found is not None:
+            del self._open[found:]
 
     def _tag(self, tag: str, closing: bool, attributes: str) -> None:
-        if tag in BLOCK:
+        block = tag in BLOCK
+        if block:
             self._flush()
-        kind = tag if closing else _kind(tag, attributes)
-        if tag in CONTAINER:
-            if not closing:
-                self._edge("<" + kind)
-                self._open.append((tag, kind))
-                self._leaf = tag
-            else:
-                at = max((i for i, (t, _) in enumerate(self._open) if t == tag), default=None)
-                if at is not None:
-                    kind = self._open[at][1]
-                    del self._open[at:]
-                self._edge("<" + kind)
-                self._leaf = "other"
+        if closing:
+            at = next((i for i in range(len(self._open) - 1, 0, -1) if self.tags[self._open[i]] == tag or (not block and self.tags[self._open[i]] in BLOCK)), None)
+            element = self._open[-1]
+            if at is not None and self.tags[self._open[at]] == tag:
+                if not block and self.frames[self._open[at]]:
+                    self._flush()
+                element = self._open[at]
+                del self._open[at:]
+            self._tokens.append((tag, 1, element))
             return
-        if tag in BLOCK and tag not in ("br", "hr"):
-            self._leaf = "other" if closing else tag
-        self._add("<" + tag)
-
-    def _edge(self, token: str) -> None:
-        self.tokens.append((token, 1))
-        kinds = [k for _, k in self._open]
-        self.inside.append("content" in kinds and token != "<content" and "frame" not in kinds[kinds.index("content") :])
-
-    def labelled(self) -> bool:
-        return any(t == "<content" for t, _ in self.tokens)
+        if block and tag not in ("br", "hr"):
+            self._close(("p",), BLOCK - {"p"})
+            if tag in IMPLIED_ENDS:
+                self._close(*IMPLIED_ENDS[tag])
+        if tag in VOID:
+            self._tokens.append((tag, 1, self._open[-1]))
+            return
+        if not block and any(self.tags[e] in ("pre", "code") for e in self._open[-3:]):
+            frame, marked, named = NONE, False, False
+        else:
+            frame, marked, named = judge(tag, attributes)
+        if frame and not block:
+            self._flush()
+        self.parents.append(self._open[-1])
+        self.tags.append(tag)
+        self.frames.append(frame)
+        self.marks.append(marked)
+        self.named.append(named)
+        self._open.append(len(self.tags) - 1)
+        self._tokens.append((tag, 1, self._open[-1]))
+
+    def _settle(self) -> None:
+        """Which elements lie in a frame, after pardons, and in which marked element, if any."""
+        n = len(self.tags)
+        hard, soft = [False] * n, [False] * n
+        for e in range(n):
+            p = self.parents[e]
+            hard[e] = (e > 0 and hard[p]) or self.frames[e] == HARD
+            soft[e] = (e > 0 and soft[p]) or self.frames[e] == SOFT
+        frames = list(self.frames)
+        if not any(self.marks[e] and not hard[e] and not soft[e] for e in range(n)):
+            held = [0] * n
+            for at, e, _ in self.blocks:
+                if not hard[e]:
+                    held[e] += self._tokens[at][1]
+            inner = [self.marks[e] and not hard[e] and not self.frames[e] for e in range(n)]
+            total = sum(held)
+            for e in range(n - 1, 0, -1):
+                held[self.parents[e]] += held[e]
+                inner[self.parents[e]] |= inner[e]
+            for e in range(n):
+                if frames[e] == SOFT and (inner[e] or 2 * held[e] > total and not any(inner)):
+                    frames[e] = NONE
+        self.framed = [False] * n
+        self.region = [-1] * n  # the outermost element marked as content around each
+        title = [False] * n
+        for e in range(n):
+            p = self.parents[e]
+            if e:
+                self.region[e] = self.region[p]
+                title[e] = title[p]
+            own = frames[e] != NONE
+            if e and self.tags[e] in HEADINGS and self.tags[p] in ("header", "hgroup", "div") and self.region[e] >= 0 and self.framed[p] and not title[p]:
+                title[e] = self._heads_article(p)
+            self.framed[e] = own or (e > 0 and self.framed[p] and not title[e])
+            if self.marks[e] and not self.framed[e] and self.region[e] < 0:
+                self.region[e] = e
+        self.marked = any(r >= 0 for r in self.region)
+
+    def _heads_article(self, e: int) -> bool:
+        """Whether this is the header of an article in no other frame."""
+        while self.tags[e] in ("div", "hgroup") and self.frames[e] == NONE:
+            e = self.parents[e]
+        return self.tags[e] == "header" and self.frames[e] == HARD and not self.framed[self.parents[e]]
+
+    def _leaf(self, e: int) -> str:
+        while e:
+            tag = self.tags[e]
+            if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "td", "li", "pre", "blockquote"):
+                return tag
+            if tag in BLOCK:
+                break
+            e = self.parents[e]
+        return "other"
+
+    def tokens(self, outside_is_frame: bool = True) -> list[Token]:
+        """The tokens by type. In pages that mark their article, words outside it count as frame, but not in the fit."""
+        out = []
+        for tag, n, e in self._tokens:
+            if tag:
+                own = self.frames[e] if self.tags[e] == tag else NONE
+                out.append(("<frame" if own and self.framed[e] else "<content" if self.marks[e] and self.tags[e] == tag else "<" + tag, n))
+            elif self.framed[e] or (outside_is_frame and self.marked and self.region[e] < 0):
+                out.append(("word@frame", n))
+            else:
+                out.append(("word@" + self._leaf(e), n))
+        return out
+
+    def inside(self) -> list[bool]:
+        """Of each token, whether it lies in an element marked as content and in no frame; the label of the fit."""
+        return [self.region[e] >= 0 and not self.framed[e] and not (self.region[e] == e and tag) for tag, _, e in self._tokens]
+
+    def _around(self, elements: list[int]) -> int:
+        """The innermost container around all, or one around that whose name says content; 0 where it is the body."""
+        path = []
+        e = elements[0]
+        while e:
+            path.append(e)
+            e = self.parents[e]
+        place = {e: i for i, e in enumerate(path)}
+        at = 0
+        for e in elements[1:]:
+            while e and e not in place:
+                e = self.parents[e]
+            at = max(at, place.get(e, len(path)))
+        path = [e for e in path[at:] if self.tags[e] not in ("html", "body")]
+        named = [e for e in path if self.named[e]]
+        return (named or [e for e in path if self.tags[e] in ("div", "section", "td", "center", "form")] or [0])[0]
+
+    def text(self, first: int, last: int) -> str:
+        """The blocks of the region that the stretch of tokens lies in, without those in frames."""
+        open_blocks = [(at, e, text) for at, e, text in self.blocks if not self.framed[e]]
+        core = [(at, e) for at, e, _ in open_blocks if first <= at < last]
+        if not core:
+            return ""
+        regions = {self.region[e] for _, e in core} - {-1}
+        around = 0 if regions else self._around([e for _, e in core])
+        within = [False] * len(self.tags)
+        for e in range(1, len(self.tags)):
+            within[e] = within[self.parents[e]] or e in regions or (around > 0 and e == around)
+        begin = core[0][0]
+        if not regions and not around:  # the body itself: headings right before the stretch belong to it
+            for at, e, _ in reversed([b for b in open_blocks if b[0] < begin]):
+                if self._leaf(e) not in HEADINGS:
+                    break
+                begin = at
+        return " ".join(text for at, e, text in open_blocks if within[e] or (not regions and begin <= at <= core[-1][0]))
 
 
 def best_stretch(scores: list[float]) -> tuple[int, int]:
@@ -165,17 +315,18 @@ def weights(inside: dict[str, float], outside: dict[str, float]) -> dict[str, fl
 
 
 def fit(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from the sample's pages that mark their main text."""
-    ids = pages.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h")).distinct().orderBy("h").limit(sample)
-    chosen = pages.select(html, F.xxhash64(html).alias("h")).join(F.broadcast(ids), "h", "left_semi").dropDuplicates(["h"]).select(html)
+    """Weights from a sample of the pages that mark their main text."""
+    labelled = pages.where(F.col(html).rlike(r"(?i)<(?:article|main)\b|articlebody")).select(html, F.xxhash64(html).alias("h"))
+    ids = labelled.select("h").distinct().orderBy("h").limit(sample)
+    chosen = labelled.join(F.broadcast(ids), "h", "left_semi").dropDuplicates(["h"]).select(html)
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[tuple[str, bool]] = Counter()
         for batch in it:
             for source in batch.column(0).to_pylist():
                 page = Page(source)
-                if page.labelled():
-                    for (t, n), inside in zip(page.tokens, page.inside, strict=True):
+                if page.marked:
+                    for (t, n), inside in zip(page.tokens(False), page.inside(), strict=True):
                         if t.startswith("word@") or t[1:] in BLOCK or t in PRIOR:
                             seen[t, inside] += n
         yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in seen], pa.string()), pa.array([i for _, i in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())], names=["token", "inside", "n"])
@@ -189,8 +340,7 @@ def main_text(source: str | None, weight: dict[str, float]) -> str:
         return ""
     page = Page(source)
     unseen = weight[""]
-    first, last = best_stretch([weight.get(t, unseen) * n for t, n in page.tokens])
-    return " ".join(text for at, context, text in page.blocks if first <= at < last and weight.get(context, unseen) > 0)
+    return page.text(*best_stretch([weight.get(t, unseen) * n for t, n in page.tokens()]))
 
 
 def extract(pages: DataFrame, weight: dict[str, float] | None = None, html: str = "html") -> DataFrame:
