@@ -1,6 +1,7 @@
 import itertools
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -82,13 +83,61 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(scorer.score(pa.array(words)), got[:4])
 
 
-def test_expected_counts():
-    """The counts of pieces, times their lengths, are the bytes of the words."""
+def by_recursion(word, probability):
+    """The logarithm of the sum over segmentations, by exact arithmetic."""
+    sums = [Fraction(1)]
+    for j in range(1, len(word) + 1):
+        sums.append(sum((sums[i] * probability[word[i:j]] for i in range(j) if word[i:j] in probability), Fraction(0)))
+    return log_of(sums[-1])
+
+
+def log_of(x):
+    shift = x.denominator.bit_length() - x.numerator.bit_length()
+    return float(np.log(float(x * 2**shift))) - shift * float(np.log(2.0))
+
+
+def test_long_words_and_long_pieces_are_summed_whole(monkeypatch):
+    """Words far over any piece, CJK sentences and stretches that end within a word give the sum over all segmentations."""
+    pieces = langid.pieces_of(MODEL)
+    assert max(map(len, pieces)) > 16 and " different".encode() in pieces
+    table = np.vstack([np.random.RandomState(3).rand(len(pieces), 2) * 1e-5, np.zeros((1, 2))])
+    words = ["donaudampfschifffahrtsgesellschaftskapitänsmütze" * 2, "これはとても長い日本語の文ですから区切りがありません" * 3, "x" * 300, "differentfunction"]
+    exact = [[by_recursion((" " + w).encode(), dict(zip(pieces, map(Fraction, table[:, k]), strict=False))) for k in range(2)] for w in words]
+    assert np.allclose(langid.Scorer(pieces, table).score(pa.array(words)), exact)
+    monkeypatch.setattr(langid, "STRETCH", 37)
+    assert np.allclose(langid.Scorer(pieces, table).score(pa.array(words)), exact)
+
+
+def test_expected_counts(monkeypatch):
+    """The counts of pieces, times their lengths, are the bytes of the words; the same whatever the stretches."""
     pieces = langid.pieces_of(MODEL)
-    table = np.append(np.full(len(pieces), 1 / len(pieces)), 0)
-    words = langid.Words.of(pa.array(["the quick é brown", "x" * 100]))
-    total = np.zeros(len(table))
-    for group, found in words.blocks(np.arange(len(words.starts)), langid.Pieces(pieces)):
-        total += langid.expected(found, table, np.ones(len(group)))
-    assert np.isclose(sum(total[i] * len(p) for i, p in enumerate(pieces)), (words.ends - words.starts).sum())
+    table = np.append(np.random.RandomState(4).rand(len(pieces)) * 1e-6, 0)
+    words = langid.Words.of(pa.array(["the quick é brown different", "x" * 400 + " " + "the" * 200]))
     assert isinstance(words.texts, B.Texts)
+    found = []
+    for stretch in (512, 50):
+        monkeypatch.setattr(langid, "STRETCH", stretch)
+        total = np.zeros(len(table))
+        known = langid.Pieces(pieces)
+        for group, n in words.groups(np.arange(len(words.starts)), known.sizes):
+            total += langid.expected(words, group, n, known, table, np.ones(len(group)))
+        assert np.isclose(sum(total[i] * len(p) for i, p in enumerate(pieces)), (words.ends - words.starts).sum())
+        found.append(total)
+    assert np.allclose(*found)
+
+
+def test_ties_long_texts_and_repeated_rows(spark):
+    """Two languages learned from the same texts tie: the one that sorts first wins. Long texts and words are no trouble."""
+    r = random.Random(6)
+    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    data = [(i, t, lang, "s", 1) for i in train[:40] for t in [text("xx", r, 30)] for lang in ("bb", "aa")]
+    data += [(5000, text("xx", r, 60_000), None, "s", 1), (5001, "k" * 50_000, None, "s", 1)] + data[:6]
+    out = langid.identify(documents(spark, data), MODEL).collect()
+    assert len(out) == len(data) and {r.lang_pred for r in out} == {"aa"}
+    assert all(abs(r.score - 0.5) < 1e-6 for r in out)
+
+
+def test_sample_counts_repeated_rows_once_and_is_bounded(spark):
+    data = [(i % 3 * 4 if i % 2 else None, f"word{chr(97 + i % 5)} again", "xx", "s", 1) for i in range(300)]
+    words = langid.training_words(documents(spark, data), sample=4).collect()
+    assert sum(w.n for w in words if bytes(w.word) == b" again") <= 4

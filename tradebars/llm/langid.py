@@ -6,11 +6,13 @@ words' log-probabilities. Piece probabilities of each language are fitted by a f
 expected counts are gathered as a Spark aggregation, on a bounded sample of labelled documents.
 
 Words are runs of letters of the lower-cased text, each with a blank before it, as UTF-8 bytes; every byte is itself a piece,
-so that any word has a segmentation. Words of more than `LONGEST` bytes are scored in stretches of that length.
+so that any word has a segmentation. Pieces are as long as the vocabulary has them and words as long as the texts have them:
+the forward values are kept in units of a late one, so that they never vanish, and long words are worked through in
+stretches that pass on the last values.
 
 Defined results: `und` and score 0 where the text is null, has no letter, or no language was learned; equal scores go to the
 language that sorts first; a null doc_id counts as the empty text in the fold rule; repeated rows get the same prediction
-each; an empty table gives an empty result; other columns play no part.
+each, and count once in the sample; an empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
@@ -27,12 +29,14 @@ from pyspark.sql import functions as F
 from tradebars.llm import _bytes as B
 from tradebars.llm._tables import settle
 
-#: Labelled documents of each language that the probabilities are fitted on, those of the least hash of doc_id.
+#: Labelled documents of each language that the probabilities are fitted on, those of the least hash of doc_id and text.
 SAMPLE = 1000
 ROUNDS = 3
-LONGEST = 40
-#: Bytes of a piece at most.
-PIECE = 8
+#: Bytes of a word that are looked at together; longer words pass the last values on to the next stretch.
+STRETCH = 512
+#: Places after which the forward values are put into units of the last one. As every byte is a piece, of a probability that
+#: smoothing keeps above some 1e-9, values within so many places and a piece's length differ by less than a double holds.
+SCALED = 12
 #: Added to the expected count of every piece.
 SMOOTHING = 0.05
 #: Words that a worker remembers the log-probabilities of.
@@ -49,7 +53,7 @@ def pieces_of(model_path: str) -> list[bytes]:
     found = {bytes([b]) for b in (32, *range(97, 123), *range(128, 256))}
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).replace("▁", " ")
-        if not model.is_byte(i) and not model.is_control(i) and piece[1 if piece[0] == " " else 0 :].isalpha() and piece == piece.lower() and len(piece.encode()) <= PIECE:
+        if not model.is_byte(i) and not model.is_control(i) and piece[1 if piece[0] == " " else 0 :].isalpha() and piece == piece.lower():
             found.add(piece.encode())
     return sorted(found)
 
@@ -68,20 +72,22 @@ class Pieces:
         self.flags = np.zeros(1 << 20, bool)
         self.flags[(hashes >> U(44)).astype(np.int64)] = True
         self.count = len(pieces)
+        self.sizes = np.unique(lengths)  # the lengths that pieces have
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Index of the piece, or `count` where there is none."""
-        out = np.full(len(hashes), self.count, np.int64)
-        maybe = np.flatnonzero(self.flags[(hashes >> U(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), self.count - 1)
-        hit = self.hashes[at] == hashes[maybe]
+        flat = hashes.ravel()
+        out = np.full(len(flat), self.count, np.int64)
+        maybe = np.flatnonzero(self.flags[(flat >> U(44)).view(np.int64)])
+        at = np.minimum(np.searchsorted(self.hashes, flat[maybe]), self.count - 1)
+        hit = self.hashes[at] == flat[maybe]
         out[maybe[hit]] = self.order[at[hit]]
-        return out
+        return out.reshape(hashes.shape)
 
 
 @dataclass
 class Words:
-    """The words of a column's texts, cut to LONGEST bytes, with the blank before each."""
+    """The words of a column's texts, with the blank before each."""
 
     texts: B.Texts
     starts: np.ndarray
@@ -96,60 +102,106 @@ class Words:
         owners = texts.owner(starts)
         texts.data = np.where(_OTHER[texts.data], np.uint8(32), texts.data)
         starts = starts - 1
-        while len(long := np.flatnonzero(ends - starts > LONGEST)):
-            cut = starts[long] + LONGEST
-            starts, ends, owners = np.concatenate([starts, cut]), np.concatenate([ends, ends[long]]), np.concatenate([owners, owners[long]])
-            ends[long] = cut
         return cls(texts, starts, ends, texts.hashes(starts, ends), owners)
 
-    def blocks(self, words: np.ndarray, pieces: Pieces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Groups of words of one length n, with pieces[w, j, k]: which piece the k + 1 bytes before place j + 1 are."""
+    def groups(self, words: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """Groups of words of one length, with that length: as many as a stretch of them fits into the cells."""
         lengths = (self.ends - self.starts)[words]
         order = np.argsort(lengths, kind="stable")
         edges = np.flatnonzero(np.diff(lengths[order], prepend=0, append=0))
         for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
             n = int(lengths[order[a]])
-            rows = max(1, _CELLS // (n * PIECE))
+            rows = max(1, _CELLS // (min(n, STRETCH) * len(sizes)))
             for at in range(a, b, rows):
-                group = order[at : min(b, at + rows)]
-                ends = (self.starts[words[group], None] + 1 + np.arange(n))[:, :, None]
-                sizes = 1 + np.arange(PIECE)
-                legal = np.broadcast_to(sizes <= 1 + np.arange(n)[:, None], (len(group), n, PIECE))
-                found = np.full(legal.shape, pieces.count, np.int64)
-                ends_ = np.broadcast_to(ends, legal.shape)[legal]
-                found[legal] = pieces.find(self.texts.hashes(ends_ - np.broadcast_to(sizes, legal.shape)[legal], ends_))
-                yield group, found
-
-
-def forward(found: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """alpha[w, j, l]: the probability of the first j bytes; table[piece, l] has a row of zeros at its end."""
-    w, n, most = found.shape
-    alpha = np.zeros((w, n + 1, table.shape[1]))
+                yield order[at : min(b, at + rows)], n
+
+    def pieces(self, words: np.ndarray, low: int, high: int, known: Pieces) -> np.ndarray:
+        """found[w, j, s]: which piece the bytes of length sizes[s] before place low + j + 1 of each word are."""
+        ends = self.starts[words, None] + 1 + np.arange(low, high)
+        found = np.full((*ends.shape, len(known.sizes)), known.count, np.int64)
+        for k, size in enumerate(known.sizes.tolist()):
+            first = max(0, size - 1 - low)  # before that place, the word has fewer bytes
+            if first < high - low:
+                found[:, first:, k] = known.find(self.texts.hashes(ends[:, first:] - size, ends[:, first:]))
+        return found
+
+
+def forward(words: Words, group: np.ndarray, n: int, known: Pieces, table: np.ndarray) -> np.ndarray:
+    """log[w, l] of words of length n: the logarithm of the sum over all segmentations; table[piece, l] has a row of zeros at its end."""
+    width = int(known.sizes[-1])
+    alpha = np.zeros((len(group), width + min(n, STRETCH), table.shape[1]))  # the last `width` values, then those of a stretch
+    alpha[:, width - 1] = 1
+    logs = np.zeros((len(group), table.shape[1]))
+    for low in range(0, n, STRETCH):
+        high = min(n, low + STRETCH)
+        found = words.pieces(group, low, high, known)
+        if low:
+            alpha[:, :width] = alpha[:, STRETCH : STRETCH + width].copy()
+            alpha[:, width:] = 0
+        for j in range(low, high):
+            at = width + j - low
+            for k, size in enumerate(known.sizes.tolist()):
+                if size > j + 1:
+                    break
+                piece = found[:, j - low, k]
+                hit = np.flatnonzero(piece < len(table) - 1)
+                if len(hit):
+                    alpha[hit, at] += alpha[hit, at - size] * table[piece[hit]]
+            if j % SCALED == SCALED - 1:
+                unit = alpha[:, at].copy()
+                alpha[:, at - width + 1 : at + 1] /= unit[:, None]
+                logs += np.log(unit)
+        last = width + high - 1 - low
+    return logs + np.log(alpha[:, last])
+
+
+def expected(words: Words, group: np.ndarray, n: int, known: Pieces, table: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Expected counts of the pieces in words of length n with weights, for one language's table[piece]."""
+    width = int(known.sizes[-1])
+    alpha = np.zeros((len(group), n + 1))
     alpha[:, 0] = 1
-    for j in range(1, n + 1):
-        for k in range(1, min(j, most) + 1):
-            piece = found[:, j - 1, k - 1]
-            hit = np.flatnonzero(piece < len(table) - 1)
-            if len(hit):
-                alpha[hit, j] += alpha[hit, j - k] * table[piece[hit]]
-    return alpha
-
-
-def expected(found: np.ndarray, table: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Expected counts of the pieces in words with weights, for one language's table[piece]."""
-    alpha = forward(found, table[:, None])[:, :, 0]
-    w, n, most = found.shape
-    beta = np.zeros((w, n + 1))
-    beta[:, n] = weight / alpha[:, n]
+    units = np.zeros((len(group), n + 1))  # the logarithm of what each value is a multiple of
+    total = np.zeros(len(group))
+    kept = {}
+    for low in range(0, n, STRETCH):
+        high = min(n, low + STRETCH)
+        found = words.pieces(group, low, high, known)
+        if n <= STRETCH:
+            kept[low] = found
+        for j in range(low + 1, high + 1):
+            for k, size in enumerate(known.sizes.tolist()):
+                if size > j:
+                    break
+                piece = found[:, j - 1 - low, k]
+                hit = np.flatnonzero(piece < len(table) - 1)
+                if len(hit):
+                    alpha[hit, j] += alpha[hit, j - size] * table[piece[hit]]
+            units[:, j] = total
+            if j % SCALED == 0:
+                unit = alpha[:, j].copy()
+                first = max(0, j - width + 1)
+                alpha[:, first : j + 1] /= unit[:, None]
+                units[:, first : j + 1] += np.log(unit)[:, None]
+                total = total + np.log(unit)
+    # share[w, j]: the weight of the segmentations that cut at place j.
+    share = np.zeros((len(group), n + 1))
+    share[:, n] = weight
     out = np.zeros(len(table))
-    for j in range(n, 0, -1):
-        for k in range(1, min(j, most) + 1):
-            piece = found[:, j - 1, k - 1]
-            hit = np.flatnonzero(piece < len(table) - 1)
-            if len(hit):
-                share = beta[hit, j] * table[piece[hit]]
-                np.add.at(out, piece[hit], alpha[hit, j - k] * share)
-                beta[hit, j - k] += share
+    for low in reversed(range(0, n, STRETCH)):
+        high = min(n, low + STRETCH)
+        found = kept[low] if low in kept else words.pieces(group, low, high, known)
+        for j in range(high, low, -1):
+            for k, size in enumerate(known.sizes.tolist()):
+                if size > j:
+                    break
+                piece = found[:, j - 1 - low, k]
+                hit = np.flatnonzero(piece < len(table) - 1)
+                if len(hit):
+                    part = share[hit, j] * table[piece[hit]] * alpha[hit, j - size] / alpha[hit, j]
+                    if n >= SCALED:
+                        part *= np.exp(units[hit, j - size] - units[hit, j])
+                    np.add.at(out, piece[hit], part)
+                    share[hit, j - size] += part
     return out
 
 
@@ -159,15 +211,16 @@ def held_out() -> Column:
 
 def training_words(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(lang, word, n): word counts of the sample of each language."""
-    ids = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    ids = ids.withColumn("bucket", F.shiftrightunsigned(F.xxhash64("doc_id"), 52))
+    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
+    ids = labelled.select("lang", "key").withColumn("bucket", F.shiftrightunsigned("key", 52))
     # Counts by bucket tell up to which hash a language's sample reaches, so few rows are ranked however many there are.
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("bucket"))
-    reach = ids.groupBy("lang", "bucket").agg(F.count("*").alias("n")).withColumn("before", upto - F.col("n")).where(F.col("before") < sample)
-    ids = ids.join(F.broadcast(reach.groupBy("lang").agg(F.max("bucket").alias("last"))), "lang").where("bucket <= last")
-    by = Window.partitionBy("lang").orderBy("bucket", F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= sample).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    chosen = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    sizes = ids.groupBy("lang", "bucket").agg(F.approx_count_distinct("key", 0.02).alias("n"))
+    reach = sizes.withColumn("before", upto - F.col("n")).where(F.col("before") < 1.2 * sample + 10)
+    ids = ids.join(F.broadcast(reach.groupBy("lang").agg(F.max("bucket").alias("last"))), "lang").where("bucket <= last").select("lang", "bucket", "key").distinct()
+    by = Window.partitionBy("lang").orderBy("bucket", "key")
+    ids = ids.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= sample).select(F.col("key").alias("_key"), F.col("lang").alias("_lang"))
+    chosen = labelled.join(F.broadcast(ids), (F.col("key") == F.col("_key")) & (F.col("lang") == F.col("_lang")), "left_semi").dropDuplicates(["lang", "key"])
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -213,8 +266,8 @@ def fit(docs: DataFrame, model_path: str, sample: int = SAMPLE, rounds: int = RO
                 held = Words(texts, ends - lengths, ends, np.zeros(0, U), np.zeros(0, np.int64))
                 for k in np.unique(lang):
                     mine = np.flatnonzero(lang == k)
-                    for group, found in held.blocks(mine, known):
-                        out[:, k] += expected(found, table[:, k], weight[mine[group]])
+                    for group, n in held.groups(mine, known.sizes):
+                        out[:, k] += expected(held, mine[group], n, known, table[:, k], weight[mine[group]])
             piece, k = np.nonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(out[piece, k])], names=["piece", "k", "n"])
 
@@ -245,8 +298,8 @@ class Scorer:
         known &= at < len(self.hashes)
         logs[known] = self.logs[at[known]]
         missing = np.flatnonzero(~known)
-        for group, found in words.blocks(first[missing], self.pieces):
-            logs[missing[group]] = np.log(forward(found, self.table)[:, -1])
+        for group, n in words.groups(first[missing], self.pieces.sizes):
+            logs[missing[group]] = forward(words, first[missing[group]], n, self.pieces, self.table)
         self.new.append((distinct[missing], logs[missing]))
         if sum(len(h) for h, _ in self.new) > CACHE // 8:
             kept = [(self.hashes, self.logs), *self.new] if len(self.hashes) < CACHE else self.new
