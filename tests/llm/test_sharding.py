@@ -38,6 +38,52 @@ def test_hot_group_is_dealt_out(spark):
     check(sharding.assign(documents(spark, data), 24).collect(), data, 24, 0.06)
 
 
+def test_groups_up_to_a_shard_stay_whole_and_sizes_near(spark):
+    """Groups of 0.95, 0.6, 0.6, 0.3 and 0.1 shards stay whole, one of 1.9 shards needs two, and the rest fills the room left."""
+    n, r = 6000, random.Random(5)
+    share = n * 100 / 12
+    data = []
+    for k, part in enumerate((0.95, 0.6, 0.6, 0.3, 0.1, 1.9)):
+        data += [(len(data) + i, f"copy{k} ".ljust(92, "x"), "en", "a", 1) for i in range(int(part * share / 100))]
+    data += [(i, f"text{i} ".ljust(r.randint(40, 144), "y"), r.choice(["en", "fr"]), r.choice("ab"), 1) for i in range(len(data), n)]
+    where = check(sharding.assign(documents(spark, data), 12).collect(), data, 12, 0.03)
+    hot = zlib.crc32("copy5 ".ljust(92, "x").encode())
+    assert len(where[hot]) == 2 and all(len(s) == 1 for t, s in where.items() if t != hot)
+    # The bound is a parameter: with half a shard, the three larger groups are dealt out too.
+    where = check(sharding.assign(documents(spark, data), 12, whole=0.5).collect(), data, 12, 0.03)
+    assert [len(where[zlib.crc32(f"copy{k} ".ljust(92, "x").encode())]) for k in range(6)] == [2, 2, 2, 1, 1, 4]
+
+
+def test_tree_equals_brute_force(spark, monkeypatch):
+    """With no tolerance, every point is where cuts at exact weighted quantiles put it."""
+    monkeypatch.setattr(sharding, "TOLERANCE", 0)
+    monkeypatch.setattr(sharding, "LARGE", 2)
+    r = random.Random(3)
+    data = [(i, f"t{i}" + "z" * r.randint(0, 300), r.choice(["en", "fr", "de"]), r.choice("abcd"), 1) for i in range(400)]
+    docs = documents(spark, data)
+    lots = sharding._lots(sharding._rows(docs, 48 * 7))
+    points = [p.asDict() for p in sharding._points(lots, 1e9, 0, 399)[1].collect()]
+    spread = lambda ps, k: max(p[k] for p in ps) - min(p[k] for p in ps)
+    level, leaves = [(points, 0, 7)], {}
+    while level:
+        open_ = [x for x in level if x[2] > 1]
+        for ps, first, _ in (x for x in level if x[2] == 1):
+            leaves.update((p["text_hash"], first) for p in ps)
+        every = [p for ps, *_ in open_ for p in ps]
+        whole = {k: spread(every, k) for k in sharding._DIMENSIONS} if every else {}
+        level = []
+        for ps, first, k in open_:
+            by = max(sharding._DIMENSIONS, key=lambda d: spread(ps, d) / max(1, whole[d]))  # noqa: B023
+            ps = sorted(ps, key=lambda p: p[by])
+            wanted = sum(p["weight"] for p in ps) * (k // 2 / k)
+            sums = [sum(p["weight"] for p in ps[:i]) for i in range(len(ps) + 1)]
+            cut = min(range(len(ps) + 1), key=lambda i: abs(sums[i] - wanted))
+            level += [(ps[:cut], first, k // 2), (ps[cut:], first + k // 2, k - k // 2)]
+    hashes = {x.doc_id: x.h for x in docs.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    out = sharding.assign(docs, 7).collect()
+    assert {x.doc_id: x.shard for x in out} == {d: leaves[h] for d, h in hashes.items()}
+
+
 def test_odd_rows_and_empty_table(spark):
     data = rows()
     out = sharding.assign(documents(spark).withColumn("shard", F.lit("clash")), 5).collect()

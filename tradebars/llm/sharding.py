@@ -1,15 +1,19 @@
 """Sharding by a k-d tree with distributed weighted medians: the `bytes` law, sizes near equal.
 
-Texts that are equal are one point, so that copies share a shard; a group heavier than `HEAVY` of a shard is dealt into
-points of about that weight, as no balance were possible otherwise. A point has metadata dimensions (bytes of the text,
+Texts that are equal are one point, so that copies share a shard. Only a group that exceeds a whole shard (`WHOLE`, a
+parameter) is dealt into points of a shard's weight at most, as no balance were possible otherwise. Points of more than
+`LARGE` of a shard, of which there are few, are placed first, the heaviest on the shard that holds least, since no cut
+through the others could balance them; the tree fills what they leave. A point has metadata dimensions (bytes of the text,
 language, source, least doc_id) and a weight, its bytes. A node that is to hold k shards is cut along its widest dimension
-at the weighted quantile floor(k / 2) / k, until every leaf is one shard. The quantile is found by sums over bins, which are
-refined until the cut is within `TOLERANCE` of a shard: every round is one aggregation with map-side sums for all nodes of a
-level, and only bins come to the driver, at most `BINS` for each shard.
+at the weighted quantile that is its first floor(k / 2) shards' room as a share of its room, until every leaf is one shard.
+The quantile is found by sums over bins, which are refined until the cut is within `TOLERANCE` of a shard: every round is
+one aggregation with map-side sums for all nodes of a level. Only bins come to the driver, at most `BINS` for each shard,
+and the large points, of which there are less than shards / `LARGE`.
 
 Defined results: a null text has no bytes, size 8 and checksum 0, and is equal to other nulls; null languages, sources and
-ids sort first; repeated rows get slots of their own; with fewer points than shards, or an empty table, some shards stay
-empty; other columns play no part.
+ids sort first; repeated rows get slots of their own; ties are told apart by the text's hash, so they don't depend on how
+rows are dealt out; with fewer points than shards, or an empty table, some shards stay empty; rows of one text and doc_id
+stay together even beyond a shard; other columns play no part.
 """
 
 from __future__ import annotations
@@ -22,24 +26,27 @@ from pyspark.sql import functions as F
 
 from tradebars.llm._tables import settle
 
-BINS = 1024
-HEAVY = 1 / 20
+BINS = 4096
+#: Shards' worth of equal texts up to which they stay in one shard.
+WHOLE = 1.0
+#: Shard's worth from which on a point is placed before the tree is grown.
+LARGE = 1 / 20
 TOLERANCE = 1 / 4000
-#: Lots that the copies of a text are dealt into by doc_id, before anything is shuffled by text.
-LOTS = 1024
+#: Lots for each shard that the copies of a text are dealt into by doc_id, before anything is shuffled by text.
+LOTS = 48
 #: Rows that one task numbers about.
 NUMBERED = 2000
-_BITS = 31
+#: Bits of a dimension's value; the rest of 62 tell points of one value apart.
+_BITS = {"k_bytes": 24, "k_lang": 12, "k_source": 12, "k_id": 31}
 _TEXT = ["text_hash", "text_crc32"]
 _DIMENSIONS = ("k_bytes", "k_lang", "k_source", "k_id")
 
 
 @dataclass
 class Node:
-    """A box of the tree that is to hold `shards` shards, the first of which has number `first`."""
+    """A box of the tree that is to hold the shards in `rooms` (number, room)."""
 
-    first: int
-    shards: int
+    rooms: list[tuple[int, float]]
     dimension: str = ""
     cut: int = 0
     sides: list[Node] = field(default_factory=list)
@@ -47,7 +54,11 @@ class Node:
     def open_leaves(self) -> list[Node]:
         if self.sides:
             return [n for s in self.sides for n in s.open_leaves()]
-        return [self] if self.shards > 1 else []
+        return [self] if len(self.rooms) > 1 else []
+
+    @property
+    def first(self) -> int:
+        return self.rooms[0][0]
 
     def number(self) -> Column:
         """The first shard of the leaf that a point is in."""
@@ -56,37 +67,53 @@ class Node:
         return F.when(F.col(self.dimension) < self.cut, self.sides[0].number()).otherwise(self.sides[1].number())
 
 
-def _rows(docs: DataFrame) -> DataFrame:
+def _rows(docs: DataFrame, lots: int) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", "lang", "source", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64("text").alias("text_hash"), F.pmod(F.xxhash64("doc_id"), F.lit(LOTS)).alias("lot"))
+    return docs.select("doc_id", "lang", "source", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64("text").alias("text_hash"), F.pmod(F.xxhash64("doc_id"), F.lit(lots)).alias("lot"))
 
 
-def _key(value: Column, tie: Column) -> Column:
-    """An order of 62 bits: the value's 31 bits, then a hash that tells points apart."""
-    return F.shiftleft(F.greatest(F.lit(0), F.least(value, F.lit(2**_BITS - 1))).cast("bigint"), _BITS) + F.pmod(tie, F.lit(2**_BITS))
+def _key(value: Column, tie: Column, bits: int) -> Column:
+    """An order of 62 bits: the value's bits, then a hash that tells points apart."""
+    return F.shiftleft(F.greatest(F.lit(0), F.least(value, F.lit(2**bits - 1))).cast("bigint"), 62 - bits) + F.pmod(tie, F.lit(1 << (62 - bits)))
 
 
 def _lots(rows: DataFrame) -> DataFrame:
-    """(text_hash, text_crc32, lot) with sums and least values: of a text's copies, `LOTS` rows at most go on."""
+    """(text_hash, text_crc32, lot) with sums and least values: of a text's copies, as many rows as lots go on at most."""
     name = lambda c: F.min(c).alias(c)
     return rows.groupBy(*_TEXT, "lot").agg(F.sum("size").alias("weight"), F.count("*").alias("copies"), name("size"), name("lang"), name("source"), F.min("doc_id").alias("id"))
 
 
-def _points(lots: DataFrame, heavy: float, least: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """The point (text_hash, text_crc32, part) of each lot, and the points with their dimensions and weight."""
-    groups = lots.groupBy(*_TEXT).agg(F.greatest(F.lit(1), F.ceil(F.sum("weight") / heavy)).cast("bigint").alias("parts"), F.sum("copies").alias("copies"))
-    groups = groups.select(*_TEXT, F.least("parts", "copies", F.lit(LOTS)).alias("parts"))
-    dealt = settle(lots.join(groups, _TEXT).withColumn("part", F.pmod("lot", F.col("parts"))))
+def _points(lots: DataFrame, most: float, low: int, high: int) -> tuple[DataFrame, DataFrame]:
+    """The point (text_hash, text_crc32, part) of each lot, and the points with their dimensions and weight, `most` about."""
+    # A text has as many rows here as there are lots at most, so these windows are short; parts are stretches of lots of like weight.
+    text = Window.partitionBy(*_TEXT)
+    total, upto = F.sum("weight").over(text), F.sum("weight").over(text.orderBy("lot").rowsBetween(Window.unboundedPreceding, 0))
+    parts = F.greatest(F.lit(1), F.least(F.ceil(F.col("total") / most), F.col("copies"))).cast("bigint")
+    part = F.least(F.floor((F.col("upto") - F.col("weight") / 2) * F.col("parts") / F.col("total")).cast("bigint"), F.col("parts") - 1)
+    summed = lots.withColumns({"total": total, "upto": upto, "copies": F.sum("copies").over(text)}).withColumn("parts", parts)
+    dealt = settle(summed.withColumn("part", part).drop("total", "upto", "copies", "parts"))
     by = [*_TEXT, "part"]
     points = dealt.groupBy(*by).agg(F.sum("weight").alias("weight"), F.min("size").alias("bytes"), F.min("lang").alias("lang"), F.min("source").alias("source"), F.min("id").alias("id"))
     tie = F.xxhash64("text_hash", "part")
-    name = lambda c: F.coalesce(F.floor(F.crc32(c) / 2), F.lit(0))
-    share = (F.coalesce("id", F.lit(least)) - F.lit(least)) / F.lit(float(max(1, most - least)))
-    values = {"k_bytes": F.floor(F.log2("bytes") * 2.0**25), "k_lang": name("lang"), "k_source": name("source"), "k_id": F.floor(share * (2.0**_BITS - 1))}
-    return dealt.select(*by, "lot"), points.select(*by, "weight", *[_key(v, tie).alias(k) for k, v in values.items()])
+    name = lambda c, k: F.coalesce(1 + F.pmod(F.crc32(c), F.lit(2 ** _BITS[k] - 1)), F.lit(0))
+    share = (F.coalesce("id", F.lit(low)) - F.lit(low)) / F.lit(float(max(1, high - low)))
+    values = {"k_bytes": F.floor(F.log2("bytes") * 2.0**18), "k_lang": name("lang", "k_lang"), "k_source": name("source", "k_source"), "k_id": F.floor(share * (2.0 ** _BITS["k_id"] - 1))}
+    return dealt.select(*by, "lot"), points.select(*by, "weight", *[_key(v, tie, _BITS[k]).alias(k) for k, v in values.items()])
+
+
+def _placed_first(points: DataFrame, room: float, shards: int) -> tuple[dict[tuple[int, int], int], list[tuple[int, float]]]:
+    """The shard of each large point (text_hash, part), and what room that leaves every shard."""
+    large = points.where(F.col("weight") > LARGE * room).select("text_hash", "part", "weight").collect()
+    rooms = [(room, k) for k in range(shards)]
+    found = {}
+    for r in sorted(large, key=lambda r: (-r.weight, r.text_hash, r.part)):
+        left, k = max(rooms, key=lambda x: (x[0], -x[1]))
+        rooms[k] = (left - r.weight, k)
+        found[r.text_hash, r.part] = k
+    return found, [(k, left) for left, k in rooms if left > 0]
 
 
-def _cuts(points: DataFrame, root: Node, total: float, shards: int) -> bool:
+def _cuts(points: DataFrame, root: Node, room: float) -> bool:
     """Split every open leaf once; False when none was left."""
     nodes = {n.first: n for n in root.open_leaves()}
     if not nodes:
@@ -96,14 +123,15 @@ def _cuts(points: DataFrame, root: Node, total: float, shards: int) -> bool:
     whole = {k: max((r[f"max_{k}"] for r in ranges.values()), default=0) - min((r[f"min_{k}"] for r in ranges.values()), default=0) for k in _DIMENSIONS}
     search = {}
     for first, node in nodes.items():
-        left = node.shards // 2
+        left = len(node.rooms) // 2
+        share = sum(x for _, x in node.rooms[:left]) / sum(x for _, x in node.rooms)
         node.dimension = _DIMENSIONS[0]
         if r := ranges.get(first):
             node.dimension = max(_DIMENSIONS, key=lambda k: (r[f"max_{k}"] - r[f"min_{k}"]) / max(1, whole[k]))
             low, high = r[f"min_{node.dimension}"], r[f"max_{node.dimension}"] + 1
             # low edge, width of a bin, weight below the low edge, weight wanted below the cut
-            search[first] = [low, -(-(high - low) // BINS), 0, r.weight * left / node.shards]
-        node.sides = [Node(first, left), Node(first + left, node.shards - left)]
+            search[first] = [low, -(-(high - low) // BINS), 0, r.weight * share]
+        node.sides = [Node(node.rooms[:left]), Node(node.rooms[left:])]
     while search:
         value = F.lit(None).cast("bigint")
         for first, (low, width, *_) in search.items():
@@ -121,7 +149,7 @@ def _cuts(points: DataFrame, root: Node, total: float, shards: int) -> bool:
                     break
                 below += weight
             near = min(wanted - below, below + weight - wanted)
-            if width == 1 or near <= TOLERANCE * total / shards:
+            if width == 1 or near <= TOLERANCE * room:
                 nodes[first].cut = low + (at + (below + weight - wanted < wanted - below)) * width
                 del search[first]
             else:
@@ -129,19 +157,25 @@ def _cuts(points: DataFrame, root: Node, total: float, shards: int) -> bool:
     return True
 
 
-def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row."""
-    rows = _rows(docs)
-    whole = rows.agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    total = whole["size"] or 0
-    dealt, points = _points(settle(_lots(rows)), max(1.0, HEAVY * total / shards), whole.low or 0, whole.high or 0)
+def assign(docs: DataFrame, shards: int = 24, whole: float = WHOLE) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row; equal texts up to `whole` shards' bytes stay together."""
+    rows = _rows(docs, LOTS * shards)
+    sums = rows.agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    room = max(1.0, (sums["size"] or 0) / shards)
+    dealt, points = _points(settle(_lots(rows)), whole * room, sums.low or 0, sums.high or 0)
     points = settle(points)
-    root = Node(0, shards)
-    while _cuts(points, root, total, shards):
+    first, rooms = _placed_first(points, room, shards)
+    small = points.where(F.col("weight") <= LARGE * room)
+    root = Node(rooms or [(0, room)])
+    while _cuts(small, root, room):
         pass
-    numbers = dealt.join(points.select(*_TEXT, "part", root.number().alias("shard")), [*_TEXT, "part"]).drop("part")
+    numbers = small.select(*_TEXT, "part", root.number().alias("shard"))
+    if first:
+        held = docs.sparkSession.createDataFrame([(h, p, k) for (h, p), k in first.items()], "text_hash bigint, part bigint, shard int")
+        numbers = numbers.union(points.join(F.broadcast(held), ["text_hash", "part"]).select(*_TEXT, "part", "shard"))
+    numbers = dealt.join(numbers, [*_TEXT, "part"]).drop("part")
     placed = rows.select("doc_id", "size", *_TEXT, "lot").join(numbers, [*_TEXT, "lot"]).drop("lot")
-    stretches = max(1, math.ceil(whole.n / shards / NUMBERED))
+    stretches = max(1, math.ceil(sums.n / shards / NUMBERED))
     placed = settle(placed.withColumn("stretch", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(stretches))))
     sizes = placed.groupBy("shard", "stretch").agg(F.count("*").alias("n"))
     offsets = sizes.select("shard", "stretch", (F.sum("n").over(Window.partitionBy("shard").orderBy("stretch")) - F.col("n")).alias("offset"))
