@@ -32,9 +32,9 @@ def corpus():
 
 
 def brute_quality(data):
-    counted = [(r, dict(zip(quality.COUNTS, test_quality_rules.brute(r[1]), strict=True))) for r in data]
+    counted = [(r, dict(zip(quality.COUNTS, test_quality_rules.brute(r[1]), strict=True)) | {"lines": sum(1 for line in (r[1] or "").split("\n") if line.strip(" \t\n\r\x0b\x0c"))}) for r in data]
     failed = lambda c: c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
-    value = lambda m, c: {"symbol_share": c["n_symbols"] / max(1, c["word_chars"]), "word_length": c["word_chars"] / max(1, c["n_words"]), "dup_line_share": c["n_dup_lines"] / max(1, c["n_words"])}[m]
+    value = lambda m, c: {"symbol_share": c["n_symbols"] / max(1, c["word_chars"]), "word_length": c["word_chars"] / max(1, c["n_words"]), "dup_line_share": c["n_dup_lines"] / max(1, c["lines"])}[m]
     seen = defaultdict(list)
     for r, c in counted:
         if not failed(c):

@@ -35,8 +35,8 @@ def _bucket(x: str) -> str:
 
 def quality(docs: str = "documents") -> str:
     """CTEs that end in judged(doc_id, counts, base_failed, kept)."""
-    metrics = {"symbol_share": "n_symbols / greatest(word_chars, 1)", "word_length": "word_chars / greatest(n_words, 1)", "dup_line_share": "n_dup_lines / greatest(n_words, 1)"}
-    least = "CASE metric WHEN 'symbol_share' THEN 0.02 WHEN 'word_length' THEN 0.75 ELSE 0.1 END"
+    metrics = {"symbol_share": "n_symbols / greatest(word_chars, 1)", "word_length": "word_chars / greatest(n_words, 1)", "dup_line_share": "n_dup_lines / greatest(n_lines, 1)"}
+    least = "CASE metric WHEN 'symbol_share' THEN 0.02 WHEN 'word_length' THEN 0.75 ELSE 0.075 END"
     quartile = lambda q: f"min(CASE WHEN upto >= {q} * total THEN bucket END)"
     middle = lambda b: f"CASE WHEN {b} <= 0 THEN 0.0 ELSE 1e-3 * pow(1.02, {b} - 0.5) END"
 
@@ -56,11 +56,11 @@ q_words AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extr
 q_grams AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, unnest(list_transform(range(1, len(ws) - 6), lambda i: array_to_string(ws[i:i + 7], ' '))) AS g FROM q_words WHERE len(ws) >= 8),
 q_twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM q_grams) WHERE c > 1),
 q_repeat AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM q_twice) GROUP BY doc_id),
-q_lines AS (SELECT doc_id, CAST(sum(c - 1) AS BIGINT) AS n FROM (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM q_words)
+q_lines AS (SELECT doc_id, CAST(sum(c - 1) AS BIGINT) AS n, CAST(sum(c) AS BIGINT) AS lines FROM (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM q_words)
   WHERE regexp_matches(line, {_WORDS}) GROUP BY doc_id, line) GROUP BY doc_id),
 counted AS (
   SELECT d.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
-    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(l.lines, 0) AS n_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM q_words d LEFT JOIN q_lines l USING (doc_id) LEFT JOIN q_repeat r USING (doc_id)),
 passed AS (SELECT * FROM counted WHERE NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)),
 metered AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {_bucket(x)} AS bucket FROM passed" for m, x in metrics.items())}),

@@ -6,9 +6,6 @@ and languages merge by adding. Its size is bounded by the buckets, whatever the
 thresholds however the rows are dealt out. A document is rejected when the fixed base rules fail it, or when a metric lies
 beyond the fence of its own (language, source).
 
-`METRICS` are those of the query op9 and its SQL, where repeated lines count against words; in ordinary lines they never
-reach that fence. `keep_good`, the pipeline's stage, takes `LINE_METRICS`, where they count against lines.
-
 Defined results: a null or empty text has no words, so it is rejected by the base rules; null languages and sources form
 groups of their own; repeated rows count each time; an empty table gives an empty result; other columns pass through
 `verdicts` untouched, and a column of the same name as an added one is replaced.
@@ -31,7 +28,7 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 CHARACTER = ~B.SPACE & ((np.arange(256) & 0xC0) != 0x80)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Lines with a word; counted where a metric asks for them.
+#: Lines with a word.
 LINES = "_n_lines"
 WINDOW = 8
 
@@ -40,9 +37,8 @@ GAMMA, LEAST = 1.02, 1e-3
 #: Fence: the group's median plus or minus `REACH` times its spread, which counts as `spread` at least.
 REACH = 4.0
 #: metric: (least spread, whether a low value also counts against a document)
-METRICS = {"symbol_share": (0.02, False), "word_length": (0.75, True), "dup_line_share": (0.1, False)}
 #: The last one: where repeated lines are rare, a text goes when more than 30 % of its lines repeat earlier ones.
-LINE_METRICS = {"symbol_share": (0.02, False), "word_length": (0.75, True), "dup_share_of_lines": (0.075, False)}
+METRICS = {"symbol_share": (0.02, False), "word_length": (0.75, True), "dup_line_share": (0.075, False)}
 #: Groups with fewer documents take the sketch of their language, and that one too that of all documents.
 ENOUGH = 50
 #: (language, source) groups up to which the thresholds are broadcast; beyond, they are joined by key.
@@ -86,9 +82,9 @@ def count_texts(column: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None, lines: bool = False) -> DataFrame:
-    """The documents' columns in `keep` (all by default) and the five counts of the text, with `lines` its lines too."""
-    added = (*COUNTS, LINES) if lines else COUNTS
+def counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The documents' columns in `keep` (all by default), the five counts of the text and its lines with a word."""
+    added = (*COUNTS, LINES)
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
     docs = docs.select(*dict.fromkeys([*names, text]))
     where = docs.columns.index(text)
@@ -115,8 +111,7 @@ def _metric(name: str) -> Column:
     return {
         "symbol_share": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
         "word_length": F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)),
-        "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_words"), F.lit(1)),
-        "dup_share_of_lines": F.col("n_dup_lines") / F.greatest(F.col(LINES), F.lit(1)),
+        "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col(LINES), F.lit(1)),
     }[name]
 
 
@@ -128,9 +123,9 @@ def middle(bucket_no: Column) -> Column:
     return F.when(bucket_no <= 0, F.lit(0.0)).otherwise(LEAST * F.pow(F.lit(GAMMA), bucket_no - 0.5))
 
 
-def sketches(counted: DataFrame, metrics: dict[str, tuple[float, bool]] = METRICS) -> DataFrame:
+def sketches(counted: DataFrame) -> DataFrame:
     """Bucket counts (lang, source, metric, bucket, n) of the documents that the base rules pass."""
-    metric = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), bucket(_metric(m)).alias("bucket")) for m in metrics]))
+    metric = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), bucket(_metric(m)).alias("bucket")) for m in METRICS]))
     passed = counted.where(~base_failed()).select("lang", "source", metric.alias("m")).select("lang", "source", "m.*")
     return passed.groupBy("lang", "source", "metric", "bucket").agg(F.count("*").alias("n"))
 
@@ -142,7 +137,7 @@ def _quartiles(merged: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.groupBy(*keys, "metric").agg(F.max("total").alias("total"), *[middle(at(q)).alias(f"q{round(100 * q)}") for q in (0.25, 0.5, 0.75)])
 
 
-def thresholds(sketch: DataFrame, metrics: dict[str, tuple[float, bool]] = METRICS) -> DataFrame:
+def thresholds(sketch: DataFrame) -> DataFrame:
     """One row for each (lang, source): the low and high fence of every metric.
 
     A group with few documents merges into its language, and a language with few into all documents.
@@ -155,38 +150,37 @@ def thresholds(sketch: DataFrame, metrics: dict[str, tuple[float, bool]] = METRI
     joined = own.join(lang, F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.metric") == F.col("b.metric"))).join(F.broadcast(every), F.col("a.metric") == F.col("c.metric"))
     pick = lambda q: F.when(F.col("a.total") >= ENOUGH, F.col(f"a.{q}")).when(F.col("b.total") >= ENOUGH, F.col(f"b.{q}")).otherwise(F.col(f"c.{q}"))
     spread = F.greatest(F.col("q75") - F.col("q25"), F.col("least"))
-    least = F.create_map(*[F.lit(x) for m, (s, _) in metrics.items() for x in (m, s)])
+    least = F.create_map(*[F.lit(x) for m, (s, _) in METRICS.items() for x in (m, s)])
     fences = joined.select("a.lang", "a.source", F.col("a.metric").alias("metric"), *[pick(q).alias(q) for q in ("q25", "q50", "q75")]).withColumn("least", least[F.col("metric")])
     fences = fences.withColumns({"low": F.col("q50") - REACH * spread, "high": F.col("q50") + REACH * spread})
     one = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}_{c}")
-    return fences.groupBy("lang", "source").agg(*[one(m, c) for m, (_, both) in metrics.items() for c in (("low", "high") if both else ("high",))])
+    return fences.groupBy("lang", "source").agg(*[one(m, c) for m, (_, both) in METRICS.items() for c in (("low", "high") if both else ("high",))])
 
 
-def verdicts(docs: DataFrame, sketch: DataFrame | None = None, keep: list[str] | None = None, metrics: dict[str, tuple[float, bool]] = METRICS) -> DataFrame:
+def verdicts(docs: DataFrame, sketch: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
     """The documents with their counts, `base_failed` and `kept`.
 
     `sketch` may hold sketches of the metrics merged from earlier runs; by default they are made from these documents. The counts are
     taken twice, once for the sketches and once beside the text: that costs less than to write and join the texts.
     """
-    lines = "dup_share_of_lines" in metrics
     if sketch is None:
-        sketch = sketches(counts(docs, keep=["lang", "source"], lines=lines), metrics)
-    fence = thresholds(settle(sketch), metrics)
+        sketch = sketches(counts(docs, keep=["lang", "source"]))
+    fence = thresholds(settle(sketch))
     names = docs.columns if keep is None else keep
-    counted = counts(docs, keep=list(dict.fromkeys([*names, "lang", "source"])), lines=lines)
+    counted = counts(docs, keep=list(dict.fromkeys([*names, "lang", "source"])))
     renamed = settle(fence.withColumnsRenamed({"lang": "_lang", "source": "_source"}))
     small = renamed.count() <= BROADCAST_GROUPS
     joined = counted.join(F.broadcast(renamed) if small else renamed, counted["lang"].eqNullSafe(F.col("_lang")) & counted["source"].eqNullSafe(F.col("_source")), "left")
     odd = F.lit(False)
-    for m, (_, both) in metrics.items():
+    for m, (_, both) in METRICS.items():
         odd = odd | F.coalesce(_metric(m) > F.col(f"{m}_high"), F.lit(False))
         if both:
             odd = odd | F.coalesce(_metric(m) < F.col(f"{m}_low"), F.lit(False))
     judged = joined.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & ~odd})
-    return judged.select(*[c for c in dict.fromkeys(names) if c not in (*COUNTS, "base_failed", "kept")], *COUNTS, "base_failed", "kept")
+    return judged.select(*[c for c in dict.fromkeys(names) if c not in (*COUNTS, LINES, "base_failed", "kept")], *COUNTS, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with."""
     inner, restore = shield(docs, [*COUNTS, LINES, "base_failed", "kept", "_lang", "_source"])
-    return restore(verdicts(inner, metrics=LINE_METRICS).where("kept"))
+    return restore(verdicts(inner).where("kept"))
