@@ -78,6 +78,37 @@ def test_redact(spark):
         assert base(r.text) == []
 
 
+def test_redact_equals_brute_force_across_blocks(spark, monkeypatch):
+    """Blocks shorter than spans and gaps, and a very long text with very many secrets."""
+    long = "é🙂 filler words " * 3000 + "token=abcdef1 é " * 3000 + "x" * 9000
+    texts = [*TEXTS, long, "token=abcdef1"]
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    want = {}
+    for i, t in enumerate(texts):
+        merged = []
+        for s, _, e in sorted(base(t) + weak(t)):
+            if merged and s <= merged[-1][1]:
+                merged[-1][1] = max(e, merged[-1][1])
+            else:
+                merged.append([s, e])
+        pieces, at = [], 0
+        for s, e in merged:
+            pieces += [t[at:s], "[SECRET]"]
+            at = e
+        want[i] = "".join(pieces) + t[at:]
+    for size in (7, 4096):
+        monkeypatch.setattr(secrets, "BLOCK", size)
+        assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == want
+    monkeypatch.setattr(secrets, "BROADCAST_ROWS", 0)
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == want
+
+
+def test_scan_with_clashing_columns(spark):
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(TEXTS)])
+    odd = docs.withColumns({c: F.lit("mine") for c in ("kind", "start", "end", "text_hash", "spans", "bucket", "role")})
+    assert sorted(map(str, secrets.scan(odd).collect())) == sorted(map(str, secrets.scan(docs).collect()))
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert secrets.scan(empty).count() == 0 and secrets.redact(empty).count() == 0

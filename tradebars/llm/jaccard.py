@@ -360,10 +360,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     inner, restore = shield(docs, ["_key", "_keep"])
     inner = inner.withColumn("_key", F.xxhash64("doc_id", "text"))
-    groups = join_groups(inner.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    groups = join_groups(inner.select(F.col("_key").alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("_key")).agg(F.max("component_id").alias("component_id"), F.count("*").alias("rows"))
     named = groups.join(inner.select("_key", "doc_id").distinct(), "_key")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
-    firsts = settle(named.groupBy("component_id").agg(first).select(F.col("first._key").alias("_keep")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key", "rows")).alias("first")
+    firsts = settle(named.groupBy("component_id").agg(first).select(F.col("first._key").alias("_keep"), F.col("first.rows").alias("rows")))
     small = firsts.count() <= BROADCAST_ROWS
-    kept = inner.join(F.broadcast(firsts) if small else firsts, inner["_key"] == F.col("_keep"), "left_semi")
-    return restore(kept.dropDuplicates(["_key"]))
+
+    def kept(some: DataFrame) -> DataFrame:
+        some = some.select("_keep")
+        return inner.join(F.broadcast(some) if small else some, inner["_key"] == F.col("_keep"), "left_semi")
+
+    # Only rows that are repeated are shuffled with their texts.
+    twice = firsts.where("rows > 1")
+    once = kept(firsts.where("rows = 1"))
+    return restore(once if twice.isEmpty() else once.union(kept(twice).dropDuplicates(["_key"])))

@@ -32,6 +32,8 @@ STRONG = KINDS[:3]
 ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "identifier": "identifier", "secret": "secret", "endpoint": "endpoint"}
 SCOPE = 200
 MASK = "[SECRET]"
+#: Code points of a block that `redact` cuts texts with secrets into.
+BLOCK = 4096
 #: Documents with secrets up to which `redact` broadcasts their spans.
 BROADCAST_ROWS = 200_000
 
@@ -124,23 +126,42 @@ def written(spans_: Column) -> Column:
     return F.array_join(F.transform(spans_, lambda s: F.concat_ws(":", s["name"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _masked(mask: str) -> Column:
+    """The text, cut into blocks of BLOCK code points, with a mask for each of its merged spans.
+
+    What lies between two spans is taken from the blocks at its ends and the whole ones between, so the work grows with the
+    text and the spans, not with their product.
+    """
+
+    def between(low: Column, high: Column) -> Column:
+        first, last = F.floor(low / BLOCK).cast("int"), F.floor(high / BLOCK).cast("int")
+        block = lambda i: F.coalesce(F.get("blocks", i), F.lit(""))
+        at = lambda x: (x % BLOCK).cast("int")
+        one = F.substring(block(first), at(low) + 1, F.greatest(high - low, F.lit(0)).cast("int"))
+        inner = F.array_join(F.slice("blocks", first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        return F.when(first == last, one).otherwise(F.concat(F.substring(block(first), at(low) + 1, F.lit(BLOCK)), inner, F.substring(block(last), F.lit(1), at(high))))
+
+    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.col("spans.end"))
+    starts = F.concat(F.col("spans.start"), F.array(F.char_length("text").cast("bigint")))
+    return F.array_join(F.transform(F.arrays_zip(ends.alias("low"), starts.alias("high")), lambda z: between(z["low"], z["high"])), mask)
+
+
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """The documents, with the columns they came with, and a mask in place of every reported span of the text.
 
-    Overlapping spans get one mask. Documents without secrets are untouched.
+    Overlapping and adjoining spans get one mask. Documents without secrets, null and empty texts are untouched; repeated
+    rows are masked each.
     """
-    inner, restore = shield(docs, ["text_hash", "spans", "_d", "_h"])
-    found = settle(_grouped(docs.select("doc_id", "text")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"}))
+    inner, restore = shield(docs, ["text_hash", "spans", "blocks", "_d", "_h"])
+    by = Window.partitionBy(*_KEY).orderBy("start", "end")
+    before = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.when(F.col("start") > F.col("before"), 1).otherwise(0)).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    merged = spans(docs.select("doc_id", "text")).withColumn("before", before).withColumn("island", island)
+    merged = merged.groupBy(*_KEY, "island").agg(F.min("start").cast("bigint").alias("start"), F.max("end").cast("bigint").alias("end"))
+    found = merged.groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
+    found = settle(found)
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
     joined = inner.withColumn("text_hash", F.xxhash64("text")).join(found, inner["doc_id"].eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
-
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring("text", acc["at"] + F.lit(1), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        more = F.struct(F.concat(acc["out"], between, F.lit(mask)).alias("out"), s["end"].cast("int").alias("at"))
-        longer = F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"].cast("int")).alias("at"))
-        return F.when((s["start"] >= acc["at"]), more).otherwise(longer)
-
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    masked = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + F.lit(1), F.char_length("text"))))
-    return restore(joined.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(masked)))
+    cut = F.when(F.col("spans").isNotNull(), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+    return restore(joined.withColumn("blocks", cut).withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(_masked(mask))))
