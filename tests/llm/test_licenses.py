@@ -1,6 +1,7 @@
 import re
 
 from fixtures import SCHEMA, documents, rows
+from pyspark.sql import functions as F
 
 from tradebars.llm import licenses
 
@@ -29,8 +30,7 @@ def brute(text):
         at = [i for i in range(len(words)) if words[i : i + len(p)] == p]
         places += at
         labels |= {label} if at else set()
-    for label, text_, key in licenses.TEMPLATES:
-        t, k = text_.split(), key.split()
+    for label, t, k, _ in licenses.templates():
         off = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
         assert any(w not in licenses.COMMON for w in k)
         more |= {label} if any(words[i : i + len(k)] == k and i - off + len(t) > 0 for i in range(len(words))) else set()
@@ -54,5 +54,25 @@ def test_method_labels(spark):
     assert out[8].labels == "mpl-2.0" and out[4].score > 0.9
 
 
+def test_whole_bodies(spark):
+    """A body is whole with few words changed; with its key phrase alone, or scattered, it isn't. The brute force agrees on all labels."""
+    texts, want = [], []
+    for label, key, text in licenses.BODIES:
+        words = text.split()
+        texts += ["Copyright 2024 someone\n" + text + "\nint main()", f"about {key} and more", " ".join(reversed(words)), " ".join(w if i % 40 else "changed" for i, w in enumerate(words)).replace("changed", words[0], 1)]
+        want += [label, "", "", None]
+    out = {r.doc_id: r for r in licenses.scan(documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        assert out[i].labels == brute(t)[-1], t
+        assert want[i] is None or out[i].whole_labels == want[i]
+    assert all(out[i].score > 0.99 for i in range(0, len(texts), 4))
+
+
+def test_clashing_columns_and_ties(spark):
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(TEXTS)])
+    odd = docs.withColumns({c: F.lit("mine") for c in ("word", "words", "place", "template", "label", "score", "text_hash", "weight", "at", "key")})
+    assert sorted(map(str, licenses.scan(odd).collect())) == sorted(map(str, licenses.scan(docs.repartition(5)).collect()))
+
+
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0

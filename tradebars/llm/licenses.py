@@ -2,10 +2,11 @@
 
 Spark's built-in functions do all of it. Texts are lower-cased (A-Z) and cut into words. Base phrases are counted where
 their words stand consecutively. The index holds, for each word of the licence templates below, the templates and places
-where it stands. Word weights (IDF) are counted over all documents. For each document and template, the word of highest
+where it stands. Word weights (IDF) are counted over all documents for the words of key phrases, and for others over the
+documents that hold one of these. For each document and template, the word of highest
 weight that the document shares with the template's key phrase is looked up; a hit at place p in the document and q in the
 template proposes that the template begins at p - q, and proposals are joined with the template's words at those places. A
-template counts when its mandatory key phrase stands there whole. As a whole key phrase has all its words, the one looked up
+template, a licence's naming line or its body, counts when its mandatory key phrase stands there whole. As a whole key phrase has all its words, the one looked up
 is among them, so no phrase is missed. Its score is the weight of its matched words, as a share of all its words.
 
 Defined results: a null or empty text has no words, places or labels, and score 0; repeated rows get the same result each;
@@ -33,6 +34,7 @@ TEMPLATES = (
     ("artistic-2.0", "the artistic license 2 0", "artistic license 2 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
     ("bsd", "released under the bsd license", "bsd license"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("bsl-1.0", "boost software license version 1 0", "boost software license"),
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
     ("cc-by-4.0", "creative commons attribution 4 0 international", "creative commons attribution 4 0 international"),
@@ -50,14 +52,56 @@ TEMPLATES = (
     ("mpl-2.0", "mozilla public license version 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
+#: Licence bodies as published, without the lines that name holders and years: label, mandatory key phrase, text.
+BODIES = (
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software
+        without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies
+        or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+        WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("isc", "provided that the above copyright notice and this permission notice appear in all copies", """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this
+        permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+        OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
+        OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code
+        must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+        CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT
+        NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("unlicense", "this is free and unencumbered software released into the public domain", """
+        This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
+        code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this
+        software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our
+        heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."""),
+    ("zlib", "altered source versions must be plainly marked as such", """
+        This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+        restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an
+        acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as
+        being the original software. 3. This notice may not be removed or altered from any source distribution."""),
+)
 #: Words of templates that are too common to be looked up; they still count in key phrases.
 COMMON = frozenset("0 1 2 3 4 a and any are at by copy except file for free in into is may not of only option or other person purpose source terms the this to under use v version with without you your".split())
 #: Words looked up for each document and template.
 LOOKED_UP = 1
+#: Share of a body's weight from which on the whole licence stands in the text.
+WHOLE = 0.9
 _KEY = ["doc_id", "text_hash"]
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def templates() -> list[tuple[str, list[str], list[str], bool]]:
+    """(label, words, words of the key phrase, whether a body) of every template."""
+    cut = lambda t: re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", t.lower()).split()
+    return [(label, cut(text), cut(key), False) for label, text, key in TEMPLATES] + [(label, cut(text), cut(key), True) for label, key, text in BODIES]
+
+
 def _words() -> Column:
     lowered = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     return F.trim(F.regexp_replace(lowered, _BREAK, " "))
@@ -92,27 +136,27 @@ def base(docs: DataFrame) -> DataFrame:
 
 
 def _index(spark) -> DataFrame:
-    """(template, label, place, word, key): the words of all templates, and whether they belong to the key phrase."""
+    """(template, label, body, place, word, key): the words of all templates, and whether they belong to the key phrase."""
     rows = []
-    for t, (label, text, phrase) in enumerate(TEMPLATES):
-        words, key = text.split(), phrase.split()
+    for t, (label, words, key, body) in enumerate(templates()):
         at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-        rows += [f"({t}, '{label}', {i}, '{w}', {str(at <= i < at + len(key)).lower()})" for i, w in enumerate(words)]
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, label, place, word, key)")
+        rows += [f"({t}, '{label}', {str(body).lower()}, {i}, '{w}', {str(at <= i < at + len(key)).lower()})" for i, w in enumerate(words)]
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, label, body, place, word, key)")
 
 
 def matched(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, label, score) of the templates whose key phrase a text holds, one row a label."""
+    """(doc_id, text_hash, label, score, whole) of the templates whose key phrase a text holds, one row a label; whole says
+    whether a licence's whole body stands there, but for a tenth of its weight."""
     spark = docs.sparkSession
     index = _index(spark)
-    vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
-    rare = [w for w in vocabulary if w not in COMMON]
+    vocabulary = sorted({w for _, words, _, _ in templates() for w in words})
+    rare = sorted({w for *_, key, _ in templates() for w in key if w not in COMMON})
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), _words().alias("words"))
     held = rows.where(F.concat(F.lit(" "), "words", F.lit(" ")).rlike(f" (?:{'|'.join(map(re.escape, rare))}) "))
     hits = held.select(*_KEY, F.posexplode(F.split("words", " ")).alias("place", "word")).where(F.col("word").isin(vocabulary))
     hits = settle(hits.repartition(*_KEY).dropDuplicates([*_KEY, "place"]))
     total = docs.count()
-    counts = hits.where(F.col("word").isin(rare)).dropDuplicates([*_KEY, "word"])
+    counts = hits.where(~F.col("word").isin(sorted(COMMON))).dropDuplicates([*_KEY, "word"])
     weights = settle(counts.groupBy("word").agg((1 + F.log(F.lit(total + 1) / (F.count("*") + 1))).alias("weight")))
     weighted = F.broadcast(index.join(weights, "word", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0))))
 
@@ -124,17 +168,17 @@ def matched(docs: DataFrame) -> DataFrame:
     postings = F.broadcast(index.where("key").select("template", "word", "place"))
     begins = placed.join(postings, ["template", "word"]).select(*_KEY, "template", (F.col("at") - F.col("place")).alias("begin")).distinct()
 
-    expected = begins.join(weighted, "template").select(*_KEY, "template", "label", "begin", (F.col("begin") + F.col("place")).alias("at"), "word", "key", "weight")
+    expected = begins.join(weighted, "template").select(*_KEY, "template", "label", "body", "begin", (F.col("begin") + F.col("place")).alias("at"), "word", "key", "weight")
     got = tokens.withColumn("there", F.lit(True))
     seen = expected.alias("e").join(got.alias("g"), F.col("e.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("e.text_hash") == F.col("g.text_hash")) & (F.col("e.at") == F.col("g.at")) & (F.col("e.word") == F.col("g.word")), "left").select("e.*", F.coalesce("g.there", F.lit(False)).alias("there"))
-    judged = seen.groupBy(*_KEY, "template", "label", "begin").agg(F.every(F.col("there") | ~F.col("key")).alias("whole"), (F.sum(F.when(F.col("there"), F.col("weight")).otherwise(0.0)) / F.sum("weight")).alias("score"))
-    return judged.where("whole").groupBy(*_KEY, "label").agg(F.max("score").alias("score"))
+    judged = seen.groupBy(*_KEY, "template", "label", "body", "begin").agg(F.every(F.col("there") | ~F.col("key")).alias("whole"), (F.sum(F.when(F.col("there"), F.col("weight")).otherwise(0.0)) / F.sum("weight")).alias("score"))
+    return judged.where("whole").groupBy(*_KEY, "label").agg(F.max("score").alias("score"), F.max(F.col("body") & (F.col("score") >= WHOLE)).alias("whole"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row."""
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, whole_labels) of every row."""
     docs = docs.select("doc_id", "text")
-    more = matched(docs).groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(F.collect_set("label").alias("more"), F.max("score").alias("best"))
+    more = matched(docs).groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(F.collect_set("label").alias("more"), F.max("score").alias("best"), F.collect_set(F.when(F.col("whole"), F.col("label"))).alias("bodies"))
     rows = base(docs)
     out = rows.join(more, rows["doc_id"].eqNullSafe(more["_d"]) & (rows["text_hash"] == more["_h"]), "left")
     joined = lambda c: F.array_join(F.sort_array(F.array_distinct(c)), ",")
@@ -144,4 +188,5 @@ def scan(docs: DataFrame) -> DataFrame:
         joined(F.col("base_labels")).alias("base_labels"),
         joined(F.concat("base_labels", F.coalesce("more", none))).alias("labels"),
         F.when(F.size("base_labels") > 0, 1.0).otherwise(F.least(F.lit(1.0), F.coalesce("best", F.lit(0.0)))).alias("score"),
+        joined(F.coalesce("bodies", none)).alias("whole_labels"),
     )
