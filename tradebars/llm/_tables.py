@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (as in tests)."""
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+from pyspark.sql import DataFrame
 
+from tradebars.functions.tables import new_path
 
 #: Rows that a task writes at least where the number of rows is known.
 ROWS_A_TASK = 250_000
@@ -27,11 +16,11 @@ def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write the rows as Parquet to the shared folder and read them again.
 
     That cuts the lineage, survives lost executors, and gives the planner true sizes. Where about so many rows are known to
-    come, as many tasks write them as they need.
+    come, as many tasks write them as they need. `tradebars.functions.tables.clear` deletes what a job has written so.
     """
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
