@@ -6,18 +6,22 @@ copies cost nothing beyond their own scan. The work on classes:
 1. Screen. In hash order, the first n - ceil(0.8 n) + l shingles of two linked sets have l in common at least (l is 0.15 n
    here, and 0.15 of 0.8 n where the partner may be smaller). Only these are dealt into fragments of the order; each
    fragment counts, per class, the shingles that another class has too, and the counts are summed per class. A class below
-   its bound has no link. Most texts end here, having moved a third of their shingles once.
-2. Fragments. The whole sets of the remaining classes are cut at the fragments of the n-gram order. Each fragment drops
-   what no other class has and notes how many classes have the rest.
+   its bound has no link. Most texts end here, having moved a third of their shingles once. Of a shingle that many classes
+   of a task share, the task passes on two and counts the others itself, so no shingle fills a fragment.
+2. Fragments. The whole sets of the remaining classes are cut at the fragments of the n-gram order. Tasks count how many
+   classes have each shingle, the counts are summed by fragment, and then meet the sets: what no other class has is
+   dropped, the rest goes on with its count. A fragment that a hot shingle makes large is dealt out by class, with a copy of
+   its counts for each part.
 3. Candidates. Ordered from rare to common, each class takes its prefix of n - ceil(0.8 n) + 1; linked classes share a
    shingle there. Those that share one are not paired with each other: each meets the leader of the shingle, the class
-   whose shingles most others have (in a group of edited copies, the original). Shingles with the same classes are one.
+   whose shingles most others have (in a group of edited copies, the original). Where many classes share a shingle, only
+   those of sizes that can link make a group. Shingles with the same classes are one.
    Passages that many texts repeat come last in this order, so they make no candidates by themselves, and a pair is dropped
    where the sets from the shared place on are too small for the overlap it needs.
 4. Partial overlaps. For every (member, leader) pair, each fragment counts the overlap of its two segments; the sum per
    pair decides. Members of a large group are dealt out by a salt with a copy of the leader's segment.
-5. Further rounds. While a shingle's classes are still in several components, more of them lead, and meet only classes of
-   other components. When none is left, every pair that shares a prefix shingle was counted or is connected already, so
+5. Further rounds. While a group's classes are still in several components, more of them lead, and meet only classes of
+   other components; leaders are broadcast while they are few, else the members of a group are dealt out by a salt. When none is left, every pair that shares a prefix shingle was counted or is connected already, so
    the components are those of all links.
 
 Defined results: null, empty or blank texts have empty sets and link to nothing; texts of fewer than five words have one
@@ -33,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +48,18 @@ from tradebars.llm._tables import settle, shield
 WORDS = 5
 #: Bytes of hashes that a fragment holds about.
 FRAGMENT_BYTES = 8 << 20
+#: Pairs of a shingle and its class that a task holds before it passes them on.
+HELD = 1 << 20
 #: Classes up to which the list of remaining documents is broadcast (8 bytes each); beyond, it is joined by key.
 BROADCAST_ROWS = 1 << 20
-#: Leaders of a shingle in the second round; each further round has as many times more.
-LEADERS = 8
-#: Members of a leader that share one copy of its segment.
-SALT = 256
+#: Leaders of all groups up to which they are broadcast (48 bytes each); beyond, they are joined by key and salt.
+BROADCAST_LEADERS = 1 << 18
+#: Leaders of a group in the second round; each further round has as many times more.
+LEADERS = 4
+#: Classes of a shingle from which on they are grouped by size; sizes of linked sets lie in one band or in the next.
+MANY, BAND = 64, 1.26
+#: Members of a leader that share one copy of its segment, and of a group that share one copy of its leaders.
+SALT, SALTED = 256, 4096
 U = np.uint64
 
 
@@ -92,12 +103,32 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, sizes, B.mix(total[bounds[1:]] - total[bounds[:-1]] + sizes.astype(U))
 
 
-def _segments(fragment: np.ndarray, keys: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+def _pieces(fragment: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(fragment, bytes of each column) by fragment."""
     order = np.argsort(fragment, kind="stable")
-    fragment, keys, hashes = fragment[order], keys[order], hashes[order]
+    fragment, columns = fragment[order], [c[order] for c in columns]
     cut = np.flatnonzero(np.diff(fragment, prepend=-1, append=-1))
     for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
-        yield int(fragment[a]), keys[a:b].tobytes(), hashes[a:b].tobytes()
+        yield int(fragment[a]), *[c[a:b].tobytes() for c in columns]
+
+
+def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _held(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[tuple[np.ndarray, ...]]]:
+    """Lists of parts whose first arrays have HELD values together, about."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= HELD:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _fragment(hashes: np.ndarray, fragments: int) -> np.ndarray:
@@ -105,43 +136,55 @@ def _fragment(hashes: np.ndarray, fragments: int) -> np.ndarray:
     return ((hashes & U(0xFFFFFFFF)) * U(fragments) >> U(32)).astype(np.int64)
 
 
-def _joined(table: pa.Table, name: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), U)
+def _joined(table: pa.Table, name: str, kind: type = U) -> np.ndarray:
+    return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x is not None), kind)
 
 
 def _screen(docs: DataFrame, fragments: int) -> DataFrame:
-    """For each document (doc_id, n, sig), and for each class and fragment (sig, shared)."""
-    dealt = "fragment int, doc_ids array<bigint>, n binary, keys binary, hashes binary"
+    """For each document (doc_id, n, sig, own), and for each class and fragment (sig, shared).
 
-    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    `shared` counts shingles that were passed on and another class has too, `own` those that the task didn't pass on, as it
+    had two other classes with them. A class has no more such shingles than the sum of `shared` and its least `own`.
+    """
+    fields = [("fragment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n", pa.binary()), ("own", pa.binary()), ("keys", pa.binary()), ("hashes", pa.binary())]
+
+    def fronts(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in it:
             for part in B.chunks(batch, "text"):
                 hashes, sizes, sigs = shingles(part.column(1))
-                bounds = np.cumsum(sizes) - sizes
-                rank = np.arange(len(hashes)) - np.repeat(bounds, sizes)
+                rank = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 front = rank < np.repeat(sizes - _need(sizes) + _extra(sizes), sizes)
-                keys = np.repeat(sigs, sizes)[front]
-                hashes = hashes[front]
-                rows = [(f, None, None, k, h) for f, k, h in _segments(_fragment(hashes, fragments), keys, hashes)]
-                rows.append((-1 - int(sigs[0] % U(fragments)), part.column(0).to_pylist(), sizes.astype(np.int64).tobytes(), sigs.tobytes(), None))
-                columns = list(zip(*rows, strict=True))
-                kinds = [pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["fragment", "doc_ids", "n", "keys", "hashes"])
+                yield hashes[front], np.repeat(sigs, sizes)[front], sizes.astype(np.int64), sigs, part.column(0).to_pylist()
+
+    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spread = TaskContext.get().partitionId() * 7919
+        for number, held in enumerate(_held(fronts(it))):
+            hashes, keys = _distinct(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            first = _common(hashes)[0]
+            rank = np.arange(len(hashes)) - np.repeat(first, np.diff(np.append(first, len(hashes))))
+            own, n_own = np.unique(keys[rank > 1], return_counts=True)
+            own, n_own = np.append(own, ~U(0)), np.append(n_own, 0)
+            hashes, keys = hashes[rank < 2], keys[rank < 2]
+            rows = [(f, None, None, None, k, h) for f, k, h in _pieces(_fragment(hashes, fragments), keys, hashes)]
+            sigs = np.concatenate([h[3] for h in held])
+            at = np.searchsorted(own, sigs)
+            counted = np.where(own[at] == sigs, n_own[at], 0).astype(np.int64)
+            rows.append((-1 - (spread + number) % fragments, [d for h in held for d in h[4]], np.concatenate([h[2] for h in held]).tobytes(), counted.tobytes(), sigs.tobytes(), None))
+            yield _batch(rows, fields)
 
     def count(table: pa.Table) -> pa.Table:
         keys = _joined(table, "keys")
         if table.column("fragment")[0].as_py() < 0:
             ids = table.column("doc_ids").combine_chunks().flatten()
-            n = np.frombuffer(b"".join(table.column("n").to_pylist()), np.int64)
-            return pa.table({"sig": keys.view(np.int64), "n": n, "doc_id": ids, "shared": pa.nulls(len(n), pa.int32())})
-        hashes = _joined(table, "hashes")
-        hashes, keys = _distinct(hashes, keys)
-        common = _common(hashes)[1] > 1
-        sig, shared = np.unique(keys[common], return_counts=True)
+            n, own = _joined(table, "n", np.int64), _joined(table, "own", np.int64)
+            return pa.table({"sig": keys.view(np.int64), "n": n, "doc_id": ids, "own": own, "shared": pa.nulls(len(n), pa.int64())})
+        hashes, keys = _distinct(_joined(table, "hashes"), keys)
+        sig, shared = np.unique(keys[_common(hashes)[1] > 1], return_counts=True)
         none = pa.nulls(len(sig), pa.int64())
-        return pa.table({"sig": sig.view(np.int64), "n": none, "doc_id": none, "shared": pa.array(shared.astype(np.int32))})
+        return pa.table({"sig": sig.view(np.int64), "n": none, "doc_id": none, "own": none, "shared": pa.array(shared.astype(np.int64))})
 
-    return docs.select("doc_id", "text").mapInArrow(deal, dealt).groupBy("fragment").applyInArrow(count, "sig bigint, n bigint, doc_id bigint, shared int")
+    dealt = docs.select("doc_id", "text").mapInArrow(deal, "fragment int, doc_ids array<bigint>, n binary, own binary, keys binary, hashes binary")
+    return dealt.groupBy("fragment").applyInArrow(count, "sig bigint, n bigint, doc_id bigint, own bigint, shared bigint")
 
 
 def _distinct(hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,31 +203,72 @@ def _common(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut(docs: DataFrame, fragments: int) -> DataFrame:
-    """(fragment, sig, hashes, classes): for each class and fragment the shingles that other classes have too."""
+    """(fragment, sig, hashes, classes): for each class and fragment the shingles that other classes have too, and how many
+    classes have them (more where a task's share of a class is counted twice)."""
+    fields = [("fragment", pa.int32()), ("keys", pa.binary()), ("hashes", pa.binary()), ("seen", pa.binary()), ("times", pa.binary())]
 
-    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in it:
             for part in B.chunks(batch, "text"):
                 hashes, sizes, sigs = shingles(part.column(0))
-                rows = list(_segments(_fragment(hashes, fragments), np.repeat(sigs, sizes), hashes))
-                columns = list(zip(*rows, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["fragment", "keys", "hashes"])
+                yield hashes, np.repeat(sigs, sizes)
 
-    def count(table: pa.Table) -> pa.Table:
-        fragment = table.column("fragment")[0].as_py()
+    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _held(sets(it)):
+            hashes, keys = _distinct(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            first = _common(hashes)[0]
+            times = np.diff(np.append(first, len(hashes))).astype(np.int32)
+            rows = [(f, k, h, None, None) for f, k, h in _pieces(_fragment(hashes, fragments), keys, hashes)]
+            rows += [(f, None, None, h, t) for f, h, t in _pieces(_fragment(hashes[first], fragments), hashes[first], times)]
+            yield _batch(rows, fields)
+
+    def total(table: pa.Table) -> pa.Table:
+        hashes, times = _joined(table, "seen"), _joined(table, "times", np.int32)
+        order = np.argsort(hashes, kind="stable")
+        hashes, times = hashes[order], times[order]
+        first = _common(hashes)[0]
+        sums = np.add.reduceat(times, first, dtype=np.int64)
+        common = sums > 1
+        sums = sums[common]
+        return pa.table({"fragment": table.column("fragment").slice(0, 1), "seen": pa.array([hashes[first[common]].tobytes()], pa.binary()), "times": pa.array([np.minimum(sums, 2**31 - 1).astype(np.int32).tobytes()], pa.binary()), "pairs": pa.array([int(sums.sum())], pa.int64())})
+
+    def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for fragment, parts, keys, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, hashes = np.frombuffer(keys, U), np.frombuffer(hashes, U)
+                rows = [(fragment, part, k, h, None, None) for part, k, h in _pieces((keys % U(parts)).astype(np.int64), keys, hashes)]
+                yield _batch(rows, [fields[0], ("part", pa.int32()), *fields[1:]])
+
+    def mark(table: pa.Table) -> pa.Table:
         hashes, keys = _distinct(_joined(table, "hashes"), _joined(table, "keys"))
-        classes = _common(hashes)[1]
-        hashes, keys, classes = hashes[classes > 1], keys[classes > 1], classes[classes > 1].astype(np.int32)
+        seen, times = _joined(table, "seen"), _joined(table, "times", np.int32)
+        if not len(seen):
+            hashes, keys, seen, times = hashes[:0], keys[:0], np.zeros(1, U), np.zeros(1, np.int32)
+        at = np.minimum(np.searchsorted(seen, hashes), len(seen) - 1)
+        known = seen[at] == hashes
+        hashes, keys, classes = hashes[known], keys[known], times[at[known]]
         order = np.argsort(keys, kind="stable")
         hashes, keys, classes = hashes[order], keys[order], classes[order]
         first = _common(keys)[0]
         edges = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False)) if len(keys) else []
+        fragment = table.column("fragment")[0].as_py()
         return pa.table({
             "fragment": pa.array([fragment] * len(edges), pa.int32()), "sig": keys[first].view(np.int64),
             "hashes": pa.array([hashes[a:b].tobytes() for a, b in edges], pa.binary()), "classes": pa.array([classes[a:b].tobytes() for a, b in edges], pa.binary()),
         })
 
-    return docs.select("text").mapInArrow(deal, "fragment int, keys binary, hashes binary").groupBy("fragment").applyInArrow(count, "fragment int, sig bigint, hashes binary, classes binary")
+    dealt = settle(docs.select("text").mapInArrow(deal, "fragment int, keys binary, hashes binary, seen binary, times binary"))
+    counts = dealt.where("seen is not null").select("fragment", "seen", "times").groupBy("fragment").applyInArrow(total, "fragment int, seen binary, times binary, pairs bigint")
+    counts = settle(counts.withColumn("parts", F.greatest(F.lit(1), F.ceil(16 * F.col("pairs") / (4 * FRAGMENT_BYTES))).cast("int")))
+    sets_ = dealt.where("keys is not null").select("fragment", "keys", "hashes")
+    if (counts.agg(F.max("parts")).first()[0] or 1) > 1:
+        sized = sets_.join(counts.select("fragment", "parts"), "fragment").select("fragment", "parts", "keys", "hashes")
+        sets_ = sized.mapInArrow(split, "fragment int, part int, keys binary, hashes binary, seen binary, times binary")
+    else:
+        sets_ = sets_.select("fragment", F.lit(0).alias("part"), "keys", "hashes", F.lit(None).cast("binary").alias("seen"), F.lit(None).cast("binary").alias("times"))
+    none = F.lit(None).cast("binary")
+    copies = counts.select("fragment", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), none.alias("keys"), none.alias("hashes"), "seen", "times")
+    return sets_.union(copies).groupBy("fragment", "part").applyInArrow(mark, "fragment int, sig bigint, hashes binary, classes binary")
 
 
 def _by_runs(it: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -292,29 +376,43 @@ def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
     return settle(all_.join(merged, "label", "left").select("node", F.coalesce("next", "label").alias("label")), all_.count())
 
 
+def _grouped(prefixes: DataFrame) -> DataFrame:
+    """The prefixes by group: a shingle, or, where many classes have it, those of two neighbouring bands of size."""
+    band = F.floor(F.log("n") / math.log(BAND))
+    bands = F.when(F.col("classes") > MANY, F.array(band - 1, band)).otherwise(F.array(F.lit(-2).cast("bigint")))
+    return prefixes.withColumn("band", F.explode(bands)).withColumnsRenamed({"hash": "gram"}).withColumn("hash", F.xxhash64("gram", "band")).drop("band")
+
+
 def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(node, label) of the linked classes."""
-    groups = prefixes.groupBy("classes", "hash").agg(F.max(F.struct("score", "sig", "n", "place")).alias("lead"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("sig")).alias("members")).where("m > 1")
-    # Of shingles with the same classes the first in the order stays: its places are those that `_FITS` is about.
-    groups = settle(groups.groupBy("m", "members").agg(F.min(F.struct("classes", "hash", "lead")).alias("first")).select("first.*").drop("classes"))
-    met = settle(prefixes.drop("classes").join(groups, "hash"))
+    prefixes = _grouped(prefixes)
+    groups = prefixes.groupBy("classes", "gram", "hash").agg(F.max(F.struct("score", "sig", "n", "place")).alias("lead"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("sig")).alias("members")).where("m > 1")
+    # Of groups with the same classes the first in the order stays: its places are those that `_FITS` is about.
+    groups = settle(groups.groupBy("m", "members").agg(F.min(F.struct("classes", "gram", "hash", "lead")).alias("first")).select("first.hash", "first.lead"))
+    met = settle(prefixes.drop("classes", "gram").join(groups, "hash"))
     first = met.select(F.col("sig").alias("a"), F.col("lead.sig").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb"), F.col("place").alias("pa"), F.col("lead.place").alias("pb"))
     pairs = settle(_once(first))
     labels = components(settle(_linked(cut, pairs), pairs.count()))
     upto, step = 1, LEADERS
     while True:
         named = met.join(labels, met["sig"] == labels["node"], "left").select("hash", "sig", "n", "place", "score", F.coalesce("label", "sig").alias("label"))
-        mixed = named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {upto + 1} and low != high").select("hash", "m")
-        open_rows = settle(named.join(mixed, "hash"))
-        left = open_rows.count()
-        if not left:
+        mixed = settle(named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {upto + 1} and low != high").select("hash", "m"))
+        left = mixed.agg(F.count("*").alias("groups"), F.sum("m").alias("rows")).first()
+        if not left.groups:
             return labels
-        # Only ranks up to the last new leader are asked for, so each task passes on no more of a shingle than these.
+        open_rows = settle(named.join(F.broadcast(mixed) if left.groups <= BROADCAST_LEADERS else mixed, "hash"), left.rows)
+        # Only ranks up to the last new leader are asked for, so each task passes on no more of a group than these.
         ranked = open_rows.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig")))).where(f"rank <= {upto + step}")
-        leaders = ranked.where(f"rank > {upto}").select("hash", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb"))
-        new = open_rows.join(leaders, "hash").where("(score < sb or score = sb and sig < b) and label != lb")
+        leaders = settle(ranked.where(f"rank > {upto}").select("hash", "m", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb")), left.groups * step)
+        if leaders.count() <= BROADCAST_LEADERS:
+            new = open_rows.drop("m").join(F.broadcast(leaders.drop("m")), "hash")
+        else:
+            width = F.ceil(F.col("m") / SALTED).cast("bigint")
+            copies = leaders.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), width - 1)).alias("salt")).drop("m")
+            new = open_rows.withColumn("salt", F.pmod(F.xxhash64("sig"), width)).drop("m").join(copies, ["hash", "salt"])
+        new = new.where("(score < sb or score = sb and sig < b) and label != lb")
         new = new.select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
-        new = settle(_once(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), left)
+        new = settle(_once(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
         upto, step = upto + step, step * LEADERS
         tried = new.count()
         if tried:
@@ -329,11 +427,11 @@ def join_groups(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     screened = settle(_screen(docs, max(16, math.ceil(volume / 2 / FRAGMENT_BYTES))))
-    rows = screened.where("shared is null").select("doc_id", "n", "sig")
-    classes = settle(rows.where("n > 0").groupBy("sig").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id")))
+    rows = screened.where("shared is null").select("doc_id", "n", "sig", "own")
+    classes = settle(rows.where("n > 0").groupBy("sig").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("own").alias("own")))
     bound = F.greatest(F.lit(1), F.floor(3 * F.ceil(4 * F.col("n") / 5) / 20))
     shared = screened.where("shared is not null").groupBy("sig").agg(F.sum("shared").alias("shared"))
-    left = settle(classes.join(shared, "sig").where(F.col("shared") >= bound).select("sig", "n", "doc_id"))
+    left = settle(classes.join(shared, "sig", "left").where(F.coalesce("shared", F.lit(0)) + F.col("own") >= bound).select("sig", "n", "doc_id"))
     size = left.agg(F.count("*").alias("rows"), F.sum("n").alias("n")).first()
     labels = None
     if size.rows:
