@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,3 +53,9 @@ def lerp(a: Column, b: Column, weight: Column) -> Column:
 def lerp_int(a: Column, b: Column, weight: Column) -> Column:
     """Interpolated and truncated toward zero."""
     return (a.cast("double") + weight * (b - a).cast("double")).cast("bigint")
+
+
+def between(rows: DataFrame, low: dt.datetime, high: dt.datetime) -> DataFrame:
+    """Rows of a half-open range of time, which the scan can prune; both ends in the session's zone, not the machine's."""
+    ends = [F.lit(x.isoformat(sep=" ")).cast(rows.schema["time"].dataType) for x in (low, high)]
+    return rows.where((F.col("time") >= ends[0]) & (F.col("time") < ends[1]))

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradebars.functions.schema import BARS, MONTHS
-from tradebars.functions.trades import month_of
+from tradebars.functions.schema import BARS, BOOTSTRAP, MONTHS
+from tradebars.functions.tables import exists, written
+from tradebars.functions.trades import between, month_of
 from tradebars.operators.bars import hourly_bars
 from tradebars.operators.thresholds import CAPACITY, WINDOW_DAYS, classify, daily_sample, day_numbers, histogram, thresholds
 
 _PARTS = ["symbol", "month"]
+#: Of the stored tables; those of another version count as none, and a build starts afresh.
+VERSION = 1
 
 
 def months(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -37,8 +40,7 @@ def month_bounds(month: str) -> tuple[dt.datetime, dt.datetime]:
 
 def bars_of_month(bars: DataFrame, month: str) -> DataFrame:
     """By a half-open range of time, which the scan can prune."""
-    low, high = (F.lit(x.isoformat(sep=" ")).cast(bars.schema["time"].dataType) for x in month_bounds(month))
-    return bars.where((F.col("time") >= low) & (F.col("time") < high))
+    return between(bars, *month_bounds(month))
 
 
 def union_bars(*parts: DataFrame) -> DataFrame:
@@ -49,16 +51,15 @@ def union_bars(*parts: DataFrame) -> DataFrame:
 
 
 class Store:
-    """The tables of an incremental build under one folder: bars and day values by (symbol, month), and completed months."""
+    """The tables of an incremental build under one folder: bars and day values by (symbol, month), bootstrap thresholds by
+    symbol, and completed months."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def _read(self, name: str, schema) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+        path = f"{self.folder}/{name}"
+        return self.spark.read.schema(schema).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], schema)
 
     def bars(self) -> DataFrame:
         return self._read("bars", T.StructType([*BARS, T.StructField("month", T.StringType())]))
@@ -66,45 +67,62 @@ class Store:
     def values(self) -> DataFrame:
         return self._read("values", "symbol string, date date, qty double, freq bigint, month string")
 
-    def completed(self) -> DataFrame:
+    def bootstrap(self) -> DataFrame:
+        """(symbol, p99, p999)"""
+        return self._read("bootstrap", BOOTSTRAP).where("bootstrapped").drop("bootstrapped").dropDuplicates(["symbol"])
+
+    def marks(self) -> DataFrame:
+        """Every mark that was set, with its version and time."""
         return self._read("completed", MONTHS)
 
+    def completed(self) -> DataFrame:
+        """(symbol, month) completed by this version."""
+        return self.marks().where(F.col("version") == VERSION).select(*_PARTS).distinct()
+
     def _replace(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "month").parquet(f"{self.folder}/{name}")
 
-    def save(self, bars: DataFrame, values: DataFrame, done: DataFrame) -> None:
-        """Bars, then day values, then the mark: a crash before the mark does the month again, with the same files."""
+    def save(self, bars: DataFrame, values: DataFrame, limits: DataFrame, done: DataFrame) -> None:
+        """Bars, then threshold state, then the mark: a crash before the mark does the month again, with the same files."""
         self._replace("bars", bars)
         self._replace("values", values)
-        done.select(*_PARTS).write.mode("append").parquet(f"{self.folder}/completed")
+        first = limits.where("source = 'bootstrap'").select("symbol", "p99", "p999", F.lit(True).alias("bootstrapped")).dropDuplicates(["symbol"])
+        first.join(self.bootstrap().select("symbol"), "symbol", "left_anti").write.mode("append").parquet(f"{self.folder}/bootstrap")
+        done.select(*_PARTS, F.lit(VERSION).alias("version"), F.current_timestamp().alias("last_update")).write.mode("append").parquet(f"{self.folder}/completed")
+
 
+def prior_values(store: Store, month: str, window: int = WINDOW_DAYS) -> DataFrame:
+    """Stored day values of each symbol's last `window` present dates before a month.
 
-def prior_values(values: DataFrame, before: dt.date, window: int = WINDOW_DAYS) -> DataFrame:
-    """Stored day values of each symbol's last `window` present dates before a date."""
-    old = values.where(F.col("date") < before)
+    A completed month has a date at least, so no more than the last `window` of each symbol are read.
+    """
+    by = Window.partitionBy("symbol").orderBy(F.desc("month"))
+    near = store.completed().where(F.col("month") < month).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= window).select(*_PARTS)
+    read = sorted({r.month for r in near.select("month").distinct().collect()})
+    old = store.values().where(F.col("month").isin(read)).join(near, _PARTS, "left_semi")
     days = day_numbers(old)
     last = days.groupBy("symbol").agg(F.max("day").alias("last"))
     wanted = days.join(last, "symbol").where(F.col("day") > F.col("last") - window).select("symbol", "date")
     return old.join(wanted, ["symbol", "date"]).select("symbol", "date", "qty", "freq")
 
 
-def build_month(store: Store, trades: DataFrame, month: str, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = 50_000) -> None:
-    """Build a month of trades with the thresholds of the stored days before it, and save it."""
-    low, high = month_bounds(month)
-    mine = trades.where((F.col("time") >= F.lit(low)) & (F.col("time") < F.lit(high)))
-    prior = prior_values(store.values(), low.date(), window)
-    limits = thresholds(mine, window, capacity, bootstrap_n, prior)
+def build_month(store: Store, trades: DataFrame, month: str, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = 50_000, symbols: DataFrame | None = None) -> None:
+    """Build a month of trades, of all symbols or those given, with the thresholds of the stored days before it, and save it."""
+    mine = between(trades, *month_bounds(month))
+    if symbols is not None:
+        mine = mine.join(symbols.select("symbol"), "symbol", "left_semi")
+    limits = written(thresholds(mine, window, capacity, bootstrap_n, prior_values(store, month, window), store.bootstrap()))
     bars = hourly_bars(classify(mine, limits)).withColumn("month", F.lit(month))
     values = histogram(mine) if capacity is None else daily_sample(mine, capacity).groupBy("symbol", "date", "qty").agg(F.count("*").alias("freq"))
-    store.save(bars, values.withColumn("month", F.lit(month)), mine.select("symbol").distinct().withColumn("month", F.lit(month)))
+    store.save(bars, values.withColumn("month", F.lit(month)), limits, limits.select("symbol").distinct().withColumn("month", F.lit(month)))
 
 
 def resume(store: Store, trades: DataFrame, start: str, end: str, **parameters) -> DataFrame:
-    """Build the pending months of the range in order, and return the range's bars; with none pending only read them."""
-    spark = store.spark
-    present = trades.select("symbol", month_of().alias("month")).distinct()
-    wanted = present.join(months(spark, start, end), "month").select(*_PARTS)
-    left = sorted({r.month for r in pending(wanted, store.completed()).collect()})
-    for month in left:
-        build_month(store, trades, month, **parameters)
+    """Build the pending months of the range in order, of the symbols that lack them, and return the range's bars; with none
+    pending only read them."""
+    months(store.spark, start, end)  # an error where they are the wrong way round
+    present = between(trades, month_bounds(start)[0], month_bounds(end)[1]).select("symbol", month_of().alias("month")).distinct()
+    left = written(pending(present, store.completed()))
+    for month in sorted({r.month for r in left.select("month").distinct().collect()}):
+        build_month(store, trades, month, symbols=left.where(F.col("month") == month), **parameters)
     return store.bars().where(F.col("month").between(start, end)).drop("month")

@@ -44,16 +44,21 @@ def low_activity(bars: DataFrame, min_trades: int = MIN_TRADES) -> DataFrame:
 
 
 def verdict(bars: DataFrame, min_trades: int = MIN_TRADES) -> DataFrame:
-    """One row a symbol with all counts, is_valid and the issues; an empty series gives one invalid row, "No data"."""
-    counts = coverage(bars).join(duplicates(bars), "symbol").join(low_activity(bars, min_trades), "symbol")
-    counts = counts.join(gaps(bars).groupBy("symbol").agg(F.count("*").alias("n_gaps")), "symbol", "left").fillna(0, ["n_gaps"])
+    """One row a symbol (null is one) with all counts, is_valid and the issues, from one pass over the bars; an empty series
+    gives one invalid row, "No data"."""
+    steps = bars.select("symbol", "time", "n_trades").withColumn("prev", F.lag("time").over(Window.partitionBy("symbol").orderBy("time")))
+    distinct = F.col("prev").isNull() | (F.col("time") > F.col("prev"))
+    counts = steps.groupBy("symbol").agg(
+        (_hours(F.max("time"), F.min("time")) + 1).alias("n_expected"), F.count_if(distinct).alias("n_hours"), (F.count("*") - F.count_if(distinct)).alias("n_duplicates"),
+        F.count_if(F.col("time") > F.col("prev") + _hour()).alias("n_gaps"), F.count_if(F.col("n_trades") < min_trades).alias("n_low_activity"),
+    ).withColumn("n_missing", F.col("n_expected") - F.col("n_hours"))
     issue = lambda n, what: F.when(F.col(n) > 0, F.concat(F.col(n).cast("string"), F.lit(f" {what}")))
     issues = F.array_compact(F.array(issue("n_duplicates", "duplicate hours"), issue("n_missing", "missing hours"), issue("n_low_activity", "hours with low activity")))
     found = counts.select("symbol", "n_expected", "n_hours", "n_missing", "n_duplicates", "n_gaps", "n_low_activity", ((F.col("n_missing") == 0) & (F.col("n_duplicates") == 0)).alias("is_valid"), F.array_join(issues, "; ").alias("issues"))
     none = bars.sparkSession.range(1).select(
         F.lit(None).cast("string").alias("symbol"), *[F.lit(0).cast("bigint").alias(c) for c in found.columns[1:7]], F.lit(False).alias("is_valid"), F.lit("No data").alias("issues")
     )
-    return found.unionByName(none.join(bars.limit(1).select(F.lit(1).alias("one")), F.lit(True), "left_anti"))
+    return found.unionByName(none.join(found.limit(1).select(F.lit(1).alias("one")), F.lit(True), "left_anti"))
 
 
 def spine(bars: DataFrame) -> DataFrame:
@@ -64,10 +69,12 @@ def spine(bars: DataFrame) -> DataFrame:
 
 def neighbours(bars: DataFrame) -> DataFrame:
     """The spine with each hour's bar (null if missing), the bars before and after, and for missing hours the gap's length and
-    the hour's place in it, from 1. Of repeated hours one bar must be left (see `merge_bars`)."""
-    whole = bars.select("symbol", "time", F.struct("time", *METRICS).alias("bar"))
+    the hour's place in it, from 1. Of repeated hours one bar must be left (see `merge_bars`). Bars that are still to be
+    computed should be written first, as they are used twice."""
+    whole = bars.select(F.col("symbol").alias("_symbol"), F.col("time").alias("_time"), F.struct("time", *METRICS).alias("bar"))
     by = Window.partitionBy("symbol").orderBy("time")
-    found = spine(bars).join(whole, ["symbol", "time"], "left").withColumns({
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("time") == F.col("_time"))
+    found = spine(bars).join(whole, same, "left").drop("_symbol", "_time").withColumns({
         "prev": F.last("bar", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)),
         "next": F.first("bar", ignorenulls=True).over(by.rowsBetween(0, Window.unboundedFollowing)),
     })

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradebars.functions.tables import written
-from tradebars.functions.trades import day_of
+from tradebars.functions.trades import between, day_of
 
 WINDOW_DAYS = 7
 CAPACITY = 10_000
@@ -78,21 +80,28 @@ def rolling(values: DataFrame, days: DataFrame, window: int = WINDOW_DAYS) -> Da
 
 
 def bootstrap(trades: DataFrame, n: int = BOOTSTRAP_TRADES, days: DataFrame | None = None) -> DataFrame:
-    """(symbol, date, p99, p999) over the first n trades of a symbol's first date, where it has so many."""
+    """(symbol, date, p99, p999) over the first n trades of a symbol's first date, where it has so many.
+
+    With `days`, the (symbol, date) that the trades have, the scan is pruned to the range of first dates.
+    """
     first = (dated(trades) if days is None else days).groupBy("symbol").agg(F.min("date").alias("date"))
+    if days is not None:
+        low, high = first.agg(F.min("date"), F.max("date")).first()
+        midnight = lambda d: dt.datetime(d.year, d.month, d.day)
+        trades = trades.limit(0) if low is None else between(trades, midnight(low), midnight(high) + dt.timedelta(days=1))
     early = dated(trades).join(first, _DAY).withColumn("rank", F.row_number().over(Window.partitionBy("symbol").orderBy("time", "agg_id", "qty"))).where(F.col("rank") <= n)
     full = early.groupBy(*_DAY).agg(F.percentile("qty", F.array(*map(F.lit, PERCENTS))).alias("p"), F.count("*").alias("m")).where(F.col("m") >= n)
     return full.select(*_DAY, F.col("p")[0].alias("p99"), F.col("p")[1].alias("p999"))
 
 
-def thresholds(trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = BOOTSTRAP_TRADES, prior: DataFrame | None = None) -> DataFrame:
+def thresholds(trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = BOOTSTRAP_TRADES, prior: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
     """(symbol, date, p99, p999, source) of every date of the trades.
 
     The day values are written to the shared folder: they are small against the trades, which are so read once for them and
-    once for the first trades of each symbol.
+    again only where the first trades of each symbol are.
 
     `prior` holds values(symbol, date, qty, freq) of dates before those of the trades, in which case the first date is no
-    beginning. With `capacity` None all trades of a day count, else its sample.
+    beginning; `stored` holds bootstrap thresholds(symbol, p99, p999) of an earlier run, for dates without either. With `capacity` None all trades of a day count, else its sample.
     """
     values = histogram(trades) if capacity is None else daily_sample(trades, capacity).select(*_DAY, "qty", F.lit(1).cast("bigint").alias("freq"))
     values = written(values)
@@ -103,6 +112,9 @@ def thresholds(trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | Non
         seen = values.select(*_DAY).distinct()
     before = rolling(values, seen, window).withColumnsRenamed({"p99": "r99", "p999": "r999"})
     both = days.join(before, _DAY, "left").join(early, _DAY, "left")
+    if stored is not None:
+        both = both.join(stored.select("symbol", F.col("p99").alias("s99"), F.col("p999").alias("s999")), "symbol", "left")
+        both = both.withColumns({"b99": F.coalesce("b99", "s99"), "b999": F.coalesce("b999", "s999")})
     source = F.when(F.col("r99").isNotNull(), "rolling").when(F.col("b99").isNotNull(), "bootstrap").otherwise("default")
     return both.select(*_DAY, F.coalesce("r99", "b99", F.lit(DEFAULT_P99)).alias("p99"), F.coalesce("r999", "b999", F.lit(DEFAULT_P999)).alias("p999"), source.alias("source"))
 

@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradebars.functions.schema import METRICS, SAMPLES, SHORT_BARS, TRADES
+from tradebars.functions.schema import BARS, BOOTSTRAP, METRICS, SAMPLES, SHORT_BARS, TRADES
+from tradebars.functions.tables import exists
 from tradebars.functions.trades import epoch_to_time, month_of
 
 _INTEGER = r"^[+-]?[0-9]{1,19}$"
 _FLOAT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-#: The file-name form of monthly archives.
-FILE_NAME = r"([^/]+)-aggTrades-([0-9]{4}-[0-9]{2})\.(?:csv|zip)$"
+#: The file-name form of monthly archives, which may also be folders of parts, and white space around lines.
+FILE_NAME = r"([^/=]+)-aggTrades-([0-9]{4}-[0-9]{2})\.(?:csv|zip)(?:/[^/]*)?$"
+BLANKS = " \t\r\n\x0b\x0c\x85\xa0"
 
 
 def _file() -> Column:
@@ -40,14 +42,23 @@ def _unzip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_zipped_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(line, path) of the first entry of each archive; an archive is one task, read in blocks of lines."""
-    files = spark.read.format("binaryFile").load(paths)
+    """(line, path) of the first entry of each archive."""
+    return unzip_lines(spark.read.format("binaryFile").load(paths))
+
+
+def unzip_lines(files: DataFrame) -> DataFrame:
+    """(line, path) of archives(path, content); an archive is one task, read in blocks of lines."""
     return files.select("path", "content").repartition(F.col("path")).mapInPandas(_unzip, "line string, path string")
 
 
-def _judged(lines: DataFrame) -> DataFrame:
-    parts = F.split(F.trim("line"), ",", -1)
-    rows = lines.where(F.trim("line") != "").withColumn("parts", parts)
+def _symbol(symbol: str | None) -> Column:
+    """The symbol in the file's name, or else the one given."""
+    return F.coalesce(F.nullif(F.regexp_extract("path", FILE_NAME, 1), F.lit("")), F.lit(symbol).cast("string"))
+
+
+def _judged(lines: DataFrame, symbol: str | None) -> DataFrame:
+    trimmed = F.btrim("line", F.lit(BLANKS))
+    rows = lines.where(trimmed != "").withColumn("parts", F.split(trimmed, ",", -1))
     part = lambda i: F.get("parts", F.lit(i))
     whole = lambda i: part(i).rlike(_INTEGER) & part(i).try_cast("bigint").isNotNull()
     number = lambda i: part(i).rlike(_FLOAT) & (F.abs(part(i).try_cast("double")) < float("inf"))
@@ -57,24 +68,27 @@ def _judged(lines: DataFrame) -> DataFrame:
         .when(~F.coalesce(number(1), F.lit(False)), "price")
         .when(~F.coalesce(number(2), F.lit(False)), "qty")
         .when(~F.coalesce(whole(5), F.lit(False)), "time")
+        .when(_symbol(symbol).isNull(), "symbol")
     )
     return rows.withColumn("reason", reason)
 
 
-def parse_trades(lines: DataFrame) -> DataFrame:
-    """Trades of the good lines; a header is a line like any other whose agg_id is no integer."""
-    name = lambda g: F.regexp_extract("path", FILE_NAME, g)
+def parse_trades(lines: DataFrame, symbol: str | None = None) -> DataFrame:
+    """Trades of the good lines; a header is a line like any other whose agg_id is no integer.
+
+    `symbol` is that of files whose names tell none; without it their lines are rejected.
+    """
     part = lambda i: F.get("parts", F.lit(i))
-    good = _judged(lines).where("reason is null")
+    good = _judged(lines, symbol).where("reason is null")
     return good.select(
-        F.nullif(name(1), F.lit("")).alias("symbol"), part(0).try_cast("bigint").alias("agg_id"), epoch_to_time(part(5).try_cast("bigint")).alias("time"),
+        _symbol(symbol).alias("symbol"), part(0).try_cast("bigint").alias("agg_id"), epoch_to_time(part(5).try_cast("bigint")).alias("time"),
         part(1).try_cast("double").alias("price"), part(2).try_cast("double").alias("qty"), (F.lower(part(6)) == "true").alias("is_buyer_maker"),
     )
 
 
-def rejected_lines(lines: DataFrame) -> DataFrame:
+def rejected_lines(lines: DataFrame, symbol: str | None = None) -> DataFrame:
     """(path, line, reason); headers are among them, by reason agg_id."""
-    return _judged(lines).where("reason is not null").select("path", "line", "reason")
+    return _judged(lines, symbol).where("reason is not null").select("path", "line", "reason")
 
 
 def count_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -90,9 +104,13 @@ def discover_months(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_bars(bars: DataFrame, path: str) -> None:
     """Sorted within files by symbol and time, a folder a symbol, timestamps in milliseconds."""
-    spark = bars.sparkSession
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MILLIS")
-    bars.repartitionByRange("symbol", "time").sortWithinPartitions("symbol", "time").write.mode("overwrite").partitionBy("symbol").parquet(path)
+    conf, name = bars.sparkSession.conf, "spark.sql.parquet.outputTimestampType"
+    before = conf.get(name, None)
+    conf.set(name, "TIMESTAMP_MILLIS")
+    try:
+        bars.repartitionByRange("symbol", "time").sortWithinPartitions("symbol", "time").write.mode("overwrite").partitionBy("symbol").parquet(path)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
 
 
 def parquet_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +127,9 @@ def write_month_json(bars: DataFrame, path: str) -> None:
 
 
 def read_month_json(spark: SparkSession, path: str) -> DataFrame:
-    """Bars of all months; broken files give nothing."""
+    """Bars of all months; broken files give nothing, nor does a path that isn't there."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], BARS)
     schema = T.StructType([*SHORT_BARS, *[T.StructField(c, T.StringType()) for c in ("_corrupt_record", "symbol", "month")]])
     rows = spark.read.schema(schema).option("multiLine", True).json(path)
     good = rows.where("_corrupt_record is null and t is not null")
@@ -127,5 +147,17 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SAMPLES).parquet(path).select("symbol", "date", F.explode("samples").alias("qty"), F.lit(1).cast("bigint").alias("freq"))
 
 
+def write_bootstrap(limits: DataFrame, path: str) -> None:
+    """The bootstrap record of each symbol: from limits(symbol, date, p99, p999, source), whether there is one, and its thresholds."""
+    mine = F.col("source") == "bootstrap"
+    rows = limits.groupBy("symbol").agg(*[F.max(F.when(mine, F.col(p))).alias(p) for p in ("p99", "p999")], F.bool_or(mine).alias("bootstrapped"))
+    rows.select(*BOOTSTRAP.names).write.mode("overwrite").parquet(path)
+
+
+def read_bootstrap(spark: SparkSession, path: str) -> DataFrame:
+    """(symbol, p99, p999) of the symbols that are bootstrapped."""
+    return spark.read.schema(BOOTSTRAP).parquet(path).where("bootstrapped").drop("bootstrapped")
+
+
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRADES).parquet(path)

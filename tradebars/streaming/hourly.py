@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tradebars.functions.tables import delete, written
 from tradebars.operators.bars import bar_sums, finish, merge_bars, partial_bars, with_flags
 from tradebars.operators.thresholds import classify
 
@@ -30,18 +31,46 @@ def stream_bars(trades: DataFrame, delay: str = "2 hours", limits: DataFrame | N
 def upsert_batches(trades: DataFrame, path: str, limits: DataFrame | None = None) -> DataStreamWriter:
     """Every batch's partial bars are kept by batch, so nothing is late and a repeated batch replaces itself.
 
-    `finished(spark.read.parquet(path))` merges them at any time.
+    `finished(spark.read.parquet(path))` merges them at any time; `compact` keeps the batches few.
     """
 
     def keep(batch: DataFrame, number: int) -> None:
         flagged = classify(batch, limits) if limits is not None else batch
-        partial_bars(flagged).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+        _put(partial_bars(flagged).withColumns({"since": F.lit(number), "batch": F.lit(number)}), path)
 
     return trades.writeStream.foreachBatch(keep)
 
 
+def _put(parts: DataFrame, path: str) -> None:
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def _current(parts: DataFrame) -> DataFrame:
+    """Without batches that a later one, compacted from `since` on, holds already."""
+    covered = parts.where("since < batch").agg(F.max("batch")).first()[0]
+    return parts if covered is None else parts.where(F.col("batch") >= covered)
+
+
 def finished(parts: DataFrame) -> DataFrame:
-    return finish(merge_bars(parts.drop("batch")))
+    return finish(merge_bars(_current(parts).drop("batch", "since")))
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Merge all batches but the last into one, which takes the highest number among them.
+
+    The last stays apart, since a stream that failed may repeat it. Merged bars say since which batch they hold all, so a
+    crash between their writing and the deletion of the batches counts nothing twice.
+    """
+    parts = spark.read.parquet(path)
+    numbers = sorted(r.batch for r in parts.select("batch").distinct().collect())
+    if len(numbers) < 3:
+        return
+    old = _current(parts.where(F.col("batch") < numbers[-1]))
+    since = old.agg(F.min("since")).first()[0]
+    merged = merge_bars(old.drop("batch", "since")).withColumns({"since": F.lit(min(since, numbers[-2] - 1)), "batch": F.lit(numbers[-2])})
+    _put(written(merged), path)
+    for number in numbers[:-2]:
+        delete(spark, f"{path}/batch={number}")
 
 
 def each_batch(trades: DataFrame, callback: Callable[[DataFrame, int], None]) -> DataStreamWriter:
