@@ -77,3 +77,34 @@ def test_threshold_state_round_trip(spark, tmp_path):
     files.write_samples(H.daily_sample(t, 30), H.day_counts(t), f"{tmp_path}/state")
     back = files.read_samples(spark, f"{tmp_path}/state")
     assert rows_of(back.select("symbol", "date", "qty")) == rows_of(H.daily_sample(t, 30).select("symbol", "date", "qty"))
+
+
+def test_symbol_of_files_without_one(spark, tmp_path):
+    """The name's symbol, or the one given; with neither the lines are rejected, so no trade is without a symbol."""
+    (tmp_path / "BTCUSDT.csv").write_text("1,100.5,0.25,1,1,1704067200000,true\n \t2,101.0,5.0,2,3,1704067200000,False\t\n")
+    lines = files.read_lines(spark, f"{tmp_path}/BTCUSDT.csv")
+    assert files.parse_trades(lines).count() == 0 and {r.reason for r in files.rejected_lines(lines).collect()} == {"symbol"}
+    assert {(r.symbol, r.agg_id) for r in files.parse_trades(lines, "BTC").collect()} == {("BTC", 1), ("BTC", 2)}
+    assert files.rejected_lines(lines, "BTC").count() == 0
+
+
+def test_session_setting_outlives_writing(spark, tmp_path):
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name)
+    files.write_bars(bars(spark, [0, 1]), f"{tmp_path}/bars")
+    assert spark.conf.get(name) == before
+
+
+def test_missing_month_file_gives_nothing(spark, tmp_path):
+    none = files.read_month_json(spark, f"{tmp_path}/nowhere")
+    assert none.count() == 0 and "vwap" in none.columns
+
+
+def test_bootstrap_record(spark, tmp_path):
+    t = many(spark)
+    limits = H.thresholds(t, bootstrap_n=50)
+    files.write_bootstrap(limits, f"{tmp_path}/record")
+    want = {(r.symbol, r.p99) for r in limits.where("source = 'bootstrap'").collect()}
+    assert want and {(r.symbol, r.p99) for r in files.read_bootstrap(spark, f"{tmp_path}/record").collect()} == want
+    files.write_bootstrap(H.thresholds(t, bootstrap_n=10**6), f"{tmp_path}/record")
+    assert files.read_bootstrap(spark, f"{tmp_path}/record").count() == 0

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from helpers import many, rows_of
 from pyspark.sql import functions as F
@@ -85,3 +90,60 @@ def test_callback_sees_every_batch(spark, tmp_path):
     q = hourly.each_batch(streamed(spark, t, f"{tmp_path}/in"), lambda batch, n: seen.append(batch.count())).option("checkpointLocation", f"{tmp_path}/c4").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sum(seen) == 500 and len(seen) == 4
+
+
+ELSEWHERE = """
+import sys; sys.path[:0] = [{tests!r}, {repo!r}]
+from conftest import SparkSession
+from helpers import many, rows_of
+from tradebars.operators import bars as B, incremental as I, thresholds as H
+spark = SparkSession.builder.master("local[2]").config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {folder!r} + "/shared").config("spark.local.dir", {folder!r} + "/local").getOrCreate()
+t = many(spark, 800, days=40)
+full = B.hourly_bars(H.classify(t, H.thresholds(t, capacity=15, bootstrap_n=20)))
+built = I.resume(I.Store(spark, {folder!r} + "/store"), t, "2024-01", "2024-02", capacity=15, bootstrap_n=20)
+assert rows_of(built.select(*full.columns)) == rows_of(full)
+print("equal")
+"""
+
+
+def test_incremental_equals_full_on_a_machine_in_another_zone(tmp_path):
+    tests = Path(__file__).resolve().parent
+    code = ELSEWHERE.format(tests=str(tests), repo=str(tests.parent), folder=str(tmp_path))
+    out = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": "America/New_York"}, capture_output=True, text=True, timeout=300)
+    assert "equal" in out.stdout, out.stderr[-2000:]
+
+
+def test_other_versions_count_as_nothing(spark, tmp_path):
+    t = many(spark, 1500, days=40)
+    store = I.Store(spark, f"{tmp_path}/store")
+    want = rows_of(I.resume(store, t, "2024-01", "2024-02", capacity=15, bootstrap_n=20))
+    marks = spark.createDataFrame([(r.symbol, r.month, 99, r.last_update) for r in store.marks().collect()], store.marks().schema)
+    marks.write.mode("overwrite").parquet(f"{tmp_path}/store/completed")
+    assert store.completed().count() == 0
+    assert rows_of(I.resume(store, t, "2024-01", "2024-02", capacity=15, bootstrap_n=20)) == want
+    assert store.completed().count() == 4 and store.marks().where("last_update is null").isEmpty()
+
+
+def test_only_pending_symbols_are_built(spark, tmp_path):
+    t = many(spark, 1500, days=40)
+    store = I.Store(spark, f"{tmp_path}/store")
+    I.resume(store, t.where("symbol = 'S0'"), "2024-01", "2024-02", capacity=15)
+    both = I.resume(store, t, "2024-01", "2024-02", capacity=15)
+    assert store.marks().count() == 4 == store.completed().count()
+    assert rows_of(both) == rows_of(I.resume(I.Store(spark, f"{tmp_path}/other"), t, "2024-01", "2024-02", capacity=15))
+
+
+def test_compacted_batches_count_once(spark, tmp_path):
+    """Compacting twice, and a crash that leaves the merged batches, change nothing; the last batch stays apart."""
+    t, path = many(spark, 2000), f"{tmp_path}/parts"
+    q = hourly.upsert_batches(streamed(spark, t, f"{tmp_path}/in"), path).option("checkpointLocation", f"{tmp_path}/c5").trigger(availableNow=True).start()
+    q.awaitTermination()
+    want = rows_of(hourly.finished(spark.read.parquet(path)), digits=4)
+    old = spark.createDataFrame(spark.read.parquet(path).where("batch < 2").collect(), spark.read.parquet(path).schema)
+    hourly.compact(spark, path)
+    assert sorted(r.batch for r in spark.read.parquet(path).select("batch").distinct().collect()) == [2, 3]
+    assert rows_of(hourly.finished(spark.read.parquet(path)), digits=4) == want
+    old.write.mode("append").partitionBy("batch").parquet(path)
+    assert rows_of(hourly.finished(spark.read.parquet(path)), digits=4) == want
+    hourly.compact(spark, path)
+    assert rows_of(hourly.finished(spark.read.parquet(path)), digits=4) == want

@@ -45,3 +45,10 @@ def test_trim_at_168_and_169(spark):
 def test_empty(spark):
     none = bars(spark, [0]).limit(0)
     assert Q.fill_gaps(none).count() == 0 and Q.trim_warmup(none).count() == 0 and Q.gaps(none).count() == 0
+
+
+def test_null_symbols_are_a_series_of_their_own(spark):
+    b = bars(spark, [0, 3], n_trades=lambda h: 120 + h).withColumn("symbol", F.lit(None).cast("string"))
+    row = Q.verdict(b).collect()
+    assert [(r.symbol, r.n_missing, r.n_gaps, r.issues) for r in row] == [(None, 2, 1, "2 missing hours")]
+    assert [r.n_trades for r in Q.fill_gaps(b).orderBy("time").collect()] == [120, 121, 122, 123]

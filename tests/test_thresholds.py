@@ -78,3 +78,18 @@ def test_plan_moves_no_trades(spark):
     t = many(spark)
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert plan(H.daily_sample(t, 10)).count("WindowGroupLimit") == 2
+
+
+def test_jobs_scan_trades_twice(spark, tmp_path):
+    """For the day values and for the bars; the first trades are read by a range of time that the scan prunes."""
+    from tradebars.operators import bars as B
+    from tradebars.operators import quality as Q
+    from tradebars.plans import jobs
+
+    many(spark, 3000, days=10).repartition("symbol").write.parquet(f"{tmp_path}/trades")
+    t = spark.read.parquet(f"{tmp_path}/trades")
+    scans = lambda df: [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x and "/trades" in x]
+    bars_ = B.hourly_bars(H.classify(t, H.thresholds(t)))
+    found = scans(bars_)
+    assert len([x for x in found if "GreaterThanOrEqual(time" not in x]) == 1 and len(found) <= 2
+    assert scans(jobs.build(t)) == [] and len(scans(Q.verdict(bars_))) <= 3

@@ -1,61 +1,24 @@
 """Registered queries, one for each operator and for the composed jobs, each with its DuckDB counterpart.
 
-Every query works on trades derived from a whole table. Results are rounded so that the order of sums doesn't show, and
-times are returned without a zone.
+Every query works on trades derived from a whole table.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradebars.functions import trades as X
+from tradebars.functions.tables import written
 from tradebars.operators import bars as B
 from tradebars.operators import incremental as I
 from tradebars.operators import quality as Q
 from tradebars.operators import thresholds as H
 from tradebars.plans import jobs, sql
-from tradebars.plans.fixtures import from_events, from_lineitem
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-_METRICS = ", ".join(["symbol", "time", sql.ROUNDED])
-
-
-#: Added before rounding, so that sums in another order don't fall to either side of a tie.
-_NUDGE = {4: 1e-7, 6: 1e-9}
-
-
-def _ready(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Rounded doubles, times without a zone, whole numbers as bigint."""
-    columns = []
-    for f in df.schema:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c + _NUDGE[digits], digits)
-        elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.IntegerType):
-            c = c.cast("bigint")
-        columns.append(c.alias(f.name))
-    return df.select(*columns)
-
-
-def query(name: str, oracle: str, source: Callable = from_events, digits: int = 4):
-    """Register a function of trades."""
-
-    def keep(f: Callable[[DataFrame], DataFrame]):
-        _QUERIES[name] = lambda spark, sf_dir: _ready(f(source(spark, sf_dir)), digits)
-        _SQL[name] = re.sub(r", ([46])\) AS", lambda m: f" + {_NUDGE[int(m[1])]:g}, {m[1]}) AS", oracle)
-        return f
-
-    return keep
-
+from tradebars.plans.fixtures import from_lineitem, from_sparse
+from tradebars.plans.registry import METRICS, QUERIES, SQL, Query, query
 
 def _limits(t: DataFrame) -> DataFrame:
     return H.thresholds(t, sql.WINDOW, sql.CAPACITY, sql.BOOTSTRAP)
@@ -66,7 +29,7 @@ def _bars(t: DataFrame) -> DataFrame:
 
 
 def _filled(t: DataFrame) -> DataFrame:
-    return Q.fill_gaps(_bars(t), sql.MAX_GAP)
+    return Q.fill_gaps(written(_bars(t)), sql.MAX_GAP)
 
 
 def _plain(*columns: str) -> tuple[Callable[[DataFrame], DataFrame], str]:
@@ -100,7 +63,7 @@ def _p4(t):
     return t.select("agg_id", X.hour_of().alias("hour"), X.day_of().alias("date"), X.minute_of().alias("minute"))
 
 
-@query("p5_month_bars", sql.whale(f"SELECT {_METRICS}, strftime(time, '%Y-%m') AS month FROM bars WHERE strftime(time, '%Y-%m') = (SELECT min(strftime(time, '%Y-%m')) FROM t)"))
+@query("p5_month_bars", sql.whale(f"SELECT {METRICS}, strftime(time, '%Y-%m') AS month FROM bars WHERE strftime(time, '%Y-%m') = (SELECT min(strftime(time, '%Y-%m')) FROM t)"))
 def _p5(t):
     first = t.agg(F.min(X.month_of())).first()[0]
     return I.bars_of_month(_bars(t), first or "1970-01").withColumn("month", X.month_of())
@@ -176,7 +139,7 @@ def _a7(t):
     return H.percentiles(H.histogram(t), ["symbol", "date"], freq="freq")
 
 
-@query("a8_merge_bars", sql.whale(f"SELECT {_METRICS} FROM bars"))
+@query("a8_merge_bars", sql.whale(f"SELECT {METRICS} FROM bars"))
 def _a8(t):
     flagged = H.classify(t, _limits(t))
     return B.finish(B.merge_bars(*[B.partial_bars(flagged.where(F.col("agg_id") % 3 == k)) for k in range(3)]))
@@ -289,7 +252,7 @@ def _w8(t):
     return Q.neighbours(B.hourly_bars(t)).where("gap_hours is not null").select("symbol", "time", "gap_hours", "gap_place")
 
 
-@query("w9_fill", sql.whale(f"SELECT {_METRICS}, fill_kind FROM filled", sql.filled()))
+@query("w9_fill", sql.whale(f"SELECT {METRICS}, fill_kind FROM filled", sql.filled()))
 def _w9(t):
     return _filled(t)
 
@@ -299,7 +262,7 @@ def _w10(t):
     return Q.fill_counts(_filled(t))
 
 
-@query("w11_trim", sql.whale(f"SELECT {_METRICS}, fill_kind FROM trimmed", sql.filled(), sql.TRIMMED))
+@query("w11_trim", sql.whale(f"SELECT {METRICS}, fill_kind FROM trimmed", sql.filled(), sql.TRIMMED))
 def _w11(t):
     return Q.trim_warmup(_filled(t))
 
@@ -312,24 +275,24 @@ def _w12(t):
 # Sets of months and composed jobs
 
 
-@query("i1_union_bars", sql.whale(f"SELECT {_METRICS} FROM bars"))
+@query("i1_union_bars", sql.whale(f"SELECT {METRICS} FROM bars"))
 def _i1(t):
     bars = _bars(t)
     half = F.lit("2024-01-16").cast("timestamp")
     return I.union_bars(bars.where(F.col("time") < half), bars.where(F.col("time") >= half))
 
 
-@query("hourly_bars", sql.say(f"SELECT {_METRICS} FROM bars", "limits AS (SELECT DISTINCT symbol, CAST(time AS DATE) AS date, CAST('inf' AS DOUBLE) AS p99, CAST('inf' AS DOUBLE) AS p999 FROM t)", sql.bars(), source="lineitem"), source=from_lineitem)
+@query("hourly_bars", sql.say(f"SELECT {METRICS} FROM bars", "limits AS (SELECT DISTINCT symbol, CAST(time AS DATE) AS date, CAST('inf' AS DOUBLE) AS p99, CAST('inf' AS DOUBLE) AS p999 FROM t)", sql.bars(), source="lineitem"), source=from_lineitem)
 def _hourly(t):
     return B.hourly_bars(t)
 
 
-@query("whale_bars", sql.whale(f"SELECT {_METRICS} FROM bars"))
+@query("whale_bars", sql.whale(f"SELECT {METRICS} FROM bars"))
 def _whale(t):
     return _bars(t)
 
 
-@query("whale_bars_exact", sql.say(f"SELECT {_METRICS} FROM bars", sql.limits(None), sql.bars(), source="lineitem"), source=from_lineitem)
+@query("whale_bars_exact", sql.say(f"SELECT {METRICS} FROM bars", sql.limits(None), sql.bars(), source="lineitem"), source=from_lineitem)
 def _whale_exact(t):
     return B.hourly_bars(H.classify(t, H.thresholds(t, sql.WINDOW, None, sql.BOOTSTRAP)))
 
@@ -339,14 +302,62 @@ def _quality(t):
     return Q.verdict(_bars(t), sql.MIN_TRADES)
 
 
-@query("full_build", sql.whale(f"SELECT {_METRICS}, fill_kind FROM trimmed", sql.filled(), sql.TRIMMED))
+@query("full_build", sql.whale(f"SELECT {METRICS}, fill_kind FROM trimmed", sql.filled(), sql.TRIMMED))
 def _full(t):
     return jobs.build(t, sql.WINDOW, sql.CAPACITY, sql.BOOTSTRAP, sql.MAX_GAP, sql.WARMUP)
 
 
+# The jobs' own sizes, over trades with short and long gaps: all trades of a day, bootstrap of 50,000, activity below 100, gaps of 6 hours.
+
+_DEFAULT_LIMITS = sql.limits(H.CAPACITY, H.BOOTSTRAP_TRADES)
+_DEFAULT_FILLED = sql.filled(Q.MAX_GAP_HOURS)
+
+
+def _default_bars(t: DataFrame) -> DataFrame:
+    return B.hourly_bars(H.classify(t, H.thresholds(t)))
+
+
+@query("a9_default_sample", sql.say("SELECT symbol, date, agg_id, round(qty, 6) AS qty FROM sample", _DEFAULT_LIMITS, source="sparse"), source=from_sparse, digits=6)
+def _a9_default(t):
+    return H.daily_sample(t)
+
+
+@query("a13_default_thresholds", sql.say("SELECT symbol, date, round(p99, 6) AS p99, round(p999, 6) AS p999, source FROM limits", _DEFAULT_LIMITS, source="sparse"), source=from_sparse, digits=6)
+def _a13_default(t):
+    return H.thresholds(t)
+
+
+@query("w6_default_low_activity", sql.say(f"SELECT symbol, count(*) FILTER (n_trades < {Q.MIN_TRADES}) AS n_low_activity FROM bars GROUP BY 1", _DEFAULT_LIMITS, sql.bars(), source="sparse"), source=from_sparse)
+def _w6_default(t):
+    return Q.low_activity(B.hourly_bars(t))
+
+
+@query("w8_default_gap_places", sql.say("SELECT symbol, time, gap AS gap_hours, place AS gap_place FROM gapped WHERE gap IS NOT NULL", _DEFAULT_LIMITS, sql.bars(), _DEFAULT_FILLED, source="sparse"), source=from_sparse)
+def _w8_default(t):
+    return Q.neighbours(written(B.hourly_bars(t))).where("gap_hours is not null").select("symbol", "time", "gap_hours", "gap_place")
+
+
+@query("w9_default_fill", sql.say(f"SELECT {METRICS}, fill_kind FROM filled", _DEFAULT_LIMITS, sql.bars(), _DEFAULT_FILLED, source="sparse"), source=from_sparse)
+def _w9_default(t):
+    return Q.fill_gaps(written(_default_bars(t)))
+
+
+@query("w10_default_fill_counts", sql.say("SELECT symbol, count(*) FILTER (fill_kind = 'interpolated') AS n_small_filled, count(*) FILTER (fill_kind = 'zero') AS n_large_hours FROM filled GROUP BY 1", _DEFAULT_LIMITS, sql.bars(), _DEFAULT_FILLED, source="sparse"), source=from_sparse)
+def _w10_default(t):
+    return Q.fill_counts(Q.fill_gaps(written(_default_bars(t))))
+
+
+@query("full_build_default", sql.say(f"SELECT {METRICS}, fill_kind FROM trimmed", _DEFAULT_LIMITS, sql.bars(), _DEFAULT_FILLED, sql.TRIMMED, source="sparse"), source=from_sparse)
+def _full_default(t):
+    return jobs.build(t)
+
+
+from tradebars.plans import stored  # noqa: E402, F401  registers the queries of sources, increments and streams
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)

@@ -11,20 +11,39 @@ EVENTS_SQL = """
 SELECT event_type AS symbol, event_id AS agg_id, ts AS time, 100.0 + CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS price,
   value AS qty, (user_id % 2 = 1) AS is_buyer_maker FROM events"""
 
+#: The same, four times as long, so that it spans several months.
+STRETCHED_SQL = """
+SELECT event_type AS symbol, event_id AS agg_id, make_timestamp(4 * epoch_us(ts) - 3 * 1704067200000000) AS time, 100.0 + CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS price,
+  value AS qty, (user_id % 2 = 1) AS is_buyer_maker FROM events"""
+
+#: Those of every tenth user, so that hours are missing for short and for long.
+SPARSE_SQL = EVENTS_SQL + " WHERE user_id % 10 = 0"
+
 LINEITEM_SQL = """
 SELECT l_returnflag AS symbol, l_orderkey * 10 + l_linenumber AS agg_id,
   l_shipdate + to_hours(CAST(l_orderkey % 24 AS INT)) + to_minutes(CAST(l_partkey % 60 AS INT)) AS time,
   l_extendedprice / l_quantity AS price, CAST(l_quantity AS DOUBLE) AS qty, (l_linestatus = 'F') AS is_buyer_maker FROM lineitem"""
 
 
-def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+def _trades(events: DataFrame) -> DataFrame:
     price = F.lit(100.0) + F.regexp_extract("props", "([0-9]+)", 1).cast("double")
     return events.select(
         F.col("event_type").alias("symbol"), F.col("event_id").alias("agg_id"), F.col("ts").cast("timestamp").alias("time"), price.alias("price"), F.col("value").alias("qty"), (F.col("user_id") % 2 == 1).alias("is_buyer_maker")
     )
 
 
+def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trades(utc(spark).read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def from_stretched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_events(spark, sf_dir).withColumn("time", F.timestamp_micros(4 * F.unix_micros("time") - F.lit(3 * 1704067200000000)))
+
+
+def from_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trades(utc(spark).read.parquet(f"{sf_dir}/events.parquet").where("user_id % 10 = 0"))
+
+
 def from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = utc(spark).read.parquet(f"{sf_dir}/lineitem.parquet")
     shift = F.make_dt_interval(F.lit(0), (F.col("l_orderkey") % 24).cast("int"), (F.col("l_partkey") % 60).cast("int"), F.lit(0))
