@@ -87,7 +87,7 @@ BODIES = (
         being the original software. 3. This notice may not be removed or altered from any source distribution."""),
 )
 #: Words of templates that are too common to be looked up; they still count in key phrases.
-COMMON = frozenset("0 1 2 3 4 a and any are at by copy except file for free in into is may not of only option or other person purpose source terms the this to under use v version with without you your".split())
+COMMON = frozenset("0 1 2 3 4 a above all and any appear are as at be by copies copy except file for form free from in included into is may must name names neither nor not notice of only option or other person products provided purpose source specific such terms that the this to under use used v version which with without you your".split())
 #: Words looked up for each document and template.
 LOOKED_UP = 1
 #: Share of a body's weight from which on the whole licence stands in the text.
@@ -168,11 +168,19 @@ def matched(docs: DataFrame) -> DataFrame:
     postings = F.broadcast(index.where("key").select("template", "word", "place"))
     begins = placed.join(postings, ["template", "word"]).select(*_KEY, "template", (F.col("at") - F.col("place")).alias("begin")).distinct()
 
-    expected = begins.join(weighted, "template").select(*_KEY, "template", "label", "body", "begin", (F.col("begin") + F.col("place")).alias("at"), "word", "key", "weight")
-    got = tokens.withColumn("there", F.lit(True))
-    seen = expected.alias("e").join(got.alias("g"), F.col("e.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("e.text_hash") == F.col("g.text_hash")) & (F.col("e.at") == F.col("g.at")) & (F.col("e.word") == F.col("g.word")), "left").select("e.*", F.coalesce("g.there", F.lit(False)).alias("there"))
-    judged = seen.groupBy(*_KEY, "template", "label", "body", "begin").agg(F.every(F.col("there") | ~F.col("key")).alias("whole"), (F.sum(F.when(F.col("there"), F.col("weight")).otherwise(0.0)) / F.sum("weight")).alias("score"))
-    return judged.where("whole").groupBy(*_KEY, "label").agg(F.max("score").alias("score"), F.max(F.col("body") & (F.col("score") >= WHOLE)).alias("whole"))
+    got = tokens.withColumn("there", F.lit(True)).alias("g")
+
+    def seen(begins: DataFrame, words: DataFrame) -> DataFrame:
+        """The template's words at the places that its beginning proposes, and whether the document has them there."""
+        expected = begins.join(words, "template").select(*_KEY, "template", "label", "body", "begin", (F.col("begin") + F.col("place")).alias("at"), "word", "weight").alias("e")
+        same = F.col("e.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("e.text_hash") == F.col("g.text_hash")) & (F.col("e.at") == F.col("g.at")) & (F.col("e.word") == F.col("g.word"))
+        return expected.join(got, same, "left").select("e.*", F.coalesce("g.there", F.lit(False)).alias("there"))
+
+    # Whole templates are laid against the text only where their key phrases stand.
+    by = [*_KEY, "template", "begin"]
+    stands = seen(begins, weighted.where("key")).groupBy(*by).agg(F.every("there").alias("whole")).where("whole").select(*by)
+    judged = seen(settle(stands), weighted).groupBy(*by, "label", "body").agg((F.sum(F.when(F.col("there"), F.col("weight")).otherwise(0.0)) / F.sum("weight")).alias("score"))
+    return judged.groupBy(*_KEY, "label").agg(F.max("score").alias("score"), F.max(F.col("body") & (F.col("score") >= WHOLE)).alias("whole"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
