@@ -12,7 +12,10 @@ import test_jaccard
 import test_quality_rules
 import test_secrets
 
+from pyspark.sql import functions as F
+
 from tradebars.llm import bpe, quality
+from tradebars.llm._tables import settle
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -98,6 +101,29 @@ def test_stages_equal_brute_force(spark, tmp_path):
         assert all(r.n_tokens == len(r.ids) for r in out.collect())
 
 
+def test_odd_documents(spark, tmp_path):
+    """Null ids, repeated rows, texts that share an id, a very long text and columns with the stages' own names."""
+    r = random.Random(12)
+    make = lambda n: " ".join(f"word{r.randrange(5000)}" for _ in range(n))
+    data = [(i, make(60), "en", "a", 1) for i in range(60)]
+    alone, long, shared = make(50), make(150_000), [make(50), make(50)]
+    odd = [(None, alone, "en", "a", 1), (None, data[3][1], "en", "a", 1), (900, long, "en", "a", 1), (901, shared[0], "en", "a", 1), (901, shared[1], "en", "a", 1)]
+    docs = spark.createDataFrame(data + odd + data[:4] + odd[:3], SCHEMA)
+    clash = ["_key", "_keep", "_n_lines", "kept", "spans", "blocks", "text_hash", "_d", "_h", "_t", "ids"]
+    for c in clash:
+        docs = docs.withColumn(c, F.lit("mine"))
+    spark.createDataFrame(test_decontaminate.ITEMS, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = sorted([(d[0], d[1]) for d in data] + [(None, alone), (900, long), (901, shared[0]), (901, shared[1])], key=str)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        columns = docs.columns
+        docs = settle(stage(spark, docs, str(tmp_path)))
+        assert docs.columns == columns and docs.where("_key != 'mine' or spans != 'mine' or text_hash != 'mine'").isEmpty()
+        if stage is not corpus_pipeline.quality_rules:
+            assert sorted(((x.doc_id, x.text) for x in docs.collect()), key=str) == want
+    out = corpus_pipeline.token_ids(spark, docs, str(tmp_path)).collect()
+    assert sorted(str(x.doc_id) for x in out) == sorted(str(d) for d, _ in want) and all(x.n_tokens > 0 for x in out)
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

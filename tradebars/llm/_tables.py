@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
 from tradebars.functions.tables import new_path
 
@@ -25,6 +26,12 @@ def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, name: str) -> str:
+    """The name of a public vocabulary file, of which every worker gets a copy."""
+    spark.sparkContext.addFile(public_tokenizers.path(name))
+    return name
+
+
 def shield(docs: DataFrame, added: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Rename columns that clash with those an operator adds inside; the second value puts the input's columns back."""
     added = {c.lower() for c in added}

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradebars.llm import _sql, bpe, decontaminate, html, jaccard, langid, licenses, quality, secrets, sharding, tokens
+from tradebars.llm._tables import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,12 +23,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    """The name of a public vocabulary file, of which every worker gets a copy."""
-    spark.sparkContext.addFile(public_tokenizers.path(name))
-    return name
-
-
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -38,7 +33,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return tokens.count_tokens(docs, _shared(spark, "piece_bpe_32k.model"), keep=["doc_id"], limit=4096)
+    return tokens.count_tokens(docs, shipped(spark, "piece_bpe_32k.model"), keep=["doc_id"], limit=4096)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +64,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = _shared(spark, "byte_bpe_multi_50k.tiktoken")
+    ranks = shipped(spark, "byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep=["doc_id"], decoded=True)
     return coded.select(
         "doc_id",
