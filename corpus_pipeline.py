@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradebars.llm import bpe, decontaminate, jaccard, quality, secrets
-from tradebars.llm._tables import settle
+from tradebars.llm._tables import settle, shipped
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): the ids of each text, and the digest of what they decode to."""
-    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"], decoded=True)
+    coded = bpe.encode(docs, shipped(spark, "byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"], decoded=True)
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
