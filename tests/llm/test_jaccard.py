@@ -126,3 +126,21 @@ def test_graph_components(spark):
     random.Random(1).shuffle(chain)
     out = {r.node: r.label for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert all(out[i] == 0 for i in range(41)) and {out[i] for i in (100, 101, 102)} == {100}
+
+
+def test_copies_near_the_threshold_make_few_pairs(spark, monkeypatch):
+    """Edited copies of a text that is absent: right components, and no more pairs counted than a few for each link and row."""
+    r = random.Random(5)
+    base = [f"w{r.randrange(5000)}" for _ in range(300)]
+    data = []
+    for k in range(80):
+        copy = list(base)
+        for _ in range(r.randrange(3, 9)):
+            copy[r.randrange(300)] = f"x{r.random()}"
+        data.append((k, " ".join(copy), "en", "a", 1))
+    counted, linked = [], jaccard._linked
+    monkeypatch.setattr(jaccard, "_linked", lambda cut, pairs: counted.append(pairs.count()) or linked(cut, pairs))
+    assert got(documents(spark, data)) == brute(data)
+    sets = [shingle_set(d[1]) for d in data]
+    links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert sum(counted) <= 4 * len(data) + 2 * links

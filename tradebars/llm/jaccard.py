@@ -21,8 +21,11 @@ copies cost nothing beyond their own scan. The work on classes:
 4. Partial overlaps. For every (member, leader) pair, each fragment counts the overlap of its two segments; the sum per
    pair decides. Members of a large group are dealt out by a salt with a copy of the leader's segment.
 5. Further rounds. While a group's classes are still in several components, more of them lead, and meet only classes of
-   other components; leaders are broadcast while they are few, else the members of a group are dealt out by a salt. When none is left, every pair that shares a prefix shingle was counted or is connected already, so
-   the components are those of all links.
+   other components; leaders are broadcast while they are few, else the members of a group are dealt out by a salt. Pairs
+   are counted only where bit marks allow a link: the parities of the shared shingles in 512 buckets differ in no more
+   places than the sets do, so in a group of copies near the threshold, few pairs leave the join that makes them. When no
+   group is left, every pair that shares a prefix shingle was counted, ruled out or is connected already, so the
+   components are those of all links.
 
 Defined results: null, empty or blank texts have empty sets and link to nothing; texts of fewer than five words have one
 shingle, the whole sequence; repeated rows and copies are in one component; rows with a null doc_id take part and the
@@ -52,14 +55,16 @@ FRAGMENT_BYTES = 8 << 20
 HELD = 1 << 20
 #: Classes up to which the list of remaining documents is broadcast (8 bytes each); beyond, it is joined by key.
 BROADCAST_ROWS = 1 << 20
-#: Leaders of all groups up to which they are broadcast (48 bytes each); beyond, they are joined by key and salt.
-BROADCAST_LEADERS = 1 << 18
+#: Leaders of all groups up to which they are broadcast (120 bytes each); beyond, they are joined by key and salt.
+BROADCAST_LEADERS = 1 << 17
 #: Leaders of a group in the second round; each further round has as many times more.
 LEADERS = 4
 #: Classes of a shingle from which on they are grouped by size; sizes of linked sets lie in one band or in the next.
 MANY, BAND = 64, 1.26
 #: Members of a leader that share one copy of its segment, and of a group that share one copy of its leaders.
 SALT, SALTED = 256, 4096
+#: Buckets of a class's bit marks; marks are words of 64 of them.
+MARKS = 512
 U = np.uint64
 
 
@@ -291,8 +296,10 @@ def _by_runs(it: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def _prefixes(cut: DataFrame, classes: DataFrame) -> DataFrame:
-    """(hash, classes, sig, n, place, score): the prefix of each class, from rare to common, by place in that order; the score is how many classes have one of its
-    shingles, on average, in thousandths."""
+    """(hash, classes, sig, n, place, score, marks): the prefix of each class, from rare to common, by place in that order; the
+    score is how many classes have one of its shingles, on average, in thousandths. The first row of a class has its marks:
+    how many of its shingles no other class has, and the bits of the others."""
+    words = [f"b{i}" for i in range(MARKS // 64)]
 
     def take(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_runs(it, "sig"):
@@ -310,10 +317,15 @@ def _prefixes(cut: DataFrame, classes: DataFrame) -> DataFrame:
             score = np.repeat((spread[first + shared] - spread[first]) * 1000 // n[first] if len(n) else shared, shared)
             place = rank + n - np.repeat(shared, shared)  # those that nobody shares come before all
             keep = place < n - _need(n) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[keep].view(np.int64)), pa.array(common[order][keep]), pa.array(sig[keep]), pa.array(n[keep]), pa.array(place[keep]), pa.array(score[keep])], names=["hash", "classes", "sig", "n", "place", "score"])
+            run = np.repeat(np.arange(len(first)), shared)
+            odd = np.bincount(run * MARKS + (B.mix(hashes) % U(MARKS)).astype(np.int64), minlength=len(first) * MARKS) & 1
+            bits = np.packbits(odd.astype(bool)).view(np.int64).reshape(len(first), MARKS // 64)[run[keep]]
+            marks = pa.StructArray.from_arrays([pa.array((n - np.repeat(shared, shared))[keep]), *(pa.array(b) for b in bits.T)], names=["lone", *words], mask=pa.array(rank[keep] > 0))
+            columns = [hashes.view(np.int64), common[order], sig, n, place, score]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in columns), marks], names=["hash", "classes", "sig", "n", "place", "score", "marks"])
 
     rows = cut.join(classes.select("sig", "n"), "sig").select("sig", "n", "hashes", "classes")
-    return rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(take, "hash bigint, classes int, sig bigint, n bigint, place bigint, score bigint")
+    return rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(take, f"hash bigint, classes int, sig bigint, n bigint, place bigint, score bigint, marks struct<lone: bigint, {', '.join(f'{w}: bigint' for w in words)}>")
 
 
 def _overlaps(cut: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -360,6 +372,9 @@ def _linked(cut: DataFrame, pairs: DataFrame) -> DataFrame:
 
 #: What the first shingle that two linked classes have in common allows: the sets from there on hold the overlap.
 _FITS = "9 * (na - pa) >= 4 * (na + nb) and 9 * (nb - pb) >= 4 * (na + nb) and a != b"
+#: What bit marks allow: linked sets differ in a ninth of their sizes at most, and in as many shingles at least as are theirs
+#: alone or as bits differ.
+_NEAR = f"9 * (marks.lone + mb.lone + {' + '.join(f'bit_count(marks.b{i} ^ mb.b{i})' for i in range(MARKS // 64))}) <= n + nb"
 
 
 def _once(pairs: DataFrame) -> DataFrame:
@@ -385,7 +400,8 @@ def _grouped(prefixes: DataFrame) -> DataFrame:
 
 def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(node, label) of the linked classes."""
-    prefixes = _grouped(prefixes)
+    marks = prefixes.where("marks is not null").select("sig", "marks")
+    prefixes = _grouped(prefixes.drop("marks"))
     groups = prefixes.groupBy("classes", "gram", "hash").agg(F.max(F.struct("score", "sig", "n", "place")).alias("lead"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("sig")).alias("members")).where("m > 1")
     # Of groups with the same classes the first in the order stays: its places are those that `_FITS` is about.
     groups = settle(groups.groupBy("m", "members").agg(F.min(F.struct("classes", "gram", "hash", "lead")).alias("first")).select("first.hash", "first.lead"))
@@ -400,17 +416,18 @@ def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame:
         left = mixed.agg(F.count("*").alias("groups"), F.sum("m").alias("rows")).first()
         if not left.groups:
             return labels
-        open_rows = settle(named.join(F.broadcast(mixed) if left.groups <= BROADCAST_LEADERS else mixed, "hash"), left.rows)
+        open_rows = named.join(F.broadcast(mixed) if left.groups <= BROADCAST_LEADERS else mixed, "hash")
+        open_rows = settle(open_rows.join(marks, "sig"), left.rows)
         # Only ranks up to the last new leader are asked for, so each task passes on no more of a group than these.
         ranked = open_rows.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig")))).where(f"rank <= {upto + step}")
-        leaders = settle(ranked.where(f"rank > {upto}").select("hash", "m", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb")), left.groups * step)
+        leaders = settle(ranked.where(f"rank > {upto}").select("hash", "m", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb"), F.col("marks").alias("mb")), left.groups * step)
         if leaders.count() <= BROADCAST_LEADERS:
             new = open_rows.drop("m").join(F.broadcast(leaders.drop("m")), "hash")
         else:
             width = F.ceil(F.col("m") / SALTED).cast("bigint")
             copies = leaders.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), width - 1)).alias("salt")).drop("m")
             new = open_rows.withColumn("salt", F.pmod(F.xxhash64("sig"), width)).drop("m").join(copies, ["hash", "salt"])
-        new = new.where("(score < sb or score = sb and sig < b) and label != lb")
+        new = new.where("(score < sb or score = sb and sig < b) and label != lb").where(_NEAR)
         new = new.select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
         new = settle(_once(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
         upto, step = upto + step, step * LEADERS
