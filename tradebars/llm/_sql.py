@@ -76,3 +76,46 @@ judged AS (
 
 
 QUALITY = f"WITH {quality()} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
+
+
+def resampling(docs: str = "documents", target: str = "benchmark") -> str:
+    """CTEs that end in placed(doc_id, n_features, weight, score, rank); CRC-32 goes byte by byte through its table."""
+    words = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    table = "SELECT 0 AS k, range AS byte, range AS c FROM range(256) UNION ALL SELECT k + 1, byte, " + step + " FROM bits WHERE k < 8"
+    hexes = "list_transform(range(0, octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), 1 + 2 * CAST(i AS INT), 2) AS BIGINT))"
+    return f"""
+bits AS ({table}),
+crc AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
+r_docs AS (SELECT doc_id, unnest({words}) AS w FROM {docs}),
+r_target AS (SELECT unnest({words}) AS w FROM {target}),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, {hexes}), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM r_docs UNION SELECT w FROM r_target), crc),
+s_counts AS (SELECT bucket, count(*) AS n FROM r_docs JOIN hashed USING (w) GROUP BY bucket),
+t_counts AS (SELECT bucket, count(*) AS n FROM r_target JOIN hashed USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(n), 0) FROM s_counts) AS s, (SELECT coalesce(sum(n), 0) FROM t_counts) AS t),
+gains AS (
+  SELECT range AS bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (sums.s + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * (sums.t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) LEFT JOIN s_counts s ON s.bucket = range LEFT JOIN t_counts t ON t.bucket = range, sums),
+weights AS (
+  SELECT d.doc_id, coalesce(x.n, 0) AS n_features, coalesce(CAST(floor(x.total / x.n) AS BIGINT), 0) AS weight
+  FROM {docs} d LEFT JOIN (SELECT doc_id, count(*) AS n, sum(gain) AS total FROM r_docs JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY doc_id) x USING (doc_id)),
+scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score FROM weights),
+ordered AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS drawn FROM scored WHERE n_features >= 20),
+placed AS (SELECT s.*, CASE WHEN o.rank <= o.drawn THEN o.rank END AS rank FROM scored s LEFT JOIN ordered o USING (doc_id))"""
+
+
+RESAMPLING = f"WITH RECURSIVE {resampling()} SELECT doc_id, n_features, weight, score, rank FROM placed"
+
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INT) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 10"""

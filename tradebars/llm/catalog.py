@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradebars.llm import _sql, bpe, decontaminate, html, jaccard, langid, licenses, quality, secrets, sharding, tokens
+from tradebars.llm import _sql, bpe, decontaminate, factors, html, jaccard, langid, licenses, negatives, quality, resample, secrets, sharding, tokens
 from tradebars.llm._tables import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", factors.held_out())
+    scored = factors.classify(docs, _table(spark, sf_dir, "labels"), metadata=["n_chars"], keep=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, label=label, anchor=F.col("vec_id") % 100 == 0)
+
+
 @functools.lru_cache(1)
 def _archive() -> str:
     """The package as a zip file, to be shipped to executors."""
@@ -101,6 +117,7 @@ def _shipped(query: Query) -> Query:
 QUERIES = (
     op1_license_scan, op2_ngram_jaccard, op3_token_counts, op4_secret_scan, op5_decontamination,
     op6_language_id, op7_html_text, op8_kd_shards, op9_quality_rules, op10_byte_bpe,
+    op11_importance_resampling, op12_quality_classifier, op13_hard_negatives,
 )
 
 
@@ -109,5 +126,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    said = {"op2_ngram_jaccard": _sql.JACCARD, "op9_quality_rules": _sql.QUALITY}
+    said = {"op2_ngram_jaccard": _sql.JACCARD, "op9_quality_rules": _sql.QUALITY, "op11_importance_resampling": _sql.RESAMPLING, "op13_hard_negatives": _sql.NEGATIVES}
     return said | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
