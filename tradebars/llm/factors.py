@@ -70,7 +70,7 @@ def _repeated_lines(texts: B.Texts) -> tuple[np.ndarray, np.ndarray]:
     owners = texts.owner(starts)
     n = np.bincount(owners, minlength=len(texts))
     kept = np.unique(B.of_text(texts.hashes(starts, ends), owners), return_index=True)[1]
-    return 1 - np.bincount(owners[kept], minlength=len(texts)) / np.maximum(n, 1), n
+    return (n - np.bincount(owners[kept], minlength=len(texts))) / np.maximum(n, 1), n
 
 
 def features(column: pa.Array) -> Features:
