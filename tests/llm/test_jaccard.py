@@ -77,13 +77,15 @@ def test_components_equal_brute_force(spark):
 
 
 def test_many_rounds_and_joined_lists(spark, monkeypatch):
-    """One leader more a round, groups by size throughout, hot fragments dealt out, and no broadcasts."""
+    """One leader more, small tiles, groups by size throughout, hot fragments dealt out, and no broadcasts."""
     monkeypatch.setattr(jaccard, "MANY", 1)
     monkeypatch.setattr(jaccard, "HELD", 500)
     monkeypatch.setattr(jaccard, "FRAGMENT_BYTES", 4000)
     monkeypatch.setattr(jaccard, "BROADCAST_LEADERS", 0)
     monkeypatch.setattr(jaccard, "SALTED", 3)
     monkeypatch.setattr(jaccard, "LEADERS", 1)
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    monkeypatch.setattr(jaccard, "STRIP", 3)
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(jaccard, "SALT", 2)
     data = corpus(3)[:70]
@@ -144,3 +146,24 @@ def test_copies_near_the_threshold_make_few_pairs(spark, monkeypatch):
     sets = [shingle_set(d[1]) for d in data]
     links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
     assert sum(counted) <= 4 * len(data) + 2 * links
+
+
+def test_twice_the_edited_copies_make_about_twice_the_rows(spark, monkeypatch):
+    """Copies without their original, all in one group: pairs leave the tiles in proportion to the links, not to all pairs."""
+    made = []
+    for n in (100, 200):
+        r = random.Random(6)
+        base = [f"w{r.randrange(5000)}" for _ in range(300)]
+        data = []
+        for k in range(n):
+            copy = list(base)
+            for _ in range(9):
+                copy[r.randrange(300)] = f"x{r.random()}"
+            data.append((k, " ".join(copy), "en", "a", 1))
+        counted, linked = [], jaccard._linked
+        with monkeypatch.context() as m:
+            m.setattr(jaccard, "LEADERS", 2)
+            m.setattr(jaccard, "_linked", lambda cut, pairs, counted=counted: counted.append(pairs.count()) or linked(cut, pairs))
+            assert got(documents(spark, data)) == brute(data)
+        made.append(sum(counted))
+    assert made[1] <= 3 * made[0] + 50

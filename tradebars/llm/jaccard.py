@@ -20,12 +20,12 @@ copies cost nothing beyond their own scan. The work on classes:
    where the sets from the shared place on are too small for the overlap it needs.
 4. Partial overlaps. For every (member, leader) pair, each fragment counts the overlap of its two segments; the sum per
    pair decides. Members of a large group are dealt out by a salt with a copy of the leader's segment.
-5. Further rounds. While a group's classes are still in several components, more of them lead, and meet only classes of
-   other components; leaders are broadcast while they are few, else the members of a group are dealt out by a salt. Pairs
-   are counted only where bit marks allow a link: the parities of the shared shingles in 512 buckets differ in no more
-   places than the sets do, so in a group of copies near the threshold, few pairs leave the join that makes them. When no
-   group is left, every pair that shares a prefix shingle was counted, ruled out or is connected already, so the
-   components are those of all links.
+5. Further rounds. In groups whose classes are still in several components, some more classes lead, and meet only classes
+   of other components; leaders are broadcast while they are few, else the members of a group are dealt out by a salt. The
+   groups that this leaves in several components are cut into tiles, and each two tiles are compared as whole arrays. In
+   both, a pair is counted only where bit marks allow a link: the parities of the shared shingles in 512 buckets differ in
+   no more places than the sets do, so in a group of copies near the threshold, few pairs become rows. Then every pair
+   that shares a prefix shingle was counted, ruled out or is connected already, so the components are those of all links.
 
 Defined results: null, empty or blank texts have empty sets and link to nothing; texts of fewer than five words have one
 shingle, the whole sequence; repeated rows and copies are in one component; rows with a null doc_id take part and the
@@ -57,8 +57,10 @@ HELD = 1 << 20
 BROADCAST_ROWS = 1 << 20
 #: Leaders of all groups up to which they are broadcast (120 bytes each); beyond, they are joined by key and salt.
 BROADCAST_LEADERS = 1 << 17
-#: Leaders of a group in the second round; each further round has as many times more.
-LEADERS = 4
+#: Leaders of a group in the second round, after the first one.
+LEADERS = 16
+#: Members of a tile in the last round, and of those the ones that are compared with another tile at once.
+TILE, STRIP = 2048, 128
 #: Classes of a shingle from which on they are grouped by size; sizes of linked sets lie in one band or in the next.
 MANY, BAND = 64, 1.26
 #: Members of a leader that share one copy of its segment, and of a group that share one copy of its leaders.
@@ -409,34 +411,74 @@ def _links(cut: DataFrame, prefixes: DataFrame) -> DataFrame:
     first = met.select(F.col("sig").alias("a"), F.col("lead.sig").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb"), F.col("place").alias("pa"), F.col("lead.place").alias("pb"))
     pairs = settle(_once(first))
     labels = components(settle(_linked(cut, pairs), pairs.count()))
-    upto, step = 1, LEADERS
-    while True:
+    for tiled in (False, True):
         named = met.join(labels, met["sig"] == labels["node"], "left").select("hash", "sig", "n", "place", "score", F.coalesce("label", "sig").alias("label"))
-        mixed = settle(named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {upto + 1} and low != high").select("hash", "m"))
+        least = 1 + LEADERS * tiled  # groups of so many classes have met as a whole
+        mixed = settle(named.groupBy("hash").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"m > {least + 1} and low != high").select("hash", "m"))
         left = mixed.agg(F.count("*").alias("groups"), F.sum("m").alias("rows")).first()
         if not left.groups:
             return labels
         open_rows = named.join(F.broadcast(mixed) if left.groups <= BROADCAST_LEADERS else mixed, "hash")
         open_rows = settle(open_rows.join(marks, "sig"), left.rows)
-        # Only ranks up to the last new leader are asked for, so each task passes on no more of a group than these.
-        ranked = open_rows.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig")))).where(f"rank <= {upto + step}")
-        leaders = settle(ranked.where(f"rank > {upto}").select("hash", "m", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb"), F.col("marks").alias("mb")), left.groups * step)
-        if leaders.count() <= BROADCAST_LEADERS:
-            new = open_rows.drop("m").join(F.broadcast(leaders.drop("m")), "hash")
-        else:
-            width = F.ceil(F.col("m") / SALTED).cast("bigint")
-            copies = leaders.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), width - 1)).alias("salt")).drop("m")
-            new = open_rows.withColumn("salt", F.pmod(F.xxhash64("sig"), width)).drop("m").join(copies, ["hash", "salt"])
-        new = new.where("(score < sb or score = sb and sig < b) and label != lb").where(_NEAR)
-        new = new.select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
-        new = settle(_once(new).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-        upto, step = upto + step, step * LEADERS
+        new = _once(_tiled(open_rows) if tiled else _led(open_rows, left.groups))
+        new = settle(new.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
         tried = new.count()
         if tried:
             pairs = pairs.union(new)
             found = settle(_linked(cut, new), tried)
             if not found.isEmpty():
                 labels = _relabelled(labels, found)
+    return labels
+
+
+def _led(open_rows: DataFrame, groups: int) -> DataFrame:
+    """Pairs of each group's members with its next leaders, where component and marks leave it open whether they link."""
+    # Only ranks up to the last new leader are asked for, so each task passes on no more of a group than these.
+    ranked = open_rows.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy(F.desc("score"), F.desc("sig")))).where(f"rank <= {1 + LEADERS}")
+    leaders = settle(ranked.where("rank > 1").select("hash", "m", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"), F.col("score").alias("sb"), F.col("marks").alias("mb")), groups * LEADERS)
+    if leaders.count() <= BROADCAST_LEADERS:
+        new = open_rows.drop("m").join(F.broadcast(leaders.drop("m")), "hash")
+    else:
+        width = F.ceil(F.col("m") / SALTED).cast("bigint")
+        copies = leaders.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), width - 1)).alias("salt")).drop("m")
+        new = open_rows.withColumn("salt", F.pmod(F.xxhash64("sig"), width)).drop("m").join(copies, ["hash", "salt"])
+    new = new.where("(score < sb or score = sb and sig < b) and label != lb").where(_NEAR)
+    return new.select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("place").alias("pa"), "pb")
+
+
+def _tiled(open_rows: DataFrame) -> DataFrame:
+    """Pairs of members of a group, where component and marks leave it open whether they link.
+
+    A group's members are dealt into tiles, and each two tiles meet in one place, where whole arrays of marks are compared:
+    only the pairs that are left ever become rows.
+    """
+    width = F.ceil(F.col("m") / TILE).cast("int")
+    own = open_rows.withColumn("own", F.pmod(F.xxhash64("sig"), width).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), width - 1)))
+    place = F.xxhash64("hash", F.least("own", "other"), F.greatest("own", "other"))
+    rows = own.select(place.alias("tile"), F.sign(F.col("other") - F.col("own")).cast("int").alias("side"), "sig", "n", "place", "score", "label", "marks.*")
+
+    def near(table: pa.Table) -> pa.Table:
+        at = {c: table.column(c).to_numpy() for c in ("side", "sig", "n", "place", "score", "label", "lone")}
+        bits = np.stack([table.column(f"b{i}").to_numpy() for i in range(MARKS // 64)])
+        ones, others = np.flatnonzero(at["side"] >= 0), np.flatnonzero(at["side"] <= 0)
+        found = [np.zeros((2, 0), np.int64)]
+        for k in range(0, len(ones), STRIP):
+            x = ones[k : k + STRIP, None]
+            apart = at["lone"][x] + at["lone"][others]
+            for word in bits:
+                apart = apart + np.bitwise_count(word[x] ^ word[others])
+            both = at["n"][x] + at["n"][others]
+            open_ = (9 * apart <= both) & (at["label"][x] != at["label"][others])
+            open_ &= (9 * (at["n"] - at["place"])[x] >= 4 * both) & (9 * (at["n"] - at["place"])[others] >= 4 * both)
+            i, j = np.nonzero(open_)
+            i, j = ones[k + i], others[j]
+            i, j = (i[i < j], j[i < j]) if at["side"][0] == 0 else (i, j)  # a tile with itself
+            later = (at["score"][i] > at["score"][j]) | ((at["score"][i] == at["score"][j]) & (at["sig"][i] > at["sig"][j]))
+            found.append(np.stack([np.where(later, j, i), np.where(later, i, j)]))
+        a, b = np.concatenate(found, axis=1)
+        return pa.table([at[c][x] for c in ("sig", "n", "place") for x in (a, b)], names=["a", "b", "na", "nb", "pa", "pb"])
+
+    return rows.groupBy("tile").applyInArrow(near, "a bigint, b bigint, na bigint, nb bigint, pa bigint, pb bigint")
 
 
 def join_groups(docs: DataFrame) -> DataFrame:
