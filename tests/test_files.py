@@ -47,6 +47,52 @@ def test_zip_equals_plain(spark, tmp_path):
     assert rows_of(a) == rows_of(b) and a.count() == 4
 
 
+def test_archives_are_read_in_place_and_in_blocks(spark, tmp_path, monkeypatch):
+    """No rows of archives and no exchange; small archives share a partition, and a batch holds a block of lines."""
+    from tradebars.sources import archives
+
+    lines = [f"{i},1.5,2,1,1,1704067200000,true" for i in range(5000)]
+    for month in ("2024-01", "2024-02", "2024-03"):
+        with zipfile.ZipFile(tmp_path / f"ETH-aggTrades-{month}.zip", "w") as z:
+            z.writestr("first.csv", "\r\n".join(lines) + "\n")
+            z.writestr("second.csv", "99,1,1,1,1,1,true\n")
+    with zipfile.ZipFile(tmp_path / "ETH-aggTrades-2024-04.zip", "w"):
+        pass
+    read = files.read_zipped_lines(spark, f"{tmp_path}/*.zip")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "binaryFile" not in plan.lower() and read.rdd.getNumPartitions() == 1
+    assert files.parse_trades(read).count() == 15_000 and read.where("line like '%\r'").isEmpty()
+    monkeypatch.setattr(archives, "BLOCK", 1000)
+    path = f"{tmp_path}/ETH-aggTrades-2024-01.zip"
+    sizes = [b.num_rows for b in archives.lines_of(open(path, "rb"), path)]
+    assert sum(sizes) == 5000 and max(sizes) < 100
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+        assert len(archives.listed(spark, [f"{tmp_path}/*.zip"])) == 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert not archives.opened("viewfs://store/x.zip") and archives.opened(f"file:{path}")
+
+
+def test_binary_rows_of_archives_give_the_same(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "ETH-aggTrades-2024-02.zip", "w") as z:
+        z.writestr("first.csv", LINES)
+    rows = files.unzip_lines(spark.read.format("binaryFile").load(f"{tmp_path}/*.zip"))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(rows.select("line")) == rows_of(files.read_zipped_lines(spark, f"{tmp_path}/*.zip").select("line"))
+
+
+def test_counts_come_with_the_one_pass(spark, tmp_path):
+    path = tmp_path / "BTC-aggTrades-2024-01.csv"
+    path.write_text(LINES)
+    trades, counts = files.parse_counted(files.read_lines(spark, str(path)))
+    assert trades._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    trades.write.parquet(f"{tmp_path}/out")
+    assert counts.trades == 4 == spark.read.parquet(f"{tmp_path}/out").count()
+    assert counts.all == {"n_lines": 13, "n_trades": 4, "n_columns": 1, "n_agg_id": 2, "n_price": 4, "n_qty": 1, "n_time": 1, "n_symbol": 0}
+
+
 def test_discover_months(spark, tmp_path):
     for name in ("A-aggTrades-2024-02.zip", "A-aggTrades-2023-12.zip", "A-aggTrades-2024-02.csv", "B-aggTrades-2024-01.zip", "notes.txt"):
         (tmp_path / name).write_text("x")

@@ -117,13 +117,109 @@ def test_other_versions_count_as_nothing(spark, tmp_path):
     t = many(spark, 1500, days=40)
     store = I.Store(spark, f"{tmp_path}/store")
     want = rows_of(I.resume(store, t, "2024-01", "2024-02", capacity=15, bootstrap_n=20))
-    marks = spark.createDataFrame([(r.symbol, r.month, 99, r.last_update) for r in store.marks().collect()], store.marks().schema)
-    marks.write.mode("overwrite").parquet(f"{tmp_path}/store/completed")
+    store.snapshots.commit(store.snapshots.current() | {"version": 99})
     assert store.completed().count() == 0
     assert rows_of(I.resume(store, t, "2024-01", "2024-02", capacity=15, bootstrap_n=20)) == want
     assert store.completed().count() == 4 and store.marks().where("last_update is null").isEmpty()
 
 
+SIZES = {"capacity": 15, "bootstrap_n": 20}
+
+
+def test_months_in_any_order_equal_the_full_build(spark, tmp_path):
+    """A late month makes the months stale whose first dates look back into it, over months of few dates too."""
+    t = many(spark, 3000, days=130).where("not (symbol = 'S1' and month(time) = 3 and day(time) > 3)")
+    full = B.hourly_bars(H.classify(t, H.thresholds(t, **SIZES)))
+    store = I.Store(spark, f"{tmp_path}/store")
+    for month in ("2024-04", "2024-01", "2024-03"):
+        I.resume(store, t.where(month_of() == month), month, month, **SIZES)
+    I.build_month(store, t, "2024-02", **SIZES)
+    assert {(r.symbol, r.month) for r in store.stale().collect()} == {(s, m) for s in ("S0", "S1") for m in ("2024-03", "2024-04")}
+    assert "2024-03" not in {r.month for r in store.bars().select("month").distinct().collect()}
+    I.resume(store, t, "2024-01", "2024-03", **SIZES)
+    assert store.stale().isEmpty()
+    whole = I.resume(store, t, "2024-01", "2024-05", **SIZES)
+    assert rows_of(whole.select(*full.columns)) == rows_of(full)
+
+
+def test_stale_months_beyond_the_range_are_built_again(spark, tmp_path):
+    t = many(spark, 1500, days=60)
+    full = B.hourly_bars(H.classify(t, H.thresholds(t, **SIZES)))
+    store = I.Store(spark, f"{tmp_path}/store")
+    I.resume(store, t, "2024-02", "2024-02", **SIZES)
+    I.resume(store, t, "2024-01", "2024-01", **SIZES)
+    assert rows_of(store.bars().select(*full.columns)) == rows_of(full)
+
+
+def test_adjacent_months_of_the_same_symbols_are_built_together(spark, tmp_path, monkeypatch):
+    t, built, build = many(spark, 1500, days=100), [], I.build_months
+    monkeypatch.setattr(I, "build_months", lambda store, trades, first, last, **p: (built.append((first, last)), build(store, trades, first, last, **p)))
+    store = I.Store(spark, f"{tmp_path}/store")
+    I.resume(store, t.where("symbol = 'S0'"), "2024-02", "2024-02", **SIZES)
+    I.resume(store, t, "2024-01", "2024-04", **SIZES)
+    assert built == [("2024-02", "2024-02"), ("2024-01", "2024-01"), ("2024-02", "2024-02"), ("2024-03", "2024-04")] + [("2024-02", "2024-02")]
+    built.clear()
+    whole = I.resume(I.Store(spark, f"{tmp_path}/other"), t, "2024-01", "2024-04", **SIZES)
+    assert built == [("2024-01", "2024-04")]
+    assert rows_of(whole) == rows_of(store.bars().drop("month"))
+
+
+def test_a_build_that_dies_between_writes_leaves_the_state_before(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    t = many(spark, 1200, days=60)
+    store = I.Store(spark, f"{tmp_path}/store")
+    I.resume(store, t, "2024-01", "2024-01", **SIZES)
+    before, marks = rows_of(store.bars()), rows_of(store.marks())
+    put = DataFrameWriter.parquet
+
+    def dying(after):
+        left = [after]
+
+        def write(self, path, *args, **kwargs):
+            if "/store/" in path:
+                left[0] -= 1
+                if left[0] < 0:
+                    raise OSError("killed")
+            return put(self, path, *args, **kwargs)
+
+        return write
+
+    for n in range(4):  # before bars, values, marks and bootstrap
+        monkeypatch.setattr(DataFrameWriter, "parquet", dying(n))
+        with pytest.raises(OSError, match="killed"):
+            I.resume(store, t, "2024-02", "2024-02", **SIZES)
+        assert rows_of(store.bars()) == before and rows_of(store.marks()) == marks
+    monkeypatch.setattr(DataFrameWriter, "parquet", put)
+    with pytest.raises(RuntimeError, match="killed"):  # before the manifest
+        monkeypatch.setattr(store.snapshots, "commit", lambda content: (_ for _ in ()).throw(RuntimeError("killed")))
+        I.resume(store, t, "2024-02", "2024-02", **SIZES)
+    assert rows_of(store.bars()) == before
+    whole = I.resume(I.Store(spark, f"{tmp_path}/store"), t, "2024-01", "2024-02", **SIZES)
+    assert rows_of(whole) == rows_of(I.resume(I.Store(spark, f"{tmp_path}/other"), t, "2024-01", "2024-02", **SIZES))
+
+
+def test_readers_keep_what_they_began_with(spark, tmp_path):
+    t = many(spark, 800, days=20)
+    store = I.Store(spark, f"{tmp_path}/store")
+    I.build_month(store, t, "2024-01", **SIZES)
+    held = store.bars()
+    want = rows_of(held)
+    I.build_month(store, t.where("agg_id % 3 = 0"), "2024-01", **SIZES)
+    assert rows_of(held) == want != rows_of(store.bars())
+
+
+def test_two_writers_cannot_both_commit(spark, tmp_path):
+    from tradebars.functions.snapshots import Snapshots
+
+    one = Snapshots(spark, f"{tmp_path}/s")
+    assert one.commit({"a": 1}) == 0 and one.commit({"a": 2}) == 1
+    one.numbers = lambda: [0]
+    with pytest.raises(RuntimeError, match="another writer"):
+        one.commit({"a": 3})
+    assert Snapshots(spark, f"{tmp_path}/s").current() == {"a": 2}
+
+
 def test_only_pending_symbols_are_built(spark, tmp_path):
     t = many(spark, 1500, days=40)
     store = I.Store(spark, f"{tmp_path}/store")

@@ -73,11 +73,68 @@ def test_empty(spark):
     assert H.thresholds(none).count() == 0 and H.classify(none, H.thresholds(none)).count() == 0
 
 
-def test_plan_moves_no_trades(spark):
-    """Sampling limits ranks before its exchange; labels need none of the trades' side; sums are partial."""
-    t = many(spark)
-    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert plan(H.daily_sample(t, 10)).count("WindowGroupLimit") == 2
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_moves_no_trades(spark, tmp_path):
+    """Sampling limits ranks before its exchange; the size of the limits decides on the join, and not that of the day values."""
+    many(spark, 60_000, days=60).write.parquet(f"{tmp_path}/trades")
+    t = spark.read.parquet(f"{tmp_path}/trades")
+    assert plan_of(H.daily_sample(t, 10)).count("WindowGroupLimit") == 2
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "100k")
+        values = spark.read.parquet(H.written(H.day_values(t)).inputFiles()[0].rsplit("/", 1)[0])
+        assert not H._fits(values)
+        flagged = H.classify(t, H.thresholds(t))
+        assert flagged.count() == 60_000 and "Exchange hashpartitioning" not in plan_of(flagged) and "BroadcastHashJoin" in plan_of(flagged)
+    finally:
+        spark.conf.set(conf, before)
+
+
+def test_a_hot_day_is_dealt_out_where_limits_are_too_large_to_broadcast(spark):
+    t = many(spark, 3000, days=1, symbols=1).union(many(spark, 300, days=20))
+    limits = H.thresholds(t, capacity=50, bootstrap_n=100)
+    want = rows_of(H.classify(t, limits))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        flagged = H.classify(t, limits)
+        hot = flagged.where("symbol = 'S0'").groupBy("date", F.spark_partition_id().alias("p")).count().where("date = '2024-01-01'").collect()
+        assert len(hot) > 8 and max(r["count"] for r in hot) < 1500
+        assert rows_of(flagged) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rolling_equals_pools_one_by_one(spark):
+    """Days of very unequal size, repeated values and frequencies: each pool's percentiles by numpy."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    sizes = {d: int(n) for d, n in enumerate([1, 900, 2, 2, 5, 300, 1, 1, 40, 1, 1, 1, 1, 1, 1, 1, 700, 3])}
+    rows = [(s, at(0, d).date(), float(q), int(f)) for s in "AB" for d, n in sizes.items() for q, f in zip(r.integers(0, 200, n) / 4, r.integers(1, 4, n), strict=True)]
+    values = spark.createDataFrame(rows, "symbol string, date date, qty double, freq bigint")
+    got = {(x.symbol, x.date): (x.p99, x.p999) for x in H.rolling(values, values, 7).collect()}
+    for s in "AB":
+        for d in range(1, len(sizes)):
+            pool = np.concatenate([[q] * f for y, day, q, f in rows if y == s and at(0, d - 7).date() <= day < at(0, d).date()])
+            assert np.allclose(got.pop((s, at(0, d).date())), np.quantile(pool, [0.99, 0.999]))
+    assert not got
+
+
+def test_rolling_shuffles_values_once_and_few_of_them_again(spark):
+    t = many(spark, 40_000, days=20, symbols=1)
+    values = H.written(H.histogram(t))
+    plan = H.rolling(values, values, 7)
+    plan.collect()
+    text = plan_of(plan).split("Initial Plan")[0]
+    assert "Python" not in text and text.count("Exchange hashpartitioning(symbol") <= 2
 
 
 def test_jobs_scan_trades_twice(spark, tmp_path):

@@ -34,7 +34,6 @@ BARS = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("tim
 SHORT_BARS = T.StructType([T.StructField("t", T.LongType()), *[T.StructField(k, metric_type(m)) for m, k in METRICS.items()]])
 SAMPLES = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("date", T.DateType()), T.StructField("samples", T.ArrayType(T.DoubleType())), T.StructField("count", T.LongType())])
 BOOTSTRAP = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("p99", T.DoubleType()), T.StructField("p999", T.DoubleType()), T.StructField("bootstrapped", T.BooleanType())])
-MONTHS = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("month", T.StringType()), T.StructField("version", T.IntegerType()), T.StructField("last_update", T.TimestampType())])
 
 
 def utc(spark: SparkSession) -> SparkSession:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradebars.functions.tables import written
@@ -17,6 +17,8 @@ BOOTSTRAP_TRADES = 50_000
 DEFAULT_P99, DEFAULT_P999 = 5.0, 20.0
 PERCENTS = (0.99, 0.999)
 SEED = "42"
+#: Keys that a day's trades are dealt out over where the limits are too large to broadcast.
+SALT = 32
 
 _DAY = ["symbol", "date"]
 
@@ -72,11 +74,31 @@ def lookback(days: DataFrame, window: int = WINDOW_DAYS) -> DataFrame:
 
 
 def rolling(values: DataFrame, days: DataFrame, window: int = WINDOW_DAYS) -> DataFrame:
-    """(symbol, date, p99, p999) over values(symbol, date, qty, freq) pooled from the present dates before."""
-    numbered = day_numbers(days)
-    spread = values.join(numbered, _DAY).select("symbol", "qty", "freq", F.explode(F.sequence(F.col("day") + 1, F.col("day") + window)).alias("day"))
-    pooled = percentiles(spread, ["symbol", "day"], freq="freq")
-    return pooled.join(numbered, ["symbol", "day"]).select(*_DAY, "p99", "p999")
+    """(symbol, date, p99, p999) over values(symbol, date, qty, freq) pooled from the `window` present dates before.
+
+    Only a pool's largest values decide its percentiles. How many, its size tells, so a day passes on to the pools that it is
+    in what the largest demand among them needs, some hundredths of its values, and the rest is shuffled once at most.
+    """
+    by = Window.partitionBy("symbol").orderBy("day")
+    counts = values.groupBy(*_DAY).agg(F.sum("freq").alias("n"))
+    pools = day_numbers(days).join(counts, _DAY, "left").withColumn("pool", F.sum("n").over(by.rowsBetween(-window, -1)))
+    demand = F.col("pool") - F.floor((F.col("pool") - 1) * min(PERCENTS))
+    pools = written(pools.withColumn("need", F.max(demand).over(by.rowsBetween(1, window))).select(*_DAY, "day", "pool", "need"))
+    larger = F.sum("freq").over(Window.partitionBy(*_DAY).orderBy(F.desc("qty")).rowsBetween(Window.unboundedPreceding, -1))
+    top = values.join(pools.select(*_DAY, "day", "need").where("need > 0"), _DAY).withColumn("larger", F.coalesce(larger, F.lit(0))).where("larger < need")
+    pooled = top.select("symbol", "qty", "freq", F.explode(F.sequence(F.col("day") + 1, F.col("day") + window)).alias("day")).join(pools.drop("need").where("pool > 0"), ["symbol", "day"])
+    upto = F.sum("freq").over(Window.partitionBy("symbol", "day").orderBy(F.desc("qty")).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = pooled.withColumn("upto", upto)
+
+    def at(q: float) -> Column:
+        """Linear between the values at the places around q."""
+        place = (F.col("pool") - 1) * F.lit(q)
+        value = lambda i: F.max(F.when(F.col("upto") > F.col("pool") - 1 - i, F.col("qty")))
+        low, high = value(F.floor(place)), value(F.ceil(place))
+        part = F.max(place - F.floor(place))
+        return F.when(part == 0, low).otherwise((1 - part) * low + part * high)
+
+    return ranked.groupBy(*_DAY, "day").agg(at(PERCENTS[0]).alias("p99"), at(PERCENTS[1]).alias("p999")).select(*_DAY, "p99", "p999")
 
 
 def bootstrap(trades: DataFrame, n: int = BOOTSTRAP_TRADES, days: DataFrame | None = None) -> DataFrame:
@@ -94,24 +116,18 @@ def bootstrap(trades: DataFrame, n: int = BOOTSTRAP_TRADES, days: DataFrame | No
     return full.select(*_DAY, F.col("p")[0].alias("p99"), F.col("p")[1].alias("p999"))
 
 
-def thresholds(trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = BOOTSTRAP_TRADES, prior: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
-    """(symbol, date, p99, p999, source) of every date of the trades.
+def day_values(trades: DataFrame, capacity: int | None = CAPACITY) -> DataFrame:
+    """(symbol, date, qty, freq): what a day gives to later thresholds, its sample or, with `capacity` None, all its trades."""
+    if capacity is None:
+        return histogram(trades)
+    return daily_sample(trades, capacity).select(*_DAY, "qty", F.lit(1).cast("bigint").alias("freq"))
 
-    The day values are written to the shared folder: they are small against the trades, which are so read once for them and
-    again only where the first trades of each symbol are.
 
-    `prior` holds values(symbol, date, qty, freq) of dates before those of the trades, in which case the first date is no
-    beginning; `stored` holds bootstrap thresholds(symbol, p99, p999) of an earlier run, for dates without either. With `capacity` None all trades of a day count, else its sample.
-    """
-    values = histogram(trades) if capacity is None else daily_sample(trades, capacity).select(*_DAY, "qty", F.lit(1).cast("bigint").alias("freq"))
-    values = written(values)
-    days = seen = values.select(*_DAY).distinct()
-    early = bootstrap(trades, bootstrap_n, days).withColumnsRenamed({"p99": "b99", "p999": "b999"})
-    if prior is not None:
-        values = values.unionByName(prior.select(*_DAY, "qty", "freq"))
-        seen = values.select(*_DAY).distinct()
-    before = rolling(values, seen, window).withColumnsRenamed({"p99": "r99", "p999": "r999"})
-    both = days.join(before, _DAY, "left").join(early, _DAY, "left")
+def limits_of(values: DataFrame, days: DataFrame, early: DataFrame, window: int = WINDOW_DAYS, stored: DataFrame | None = None) -> DataFrame:
+    """(symbol, date, p99, p999, source) of the given days, from the day values of these and earlier ones, the bootstrap
+    thresholds(symbol, date, p99, p999) of first dates, and stored ones(symbol, p99, p999) for days that have neither."""
+    before = rolling(values, values.select(*_DAY).distinct(), window).withColumnsRenamed({"p99": "r99", "p999": "r999"})
+    both = days.join(before, _DAY, "left").join(early.select(*_DAY, F.col("p99").alias("b99"), F.col("p999").alias("b999")), _DAY, "left")
     if stored is not None:
         both = both.join(stored.select("symbol", F.col("p99").alias("s99"), F.col("p999").alias("s999")), "symbol", "left")
         both = both.withColumns({"b99": F.coalesce("b99", "s99"), "b999": F.coalesce("b999", "s999")})
@@ -119,12 +135,45 @@ def thresholds(trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | Non
     return both.select(*_DAY, F.coalesce("r99", "b99", F.lit(DEFAULT_P99)).alias("p99"), F.coalesce("r999", "b999", F.lit(DEFAULT_P999)).alias("p999"), source.alias("source"))
 
 
+def thresholds(
+    trades: DataFrame, window: int = WINDOW_DAYS, capacity: int | None = CAPACITY, bootstrap_n: int = BOOTSTRAP_TRADES,
+    prior: DataFrame | None = None, stored: DataFrame | None = None, values: DataFrame | None = None,
+) -> DataFrame:
+    """(symbol, date, p99, p999, source) of every date of the trades, written to the shared folder.
+
+    So are the day values, unless they are given: both are small against the trades, which are so read once for the values and
+    again only where the first trades of each symbol are, and the planner knows the true size of what trades are joined with.
+
+    `prior` holds values(symbol, date, qty, freq) of dates before those of the trades, in which case the first date is no
+    beginning; `stored` holds bootstrap thresholds(symbol, p99, p999) of an earlier run, for dates without either.
+    """
+    values = written(day_values(trades, capacity)) if values is None else values
+    days = values.select(*_DAY).distinct()
+    early = bootstrap(trades, bootstrap_n, days)
+    if prior is not None:
+        values = values.unionByName(prior.select(*_DAY, "qty", "freq"))
+    return written(limits_of(values, days, early, window, stored))
+
+
+def _fits(table: DataFrame) -> bool:
+    """Whether the planner will broadcast the table, by the size it knows and the session's limit."""
+    most = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= most
+
+
 def classify(trades: DataFrame, limits: DataFrame) -> DataFrame:
     """The trades with date, is_whale_p99 and is_whale_p999; a date without limits takes the defaults.
 
-    The limits hold a row for each symbol and day, so Spark broadcasts them while they are small by its own measure.
+    The limits hold a row for each symbol and day, and should be a written table, as `thresholds` gives. While Spark's own
+    limit lets it broadcast them, the trades stay where they are. Beyond, a day's trades are dealt out over `SALT` keys, each
+    with a copy of the day's limits, so that no busy day falls to one task.
     """
-    joined = dated(trades).join(limits.select(*_DAY, "p99", "p999"), _DAY, "left")
+    mine, held = dated(trades), limits.select(*_DAY, "p99", "p999")
+    if trades.isStreaming or _fits(held):
+        joined = mine.join(held, _DAY, "left")
+    else:
+        copies = held.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        joined = mine.withColumn("_salt", F.pmod(F.xxhash64("agg_id", "time"), F.lit(SALT)).cast("int")).join(copies, [*_DAY, "_salt"], "left").drop("_salt")
     flags = {"is_whale_p99": F.col("qty") >= F.coalesce("p99", F.lit(DEFAULT_P99)), "is_whale_p999": F.col("qty") >= F.coalesce("p999", F.lit(DEFAULT_P999))}
     return joined.withColumns(flags).drop("p99", "p999")
 

@@ -22,7 +22,7 @@ from tradebars.operators import thresholds as H
 from tradebars.plans import sql
 from tradebars.plans.fixtures import from_stretched
 from tradebars.plans.registry import METRICS, query
-from tradebars.sources import files
+from tradebars.sources import archives, files
 from tradebars.streaming import hourly
 
 #: Lines of an archive at most, in the query of zipped lines.
@@ -74,19 +74,45 @@ def _s3(t):
     return files.rejected_lines(files.read_lines(t.sparkSession, _folder(t))).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def _zipped(lines: pd.DataFrame) -> pd.DataFrame:
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr("trades.csv", "\n".join(lines["line"]) + "\n")
-        archive.writestr("other.csv", "no part of it")
-    return pd.DataFrame({"path": [lines["file"].iloc[0].replace(".csv", ".zip")], "content": [out.getvalue()]})
+_COUNTED = """SELECT CAST(sum(lines) AS BIGINT) AS n_lines, CAST(sum(good) AS BIGINT) AS n_trades, CAST(sum(lines - good) AS BIGINT) AS n_rejected, CAST(sum(number) AS BIGINT) AS n_agg_id, CAST(sum(short) AS BIGINT) AS n_columns
+FROM (SELECT 1 AS lines, CAST(agg_id % 50 NOT IN (7, 8) AS INT) AS good, CAST(agg_id % 50 = 7 AS INT) AS number, CAST(agg_id % 50 = 8 AS INT) AS short FROM t UNION ALL SELECT 1, 0, 1, 0 FROM files)"""
+
+
+@query("s1_parse_counts", sql.say(_COUNTED, _FILES))
+def _s1_counts(t):
+    """Counts of lines, trades and rejections of the one pass that writes the trades."""
+    spark = t.sparkSession
+    trades, counts = files.parse_counted(files.read_lines(spark, _folder(t)))
+    trades.write.parquet(new_path(spark))
+    n = counts.all
+    return spark.createDataFrame([(n["n_lines"], n["n_trades"], n["n_lines"] - n["n_trades"], n["n_agg_id"], n["n_columns"])], "n_lines bigint, n_trades bigint, n_rejected bigint, n_agg_id bigint, n_columns bigint")
+
+
+def _archived(t: DataFrame) -> str:
+    """A folder of archives in the shared folder, one for each file and block of trades, with a second entry each."""
+    path, part = new_path(t.sparkSession), F.floor(F.col("agg_id") / ARCHIVED)
+
+    def put(lines: pd.DataFrame) -> pd.DataFrame:
+        system, folder = archives.file_system(path)
+        system.create_dir(folder)
+        name, held = f"{folder}/{lines['part'].iloc[0]}-{lines['file'].iloc[0].replace('.csv', '.zip')}", io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("trades.csv", "\n".join(lines["line"]) + "\n")
+            archive.writestr("other.csv", "no part of it")
+        with system.open_output_stream(f"{name}.tmp") as out:
+            out.write(held.getvalue())
+        system.move(f"{name}.tmp", name)
+        return pd.DataFrame({"name": [name]})
+
+    _lines(t).withColumn("part", part).groupBy("file", "part").applyInPandas(put, "name string").write.format("noop").mode("overwrite").save()
+    return path
 
 
 @query("s4_zipped_lines", sql.say(_PARSED))
 def _s4(t):
-    part = F.floor(F.col("agg_id") / ARCHIVED)
-    archives = _lines(t).groupBy("file", part.alias("part")).applyInPandas(_zipped, "path string, content binary")
-    return files.parse_trades(files.unzip_lines(archives))
+    lines = files.read_zipped_lines(t.sparkSession, f"{_archived(t)}/*.zip")
+    named = lines.withColumn("path", F.regexp_replace("path", "/[0-9]+-([^/]*)$", "/$1"))
+    return files.parse_trades(named)
 
 
 @query("s5_discover_months", sql.say("SELECT symbol, count(*) AS n_months, min(month) AS first_month, max(month) AS last_month FROM files GROUP BY 1", _FILES, source="stretched"), source=from_stretched)

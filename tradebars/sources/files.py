@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import io
-import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradebars.functions.schema import BARS, BOOTSTRAP, METRICS, SAMPLES, SHORT_BARS, TRADES
 from tradebars.functions.tables import exists
 from tradebars.functions.trades import epoch_to_time, month_of
+from tradebars.sources import archives
 
 _INTEGER = r"^[+-]?[0-9]{1,19}$"
 _FLOAT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -31,24 +31,23 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths).select(F.col("value").alias("line"), _file().alias("path"))
 
 
-def _unzip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unzip(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for frame in frames:
-        for path, content in zip(frame["path"], frame["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                with archive.open(archive.namelist()[0]) as entry:
-                    text = io.TextIOWrapper(entry, "utf-8")
-                    while lines := text.readlines(1 << 22):
-                        yield pd.DataFrame({"line": [x.rstrip("\r\n") for x in lines], "path": path})
+        for path, content in zip(*(frame.column(k).to_pylist() for k in (0, 1)), strict=True):
+            yield from archives.lines_of(io.BytesIO(content), path)
 
 
 def read_zipped_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(line, path) of the first entry of each archive."""
+    """(line, path) of the first entry of each archive, read in place by the tasks; archives in a store that only Spark opens
+    are read as binary rows, which bounds them to 2 GB each."""
+    if archives.opened(paths):
+        return archives.read(spark, paths)
     return unzip_lines(spark.read.format("binaryFile").load(paths))
 
 
 def unzip_lines(files: DataFrame) -> DataFrame:
-    """(line, path) of archives(path, content); an archive is one task, read in blocks of lines."""
-    return files.select("path", "content").repartition(F.col("path")).mapInPandas(_unzip, "line string, path string")
+    """(line, path) of archives(path, content), where they are: an archive is read in blocks of lines."""
+    return files.select("path", "content").mapInArrow(_unzip, archives.SCHEMA)
 
 
 def _symbol(symbol: str | None) -> Column:
@@ -73,19 +72,50 @@ def _judged(lines: DataFrame, symbol: str | None) -> DataFrame:
     return rows.withColumn("reason", reason)
 
 
-def parse_trades(lines: DataFrame, symbol: str | None = None) -> DataFrame:
-    """Trades of the good lines; a header is a line like any other whose agg_id is no integer.
-
-    `symbol` is that of files whose names tell none; without it their lines are rejected.
-    """
+def _trades(good: DataFrame, symbol: str | None) -> DataFrame:
     part = lambda i: F.get("parts", F.lit(i))
-    good = _judged(lines, symbol).where("reason is null")
     return good.select(
         _symbol(symbol).alias("symbol"), part(0).try_cast("bigint").alias("agg_id"), epoch_to_time(part(5).try_cast("bigint")).alias("time"),
         part(1).try_cast("double").alias("price"), part(2).try_cast("double").alias("qty"), (F.lower(part(6)) == "true").alias("is_buyer_maker"),
     )
 
 
+def parse_trades(lines: DataFrame, symbol: str | None = None) -> DataFrame:
+    """Trades of the good lines; a header is a line like any other whose agg_id is no integer.
+
+    `symbol` is that of files whose names tell none; without it their lines are rejected.
+    """
+    return _trades(_judged(lines, symbol).where("reason is null"), symbol)
+
+
+#: Why a line gives no trade.
+REASONS = ("columns", "agg_id", "price", "qty", "time", "symbol")
+
+
+class ParseCounts:
+    """How many lines a parse read, how many gave trades, and how many were rejected for each reason; known once the trades
+    have been computed, without a pass of their own."""
+
+    def __init__(self, observation: Observation):
+        self._observation = observation
+
+    @property
+    def all(self) -> dict[str, int]:
+        return dict(self._observation.get)
+
+    @property
+    def trades(self) -> int:
+        return self.all["n_trades"]
+
+
+def parse_counted(lines: DataFrame, symbol: str | None = None) -> tuple[DataFrame, ParseCounts]:
+    """The trades, as `parse_trades` gives them, and their counts: of the first action over them, which must read all."""
+    counts = Observation()
+    reason = F.col("reason")
+    judged = _judged(lines, symbol).observe(counts, F.count("*").alias("n_lines"), F.count_if(reason.isNull()).alias("n_trades"), *[F.count_if(reason == r).alias(f"n_{r}") for r in REASONS])
+    return _trades(judged.where("reason is null"), symbol), ParseCounts(counts)
+
+
 def rejected_lines(lines: DataFrame, symbol: str | None = None) -> DataFrame:
     """(path, line, reason); headers are among them, by reason agg_id."""
     return _judged(lines, symbol).where("reason is not null").select("path", "line", "reason")
