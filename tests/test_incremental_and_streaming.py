@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import subprocess
 import sys
@@ -5,6 +6,7 @@ from pathlib import Path
 
 import pytest
 from helpers import many, rows_of
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradebars.functions.trades import month_of
@@ -13,6 +15,7 @@ from tradebars.operators import incremental as I
 from tradebars.operators import thresholds as H
 from tradebars.plans import jobs
 from tradebars.streaming import hourly
+from tradebars.streaming.labelled import LabelledStream
 
 
 def test_months(spark):
@@ -82,7 +85,7 @@ def test_batches_are_kept_and_never_late(spark, tmp_path):
     t = many(spark, 2000)
     q = hourly.upsert_batches(streamed(spark, t, f"{tmp_path}/in"), f"{tmp_path}/parts").option("checkpointLocation", f"{tmp_path}/c3").trigger(availableNow=True).start()
     q.awaitTermination()
-    assert rows_of(hourly.finished(spark.read.parquet(f"{tmp_path}/parts")), digits=4) == rows_of(B.hourly_bars(t), digits=4)
+    assert rows_of(hourly.Batches(spark, f"{tmp_path}/parts").bars(), digits=4) == rows_of(B.hourly_bars(t), digits=4)
 
 
 def test_callback_sees_every_batch(spark, tmp_path):
@@ -229,17 +232,103 @@ def test_only_pending_symbols_are_built(spark, tmp_path):
     assert rows_of(both) == rows_of(I.resume(I.Store(spark, f"{tmp_path}/other"), t, "2024-01", "2024-02", capacity=15))
 
 
-def test_compacted_batches_count_once(spark, tmp_path):
-    """Compacting twice, and a crash that leaves the merged batches, change nothing; the last batch stays apart."""
+def test_compacted_and_repeated_batches_count_once(spark, tmp_path):
+    """Compacting twice, a repeated last batch, and a crash before the manifest change nothing; the last batch stays apart."""
     t, path = many(spark, 2000), f"{tmp_path}/parts"
     q = hourly.upsert_batches(streamed(spark, t, f"{tmp_path}/in"), path).option("checkpointLocation", f"{tmp_path}/c5").trigger(availableNow=True).start()
     q.awaitTermination()
-    want = rows_of(hourly.finished(spark.read.parquet(path)), digits=4)
-    old = spark.createDataFrame(spark.read.parquet(path).where("batch < 2").collect(), spark.read.parquet(path).schema)
-    hourly.compact(spark, path)
-    assert sorted(r.batch for r in spark.read.parquet(path).select("batch").distinct().collect()) == [2, 3]
-    assert rows_of(hourly.finished(spark.read.parquet(path)), digits=4) == want
-    old.write.mode("append").partitionBy("batch").parquet(path)
-    assert rows_of(hourly.finished(spark.read.parquet(path)), digits=4) == want
-    hourly.compact(spark, path)
-    assert rows_of(hourly.finished(spark.read.parquet(path)), digits=4) == want
+    kept = hourly.Batches(spark, path)
+    want = rows_of(B.hourly_bars(t), digits=4)
+    last = spark.read.parquet(f"{path}/{kept.entries()[-1]['at']}")
+    kept.compact()
+    assert [(e["since"], e["upto"]) for e in kept.entries()] == [(0, 2), (3, 3)]
+    kept.put(last, 4)  # written, but not committed
+    assert rows_of(kept.bars(), digits=4) == want
+    kept.keep(last, 3)
+    kept.compact()
+    assert rows_of(hourly.Batches(spark, path).bars(), digits=4) == want
+
+
+def test_many_batches_leave_few_folders(spark, tmp_path):
+    kept, seen = hourly.Batches(spark, f"{tmp_path}/parts"), []
+    t = B.partial_bars(many(spark, 40)).coalesce(1).cache()
+    for n in range(36):
+        kept.keep(t, n)
+        seen.append(len(kept.entries()))
+    assert max(seen) <= 3 * 3 + 1 and len(list((tmp_path / "parts" / "parts").iterdir())) <= 3 * max(seen)
+    assert [e["upto"] + 1 for e in kept.entries()[:-1]] == [e["since"] for e in kept.entries()[1:]]
+    assert kept.bars().agg(F.sum("n_trades")).first()[0] == 36 * 40
+
+
+# Streams that label by their own days
+
+
+def in_order(spark, t, folder, parts=4, late=None):
+    place = F.ntile(parts).over(Window.orderBy("time")) - 1
+    placed = t.withColumn("p", place if late is None else F.when(late, parts - 1).otherwise(place)).cache()
+    for k in range(parts):
+        placed.where(F.col("p") == k).drop("p").coalesce(1).write.parquet(f"{folder}/{k}")
+    return spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
+def run(writer, folder):
+    writer.option("checkpointLocation", folder).trigger(availableNow=True).start().awaitTermination()
+
+
+def own(spark, path, **sizes):
+    return LabelledStream(spark, str(path), **({"capacity": 20, "bootstrap_n": 30, "window": 3} | sizes))
+
+
+def test_a_stream_that_closes_its_own_days_equals_batch(spark, tmp_path):
+    """Three symbols, one of which begins later and with too few trades to bootstrap; trades wait until their limits are known."""
+    t = many(spark, 3000, days=40).unionByName(many(spark, 60, days=12).where("symbol = 'S0'").withColumns({"symbol": F.lit("late"), "time": F.col("time") + F.expr("interval 15 days")}))
+    limits = H.thresholds(t, window=3, capacity=20, bootstrap_n=30)
+    want = B.hourly_bars(H.classify(t, limits))
+    stream = own(spark, tmp_path / "s", delay=dt.timedelta(hours=30))
+    run(stream.write(in_order(spark, t, f"{tmp_path}/in")), f"{tmp_path}/c")
+    half = stream.bars()
+    waiting = stream.progress()["n_waiting"]
+    assert waiting > 0 and half.agg(F.sum("n_trades")).first()[0] == t.count() - waiting
+    stream.close()
+    assert rows_of(stream.limits()) == rows_of(limits)
+    assert rows_of(stream.bars(), digits=4) == rows_of(want, digits=4)
+    assert stream.progress()["n_waiting"] == 0
+
+
+def test_months_are_handed_over_once_and_amended(spark, tmp_path):
+    t = many(spark, 1600, days=75)
+    stream = own(spark, tmp_path / "s")
+    run(stream.write(in_order(spark, t, f"{tmp_path}/in", 3)), f"{tmp_path}/c")
+    assert stream.flushed() == {"2024-01": 1, "2024-02": 1} and stream.month("2024-03") is None
+    assert stream.progress()["n_finalized"] == stream.month("2024-01").count() + stream.month("2024-02").count()
+    late = t.where("agg_id < 40").withColumn("agg_id", F.col("agg_id") + 10_000)
+    stream.take(late, 50)
+    assert stream.flushed() == {"2024-01": 2, "2024-02": 1}
+    stream.take(late, 50)  # a repeated batch changes nothing
+    stream.close()
+    counts = lambda df: rows_of(df.select("symbol", F.unix_timestamp("time"), "n_trades", "buy_count", "max_trade_size"))
+    assert counts(stream.bars()) == counts(B.hourly_bars(t.unionByName(late)))
+    assert set(stream.flushed()) == {"2024-01", "2024-02", "2024-03"}
+
+
+def test_a_batch_that_dies_is_done_again_from_the_state_before(spark, tmp_path, monkeypatch):
+    t = many(spark, 900, days=20)
+    stream, halves = own(spark, tmp_path / "s"), [t.where("agg_id < 450"), t.where("agg_id >= 450")]
+    stream.take(halves[0], 0)
+    before = rows_of(stream.bars())
+    with monkeypatch.context() as m:
+        m.setattr(LabelledStream, "_progress", lambda self, state: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stream.take(halves[1], 1)
+    assert rows_of(stream.bars()) == before
+    stream.take(halves[1], 1)
+    stream.close()
+    assert rows_of(stream.bars(), digits=4) == rows_of(B.hourly_bars(H.classify(t, H.thresholds(t, window=3, capacity=20, bootstrap_n=30))), digits=4)
+
+
+def test_an_empty_stream(spark, tmp_path):
+    stream = own(spark, tmp_path / "s")
+    assert stream.bars() is None and stream.progress()["n_pending"] == 0
+    stream.take(many(spark, 10).limit(0), 0)
+    stream.close()
+    assert stream.bars().count() == 0 and stream.limits().count() == 0 and stream.flushed() == {}

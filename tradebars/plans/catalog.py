@@ -17,7 +17,7 @@ from tradebars.operators import incremental as I
 from tradebars.operators import quality as Q
 from tradebars.operators import thresholds as H
 from tradebars.plans import jobs, sql
-from tradebars.plans.fixtures import from_lineitem, from_sparse
+from tradebars.plans.fixtures import from_busy, from_lineitem, from_sparse
 from tradebars.plans.registry import METRICS, QUERIES, SQL, Query, query
 
 def _limits(t: DataFrame) -> DataFrame:
@@ -307,7 +307,8 @@ def _full(t):
     return jobs.build(t, sql.WINDOW, sql.CAPACITY, sql.BOOTSTRAP, sql.MAX_GAP, sql.WARMUP)
 
 
-# The jobs' own sizes, over trades with short and long gaps: all trades of a day, bootstrap of 50,000, activity below 100, gaps of 6 hours.
+# The jobs' own sizes: samples of 10,000 and a bootstrap of 50,000 over days that hold more, activity below 100 and gaps of 6
+# hours over trades with short and long gaps.
 
 _DEFAULT_LIMITS = sql.limits(H.CAPACITY, H.BOOTSTRAP_TRADES)
 _DEFAULT_FILLED = sql.filled(Q.MAX_GAP_HOURS)
@@ -317,12 +318,12 @@ def _default_bars(t: DataFrame) -> DataFrame:
     return B.hourly_bars(H.classify(t, H.thresholds(t)))
 
 
-@query("a9_default_sample", sql.say("SELECT symbol, date, agg_id, round(qty, 6) AS qty FROM sample", _DEFAULT_LIMITS, source="sparse"), source=from_sparse, digits=6)
+@query("a9_default_sample", sql.say("SELECT symbol, date, agg_id, round(qty, 6) AS qty FROM sample", _DEFAULT_LIMITS, source="busy"), source=from_busy, digits=6)
 def _a9_default(t):
     return H.daily_sample(t)
 
 
-@query("a13_default_thresholds", sql.say("SELECT symbol, date, round(p99, 6) AS p99, round(p999, 6) AS p999, source FROM limits", _DEFAULT_LIMITS, source="sparse"), source=from_sparse, digits=6)
+@query("a13_default_thresholds", sql.say("SELECT symbol, date, round(p99, 6) AS p99, round(p999, 6) AS p999, source FROM limits", _DEFAULT_LIMITS, source="busy"), source=from_busy, digits=6)
 def _a13_default(t):
     return H.thresholds(t)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tradebars.functions.schema import COUNTS, METRICS
-from tradebars.plans.fixtures import EVENTS_SQL, LINEITEM_SQL, SPARSE_SQL, STRETCHED_SQL
+from tradebars.plans.fixtures import BUSY_SQL, EVENTS_SQL, LINEITEM_SQL, SPARSE_SQL, STRETCHED_SQL
 
 #: Parameters of the registered queries: small enough that every branch is met at 10,000 events.
 WINDOW, CAPACITY, BOOTSTRAP, MIN_TRADES, MAX_GAP, WARMUP = 7, 20, 65, 12, 1, 168
@@ -24,7 +24,7 @@ def _sums() -> str:
 
 
 def trades(source: str = "events") -> str:
-    return f"t AS ({ {'events': EVENTS_SQL, 'lineitem': LINEITEM_SQL, 'stretched': STRETCHED_SQL, 'sparse': SPARSE_SQL}[source]})"
+    return f"t AS ({ {'events': EVENTS_SQL, 'lineitem': LINEITEM_SQL, 'stretched': STRETCHED_SQL, 'sparse': SPARSE_SQL, 'busy': BUSY_SQL}[source]})"
 
 
 def limits(capacity: int | None = CAPACITY, bootstrap: int = BOOTSTRAP, window: int = WINDOW) -> str:

@@ -7,10 +7,11 @@ what that must be without any of it.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradebars.functions.schema import SHORT_BARS
@@ -23,7 +24,7 @@ from tradebars.plans import sql
 from tradebars.plans.fixtures import from_stretched
 from tradebars.plans.registry import METRICS, query
 from tradebars.sources import archives, files
-from tradebars.streaming import hourly
+from tradebars.streaming import hourly, labelled, progress
 
 #: Lines of an archive at most, in the query of zipped lines.
 ARCHIVED = 100_000
@@ -209,9 +210,9 @@ def _i4(t):
 # Streams
 
 
-def _streamed(t: DataFrame, files_a_batch: int | None = None) -> DataFrame:
+def _streamed(t: DataFrame, files_a_batch: int | None = None, parts: int = 4) -> DataFrame:
     path = new_path(t.sparkSession)
-    t.repartition(4).write.parquet(path)
+    t.repartition(parts).write.parquet(path)
     reader = t.sparkSession.readStream.schema(t.schema)
     return (reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).parquet(path)
 
@@ -247,12 +248,69 @@ def _t2(t):
 
 @query("t3_kept_batches", sql.whale(f"SELECT {METRICS} FROM bars"))
 def _t3(t):
-    """Four batches of whale bars kept apart, compacted, and merged."""
+    """Ten batches of whale bars, kept in levels as they come, and merged."""
     spark, path = t.sparkSession, new_path(t.sparkSession)
     limits = _limits(t)
-    _run(hourly.upsert_batches(_streamed(t, 1), path, limits).option("checkpointLocation", new_path(spark)))
-    hourly.compact(spark, path)
-    return hourly.finished(spark.read.parquet(path))
+    _run(hourly.upsert_batches(_streamed(t, 1, 10), path, limits).option("checkpointLocation", new_path(spark)))
+    return hourly.Batches(spark, path).bars()
+
+
+def _in_order(t: DataFrame, late: Column | None = None, parts: int = 3) -> DataFrame:
+    """A stream that brings the trades in parts by time, one a batch, and those that are late with the last part."""
+    spark, path = t.sparkSession, new_path(t.sparkSession)
+    low, high = (int(x) for x in t.agg(F.min(F.unix_micros("time")), F.max(F.unix_micros("time"))).first()) if not t.isEmpty() else (0, 1)
+    place = F.least(F.lit(parts - 1), F.floor((F.unix_micros("time") - low) * parts / F.lit(high - low + 1)).cast("int"))
+    placed = t.withColumn("_part", place if late is None else F.when(late, parts - 1).otherwise(place))
+    for k in range(parts):  # the stream reads files in the order in which they were written
+        placed.where(F.col("_part") == k).drop("_part").coalesce(1).write.parquet(f"{path}/{k}")
+    return spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+def _labelled(t: DataFrame, stream: DataFrame) -> labelled.LabelledStream:
+    """The state of a stream that has built its own thresholds, once it is over."""
+    out = labelled.LabelledStream(t.sparkSession, new_path(t.sparkSession), window=sql.WINDOW, capacity=sql.CAPACITY, bootstrap_n=sql.BOOTSTRAP)
+    _run(out.write(stream).option("checkpointLocation", new_path(t.sparkSession)))
+    out.close()
+    return out
+
+
+@query("t4_own_thresholds", sql.whale(f"SELECT {METRICS} FROM bars", source="stretched"), source=from_stretched)
+def _t4_own(t):
+    """Bars of a stream that labels each day by the days that it has itself closed."""
+    return _labelled(t, _in_order(t)).bars()
+
+
+@query("a9_streamed_thresholds", sql.say("SELECT symbol, date, round(p99, 6) AS p99, round(p999, 6) AS p999, source FROM limits", sql.limits(), source="stretched"), source=from_stretched, digits=6)
+def _a9_streamed(t):
+    """The thresholds of the same stream, from samples that its batches have merged."""
+    return _labelled(t, _in_order(t)).limits()
+
+
+@query("t3_flushed_months", sql.say("SELECT symbol, strftime(time, '%Y-%m') AS month, count(DISTINCT date_trunc('hour', time)) AS n_hours, count(*) AS n_trades, round(sum(qty), 4) AS volume FROM t GROUP BY 1, 2", source="stretched"), source=from_stretched)
+def _t3_months(t):
+    """Each closed month's bars, where a tenth of the trades comes after its month was handed over."""
+    out = _labelled(t, _in_order(t, F.pmod(F.xxhash64("agg_id"), F.lit(10)) == 3))
+    months = [out.month(m).withColumn("month", F.lit(m)) for m in sorted(out.flushed())]
+    bars = I.union_bars(*months).groupBy("symbol", "month")
+    return bars.agg(F.count("*").alias("n_hours"), F.sum("n_trades").alias("n_trades"), F.sum(F.col("buy_vol") + F.col("sell_vol")).alias("volume"))
+
+
+@query("a17_live_progress", sql.say(f"""SELECT count(*) FILTER (NOT shut) AS n_pending, count(*) FILTER (shut) AS n_finalized, CAST(sum(n) AS BIGINT) AS n_trades, CAST(min(time) AS DATE) AS first_date, (SELECT CAST(max(time) AS DATE) FROM t) AS last_date
+FROM (SELECT time, n, time + INTERVAL 3 HOUR <= (SELECT max(time) FROM t) AS shut FROM (SELECT symbol, date_trunc('hour', time) AS time, count(*) AS n FROM t GROUP BY 1, 2))"""))
+def _a17_live(t):
+    """What a listener has counted when a stream of hourly bars ends."""
+    spark, name = t.sparkSession, f"bars_{uuid.uuid4().hex}"
+    live = progress.LiveProgress(name)
+    spark.streams.addListener(live)
+    try:
+        bars = progress.observed_bars(hourly.stream_bars(progress.observed_trades(_streamed(t))))
+        path = new_path(spark)
+        _run(bars.writeStream.queryName(name).outputMode("append").format("parquet").option("path", path).option("checkpointLocation", new_path(spark)))
+        live.ended.wait(60)
+    finally:
+        spark.streams.removeListener(live)
+    seen = live.current()
+    return spark.createDataFrame([tuple(seen.values())], "n_pending bigint, n_finalized bigint, n_trades bigint, first_date date, last_date date")
 
 
 @query("t4_classified_stream", sql.whale(f"SELECT {METRICS} FROM bars {_CLOSED}"))

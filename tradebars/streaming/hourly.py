@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tradebars.functions.tables import delete, written
+from tradebars.functions.snapshots import Snapshots
 from tradebars.operators.bars import bar_sums, finish, merge_bars, partial_bars, with_flags
 from tradebars.operators.thresholds import classify
 
+#: Folders of one level that become one of the next.
+FAN = 4
+
 
 def stream_partial_bars(trades: DataFrame, delay: str = "2 hours", limits: DataFrame | None = None) -> DataFrame:
     """Hour state of a stream of trades; hours close when the watermark passes them, later trades are dropped.
@@ -28,49 +32,66 @@ def stream_bars(trades: DataFrame, delay: str = "2 hours", limits: DataFrame | N
     return finish(stream_partial_bars(trades, delay, limits))
 
 
-def upsert_batches(trades: DataFrame, path: str, limits: DataFrame | None = None) -> DataStreamWriter:
-    """Every batch's partial bars are kept by batch, so nothing is late and a repeated batch replaces itself.
+class Batches:
+    """Partial bars of a stream's batches in few folders, which a manifest names.
 
-    `finished(spark.read.parquet(path))` merges them at any time; `compact` keeps the batches few.
+    Each batch is a folder of its own at first. Whenever `FAN` neighbours of one level are there they become one of the next,
+    so that n batches leave some FAN * log(n) folders, and every bar is merged as often as there are levels. The newest batch
+    stays apart, since a stream that failed may repeat it.
     """
 
-    def keep(batch: DataFrame, number: int) -> None:
-        flagged = classify(batch, limits) if limits is not None else batch
-        _put(partial_bars(flagged).withColumns({"since": F.lit(number), "batch": F.lit(number)}), path)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.snapshots = spark, path, Snapshots(spark, path)
 
-    return trades.writeStream.foreachBatch(keep)
+    def entries(self) -> list[dict]:
+        """{since, upto, at} of each folder, in order."""
+        return self.snapshots.current().get("parts", [])
 
+    def _read(self, entries: list[dict]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.path}/{e['at']}" for e in entries])
 
-def _put(parts: DataFrame, path: str) -> None:
-    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    def _merged(self, entries: list[dict]) -> dict:
+        at = self.snapshots.new_path("parts")
+        merge_bars(self._read(entries)).write.parquet(f"{self.path}/{at}")
+        return {"since": entries[0]["since"], "upto": entries[-1]["upto"], "at": at}
 
+    def put(self, parts: DataFrame, number: int, entries: list[dict] | None = None) -> list[dict]:
+        """The entries with a batch's partial bars, once it is written; a repeated batch takes the place of its first try."""
+        at = self.snapshots.new_path("parts")
+        parts.write.parquet(f"{self.path}/{at}")
+        entries = [e for e in (self.entries() if entries is None else entries) if e["upto"] < number]
+        level = lambda e: math.floor(math.log(e["upto"] - e["since"] + 1, FAN) + 1e-9)
+        while len(entries) >= FAN and len({level(e) for e in entries[-FAN:]}) == 1:
+            entries = [*entries[:-FAN], self._merged(entries[-FAN:])]
+        return [*entries, {"since": number, "upto": number, "at": at}]
 
-def _current(parts: DataFrame) -> DataFrame:
-    """Without batches that a later one, compacted from `since` on, holds already."""
-    covered = parts.where("since < batch").agg(F.max("batch")).first()[0]
-    return parts if covered is None else parts.where(F.col("batch") >= covered)
+    def keep(self, parts: DataFrame, number: int) -> None:
+        self.snapshots.commit({"parts": self.put(parts, number)})
+        self.snapshots.vacuum(["parts"])
 
+    def compact(self) -> None:
+        """Merge all batches but the newest into one folder."""
+        entries = self.entries()
+        if len(entries) > 2:
+            self.snapshots.commit({"parts": [self._merged(entries[:-1]), entries[-1]]})
+            self.snapshots.vacuum(["parts"])
 
-def finished(parts: DataFrame) -> DataFrame:
-    return finish(merge_bars(_current(parts).drop("batch", "since")))
+    def bars(self) -> DataFrame:
+        """The finished bars of everything seen so far."""
+        return finish(merge_bars(self._read(self.entries())))
 
 
-def compact(spark: SparkSession, path: str) -> None:
-    """Merge all batches but the last into one, which takes the highest number among them.
+def upsert_batches(trades: DataFrame, path: str, limits: DataFrame | None = None) -> DataStreamWriter:
+    """Every batch's partial bars are kept by batch, so nothing is late and a repeated batch replaces itself.
 
-    The last stays apart, since a stream that failed may repeat it. Merged bars say since which batch they hold all, so a
-    crash between their writing and the deletion of the batches counts nothing twice.
+    `Batches(spark, path).bars()` merges them at any time.
     """
-    parts = spark.read.parquet(path)
-    numbers = sorted(r.batch for r in parts.select("batch").distinct().collect())
-    if len(numbers) < 3:
-        return
-    old = _current(parts.where(F.col("batch") < numbers[-1]))
-    since = old.agg(F.min("since")).first()[0]
-    merged = merge_bars(old.drop("batch", "since")).withColumns({"since": F.lit(min(since, numbers[-2] - 1)), "batch": F.lit(numbers[-2])})
-    _put(written(merged), path)
-    for number in numbers[:-2]:
-        delete(spark, f"{path}/batch={number}")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        flagged = classify(batch, limits) if limits is not None else batch
+        Batches(batch.sparkSession, path).keep(partial_bars(flagged), number)
+
+    return trades.writeStream.foreachBatch(keep)
 
 
 def each_batch(trades: DataFrame, callback: Callable[[DataFrame, int], None]) -> DataStreamWriter:
