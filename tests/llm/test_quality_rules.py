@@ -1,6 +1,8 @@
 import re
 from collections import Counter
+from pathlib import Path
 
+import pytest
 from fixtures import SCHEMA, documents, rows
 from pyspark.sql import functions as F
 
@@ -80,3 +82,25 @@ def test_empty_nulls_and_clashes(spark):
     docs = documents(spark).withColumn("kept", F.lit("mine")).withColumn("_lang", F.lit(1))
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and {r.kept for r in kept.collect()} == {"mine"}
+
+
+DATA = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="the test tables are not here")
+def test_the_groups_own_values_decide_and_good_documents_stay(spark):
+    """In a tenth of the groups and metrics at most a constant decides; labelled good documents that the base rules pass stay."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    by = quality.fences(quality.sketches(quality.counts(docs, keep=["lang", "source"]))).groupBy("metric").agg(F.avg((F.col("by") == "least").cast("int")).alias("constant"), F.count_distinct("high").alias("different"))
+    found = {r.metric: r for r in by.collect()}
+    assert set(found) == set(quality.METRICS) and all(r.constant < 0.1 and r.different >= 4 for r in found.values())
+    judged = quality.verdicts(docs, keep=["doc_id"]).where("not base_failed").join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r.quality: r.kept for r in judged.collect()}
+    assert kept[1] > 0.995 and kept[0] < 0.15
+
+
+def test_many_groups_are_joined_by_key(spark, monkeypatch):
+    docs = documents(spark, make(250) + make(10, SYMBOLS, start=1000) + make(5, source=None, lang=None, start=3000))
+    want = sorted(quality.verdicts(docs, keep=["doc_id"]).collect())
+    monkeypatch.setattr(quality, "BROADCAST_GROUPS", 0)
+    assert sorted(quality.verdicts(docs, keep=["doc_id"]).collect()) == want

@@ -36,7 +36,10 @@ def _bucket(x: str) -> str:
 def quality(docs: str = "documents") -> str:
     """CTEs that end in judged(doc_id, counts, base_failed, kept)."""
     metrics = {"symbol_share": "n_symbols / greatest(word_chars, 1)", "word_length": "word_chars / greatest(n_words, 1)", "dup_line_share": "n_dup_lines / greatest(n_lines, 1)"}
-    least = "CASE metric WHEN 'symbol_share' THEN 0.02 WHEN 'word_length' THEN 0.75 ELSE 0.075 END"
+    least = "CASE metric WHEN 'symbol_share' THEN 0.005 WHEN 'word_length' THEN 0.1 ELSE 0.02 END"
+    tail = "CASE metric WHEN 'symbol_share' THEN 0.2 WHEN 'word_length' THEN 0.0 ELSE 3.0 END"
+    spread = f"6.0 * greatest(q75 - q25, {least})"
+    fence = {"low": f"q25 - {spread}", "high": f"q75 + greatest({spread}, {tail} * (q98 - q50))"}
     quartile = lambda q: f"min(CASE WHEN upto >= {q} * total THEN bucket END)"
     middle = lambda b: f"CASE WHEN {b} <= 0 THEN 0.0 ELSE 1e-3 * pow(1.02, {b} - 0.5) END"
 
@@ -44,12 +47,12 @@ def quality(docs: str = "documents") -> str:
         comma = f"{keys}, " if keys else ""
         return f"""
 {name} AS (
-  SELECT {comma}metric, max(total) AS total, {", ".join(f"{middle(quartile(q))} AS q{round(100 * q)}" for q in (0.25, 0.5, 0.75))}
+  SELECT {comma}metric, max(total) AS total, {", ".join(f"{middle(quartile(q))} AS q{round(100 * q)}" for q in (0.25, 0.5, 0.75, 0.98))}
   FROM (SELECT {comma}metric, bucket, sum(n) OVER (PARTITION BY {comma}metric) AS total, sum(n) OVER (PARTITION BY {comma}metric ORDER BY bucket) AS upto
         FROM (SELECT {comma}metric, bucket, count(*) AS n FROM metered GROUP BY {comma}metric, bucket))
   GROUP BY {comma}metric)"""
 
-    pick = lambda q: f"CASE WHEN a.total >= 50 THEN a.{q} WHEN b.total >= 50 THEN b.{q} ELSE c.{q} END AS {q}"
+    pick = lambda q: f"CASE WHEN a.total >= 200 THEN a.{q} WHEN b.total >= 200 THEN b.{q} ELSE c.{q} END AS {q}"
     beyond = {m: f"({x}) > f.{m}_high" + (f" OR ({x}) < f.{m}_low" if m == "word_length" else "") for m, x in metrics.items()}
     return f"""
 q_words AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM {docs}),
@@ -65,9 +68,9 @@ counted AS (
 passed AS (SELECT * FROM counted WHERE NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)),
 metered AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {_bucket(x)} AS bucket FROM passed" for m, x in metrics.items())}),
 {level("own", "lang, source")}, {level("of_lang", "lang")}, {level("of_all", "")},
-picked AS (SELECT a.lang, a.source, a.metric, {", ".join(pick(q) for q in ("q25", "q50", "q75"))}
+picked AS (SELECT a.lang, a.source, a.metric, {", ".join(pick(q) for q in ("q25", "q50", "q75", "q98"))}
   FROM own a JOIN of_lang b ON a.lang IS NOT DISTINCT FROM b.lang AND a.metric = b.metric JOIN of_all c ON a.metric = c.metric),
-fences AS (SELECT lang, source, {", ".join(f"max(CASE WHEN metric = '{m}' THEN q50 {s} 4.0 * greatest(q75 - q25, {least}) END) AS {m}_{e}" for m in metrics for s, e in (("-", "low"), ("+", "high")))}
+fences AS (SELECT lang, source, {", ".join(f"max(CASE WHEN metric = '{m}' THEN {fence[e]} END) AS {m}_{e}" for m in metrics for e in ("low", "high"))}
   FROM picked GROUP BY lang, source),
 judged AS (
   SELECT c.*, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,

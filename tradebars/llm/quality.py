@@ -4,7 +4,8 @@ Counts are taken from whole texts in Arrow batches. Thresholds come from a merge
 falls into a bucket of fixed relative width, and the sketch of a group is its bucket counts, so sketches of tasks, sources
 and languages merge by adding. Its size is bounded by the buckets, whatever the number of rows, and it gives the same
 thresholds however the rows are dealt out. A document is rejected when the fixed base rules fail it, or when a metric lies
-beyond the fence of its own (language, source).
+beyond the fence of its own (language, source). Fences come from the sketch's quartiles and tail: where most texts have none
+of something, the quartiles meet, and what the few with most of it have tells from where on it is too much.
 
 Defined results: a null or empty text has no words, so it is rejected by the base rules; null languages and sources form
 groups of their own; repeated rows count each time; an empty table gives an empty result; other columns pass through
@@ -34,13 +35,16 @@ WINDOW = 8
 
 #: Width of a sketch bucket: values of one bucket differ by 2 %; below the least value all fall into bucket 0.
 GAMMA, LEAST = 1.02, 1e-3
-#: Fence: the group's median plus or minus `REACH` times its spread, which counts as `spread` at least.
-REACH = 4.0
-#: metric: (least spread, whether a low value also counts against a document)
-#: The last one: where repeated lines are rare, a text goes when more than 30 % of its lines repeat earlier ones.
-METRICS = {"symbol_share": (0.02, False), "word_length": (0.75, True), "dup_line_share": (0.075, False)}
+#: Fence: the group's upper (or lower) quartile and `REACH` times the distance of its quartiles, or, where the tail reaches
+#: further, a share of the distance from its median to `TAIL` of it.
+REACH, TAIL = 6.0, 0.98
+#: metric: (least distance of quartiles, share of the tail, whether a low value also counts against a document)
+#: The least distances hold where a group's texts are all alike, as one odd sign in a text is no outlier even there.
+METRICS = {"symbol_share": (0.005, 0.2, False), "word_length": (0.1, 0.0, True), "dup_line_share": (0.02, 3.0, False)}
 #: Groups with fewer documents take the sketch of their language, and that one too that of all documents.
-ENOUGH = 50
+ENOUGH = 200
+QUANTILES = (0.25, 0.5, 0.75, TAIL)
+NAMES = [f"q{round(100 * q)}" for q in QUANTILES]
 #: (language, source) groups up to which the thresholds are broadcast; beyond, they are joined by key.
 BROADCAST_GROUPS = 100_000
 
@@ -130,31 +134,37 @@ def sketches(counted: DataFrame) -> DataFrame:
     return passed.groupBy("lang", "source", "metric", "bucket").agg(F.count("*").alias("n"))
 
 
-def _quartiles(merged: DataFrame, keys: list[str]) -> DataFrame:
+def _quantiles(merged: DataFrame, keys: list[str]) -> DataFrame:
     by = Window.partitionBy(*keys, "metric")
     ranked = merged.withColumns({"total": F.sum("n").over(by), "upto": F.sum("n").over(by.orderBy("bucket"))})
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bucket")))
-    return ranked.groupBy(*keys, "metric").agg(F.max("total").alias("total"), *[middle(at(q)).alias(f"q{round(100 * q)}") for q in (0.25, 0.5, 0.75)])
+    return ranked.groupBy(*keys, "metric").agg(F.max("total").alias("total"), *[middle(at(q)).alias(f"q{round(100 * q)}") for q in QUANTILES])
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row for each (lang, source): the low and high fence of every metric.
+def fences(sketch: DataFrame) -> DataFrame:
+    """(lang, source, metric, low, high, by): the fences, and whether `quartiles`, `tail` or the `least` distance decides the high one.
 
     A group with few documents merges into its language, and a language with few into all documents.
     """
     levels = [["lang", "source"], ["lang"], []]
-    tables = [_quartiles(sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n")), keys) for keys in levels]
+    tables = [_quantiles(sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n")), keys) for keys in levels]
     own = tables[0].alias("a")
     lang = tables[1].alias("b")
     every = tables[2].alias("c")
     joined = own.join(lang, F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.metric") == F.col("b.metric"))).join(F.broadcast(every), F.col("a.metric") == F.col("c.metric"))
     pick = lambda q: F.when(F.col("a.total") >= ENOUGH, F.col(f"a.{q}")).when(F.col("b.total") >= ENOUGH, F.col(f"b.{q}")).otherwise(F.col(f"c.{q}"))
-    spread = F.greatest(F.col("q75") - F.col("q25"), F.col("least"))
-    least = F.create_map(*[F.lit(x) for m, (s, _) in METRICS.items() for x in (m, s)])
-    fences = joined.select("a.lang", "a.source", F.col("a.metric").alias("metric"), *[pick(q).alias(q) for q in ("q25", "q50", "q75")]).withColumn("least", least[F.col("metric")])
-    fences = fences.withColumns({"low": F.col("q50") - REACH * spread, "high": F.col("q50") + REACH * spread})
+    of = lambda k: F.create_map(*[F.lit(x) for m, v in METRICS.items() for x in (m, v[k])])[F.col("metric")]
+    found = joined.select("a.lang", "a.source", F.col("a.metric").alias("metric"), *[pick(q).alias(q) for q in NAMES])
+    found = found.withColumns({"own": F.col("q75") - F.col("q25"), "tail": of(1) * (F.col("q98") - F.col("q50")), "floor": REACH * of(0)})
+    spread = REACH * F.greatest(F.col("own"), of(0))
+    by = F.when(F.col("tail") > spread, "tail").when(REACH * F.col("own") >= F.col("floor"), "quartiles").otherwise("least")
+    return found.select("lang", "source", "metric", (F.col("q25") - spread).alias("low"), (F.col("q75") + F.greatest(spread, "tail")).alias("high"), by.alias("by"))
+
+
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """One row for each (lang, source): the low and high fence of every metric."""
     one = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}_{c}")
-    return fences.groupBy("lang", "source").agg(*[one(m, c) for m, (_, both) in METRICS.items() for c in (("low", "high") if both else ("high",))])
+    return fences(sketch).groupBy("lang", "source").agg(*[one(m, c) for m, (*_, both) in METRICS.items() for c in (("low", "high") if both else ("high",))])
 
 
 def verdicts(docs: DataFrame, sketch: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -172,7 +182,7 @@ def verdicts(docs: DataFrame, sketch: DataFrame | None = None, keep: list[str] |
     small = renamed.count() <= BROADCAST_GROUPS
     joined = counted.join(F.broadcast(renamed) if small else renamed, counted["lang"].eqNullSafe(F.col("_lang")) & counted["source"].eqNullSafe(F.col("_source")), "left")
     odd = F.lit(False)
-    for m, (_, both) in METRICS.items():
+    for m, (*_, both) in METRICS.items():
         odd = odd | F.coalesce(_metric(m) > F.col(f"{m}_high"), F.lit(False))
         if both:
             odd = odd | F.coalesce(_metric(m) < F.col(f"{m}_low"), F.lit(False))
