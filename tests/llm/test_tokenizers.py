@@ -1,5 +1,6 @@
 import base64
 import random
+import time
 
 import pytest
 import public_tokenizers as P
@@ -47,6 +48,24 @@ def test_every_length_and_long_runs(encoding):
             at += n
 
 
+def test_long_cuts_take_the_heap_and_no_quadratic_time(encoding, monkeypatch):
+    """A million signs in seconds; the same ids as the library's where that is fast enough to ask."""
+    r = random.Random(8)
+    vocabulary, heaped = bpe.read(RANKS, P.PATTERN), []
+    inner = bpe.Vocabulary._heaped
+    monkeypatch.setattr(bpe.Vocabulary, "_heaped", lambda self, ids: heaped.append(len(ids)) or inner(self, ids))
+    letters = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    words = ["a" * 100_000, letters(100_000), "ab" * 257, letters(257), "é漢" * 3000, letters(256)]
+    for w, got in zip(words, vocabulary.merge([w.encode() for w in words]), strict=True):
+        assert got.tolist() == encoding.encode_ordinary(w)
+    assert len(heaped) == 5
+    began = time.perf_counter()
+    for w in ("a" * 1_000_000, letters(1_000_000)):
+        flat, counts = bpe.Encoder(vocabulary).encode([w])
+        assert b"".join(vocabulary.decode(flat, counts)) == w.encode()
+    assert time.perf_counter() - began < 60
+
+
 def test_every_character_splits_as_in_the_library(encoding):
     coder = bpe.Encoder(bpe.read(RANKS, P.PATTERN))
     texts = ["".join(f"a{chr(c)}{chr(c)} b" for c in range(a, a + 256) if not 0xD800 <= c < 0xE000) for a in range(0, 0x30000, 256)]
@@ -76,11 +95,15 @@ def test_token_counts_equal_the_library(spark):
         assert r.over_limit == (r.n_tokens > 300)
 
 
-def test_frequent_table_only_saves_work(spark):
-    docs = documents(spark)
-    table = {r.pre_token: r.n for r in tokens.frequent(docs, share=1e-3).collect()}
-    assert table and max(table.values()) > 50
+def test_frequent_table_only_saves_work():
     model, apart = tokens.load(MODEL)
-    assert apart
+    table = tokens.frequent(model)
+    assert apart and 10_000 < len(table) < model.get_piece_size() and " the" in table
     bare, full = tokens.Lengths(model, {}), tokens.Lengths(model, {w: tokens._length(model, w) for w in table})
-    assert all(bare[w] == full[w] for w in table)
+    assert all(bare[w] == full[w] == len(model.encode("x" + w)) - 1 for w in table[:: 7] if w[0] == " ")
+
+
+def test_token_counts_need_one_pass_and_no_exchange(spark, tmp_path):
+    documents(spark).write.parquet(f"{tmp_path}/docs")
+    plan = tokens.count_tokens(spark.read.parquet(f"{tmp_path}/docs"), MODEL)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1

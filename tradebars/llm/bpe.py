@@ -2,7 +2,8 @@
 
 Texts are cut by the vocabulary's pattern. The distinct cuts that a worker has not met before are grouped by length and
 laid into padded matrices, one cut a row; in each round every row merges its leftmost pair of least rank, found by a
-hashed pair lookup, and is compacted by one place. Results stay in a bounded cache of the worker. Nothing is shuffled.
+hashed pair lookup, and is compacted by one place. The rare cuts of more than `LONG` bytes make the same merges in the same
+order, but from a heap of (rank, place), so that a run of a million signs takes seconds. Results stay in a bounded cache of the worker. Nothing is shuffled.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; special strings in texts are ordinary text;
 repeated rows are encoded each; ids outside the vocabulary raise an error in `decode`; all other columns pass through,
@@ -12,6 +13,7 @@ and a column of the same name as an added one is replaced.
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -28,9 +30,8 @@ from tradebars.llm import _bytes as B
 CACHE = 300_000
 #: Cells of a matrix at most.
 CELLS = 1 << 18
-#: Rows longer than this merge, in a round, every place of their least pair and not only the leftmost, which gives the
-#: same ids where a merged token ranks after its parts (checked when the vocabulary is read).
-LONG = 96
+#: Cuts of more bytes than this, a round for each merge of which would take quadratic time, find each next merge in a heap.
+LONG = 256
 NONE = np.int32(0x7FFFFFFF)
 _SLOTS = 20
 
@@ -50,7 +51,7 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(ranks[t[:k]], ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        self.ordered = all(rank > max(a, b) for a, b, rank in pairs)
+        self.pairs = {a << 32 | b: rank for a, b, rank in pairs}
         self.keys = np.full(1 << _SLOTS, -1, np.int64)
         self.values = np.full(1 << _SLOTS, NONE, np.int32)
         a, b, rank = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
@@ -89,6 +90,8 @@ class Vocabulary:
         for i, word in enumerate(words):
             if (rank := self.ranks.get(word)) is not None:
                 out[i] = np.array([rank], np.int32)
+            elif len(word) > LONG:
+                out[i] = self._heaped(self.single[np.frombuffer(word, np.uint8)])
             else:
                 rest.append(i)
         rest.sort(key=lambda i: len(words[i]))
@@ -103,13 +106,13 @@ class Vocabulary:
             sizes = np.array([len(words[i]) for i in group])
             matrix = np.full((len(group), width), -1, np.int32)
             matrix[np.arange(width) < sizes[:, None]] = self.single[np.frombuffer(b"".join(words[i] for i in group), np.uint8)]
-            self._rounds(matrix, sizes, several=width > LONG and self.ordered)
+            self._rounds(matrix, sizes)
             for row, i, n in zip(matrix, group, sizes, strict=True):
                 out[i] = row[:n].copy()
             at = stop
         return out
 
-    def _rounds(self, ids: np.ndarray, sizes: np.ndarray, several: bool) -> None:
+    def _rounds(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Merge in place until no row has a pair that merges."""
         rows = np.arange(len(ids))  # those that may still merge
         work = ids
@@ -122,9 +125,6 @@ class Vocabulary:
                 rows, work, ranks, best = rows[live], work[live], ranks[live], best[live]
                 if not len(rows):
                     return
-            if several:
-                work, ranks = self._merge_all(work, ranks, best, rows, sizes)
-                continue
             each, place = np.arange(len(rows)), (ranks == best[:, None]).argmax(axis=1)
             columns = np.arange(work.shape[1])
             source = columns + (columns > place[:, None])
@@ -145,21 +145,37 @@ class Vocabulary:
                 r, c = each[ok], left[ok]
                 ranks[r, c] = self.pair_ranks(work[r, c], work[r, c + 1])
 
-    def _merge_all(self, work: np.ndarray, ranks: np.ndarray, best: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One round for long rows: every place of the least pair, from the left, without overlap."""
-        hit = ranks == best[:, None]
-        columns = np.arange(hit.shape[1])
-        gap = np.maximum.accumulate(np.where(hit, -1, columns), axis=1)
-        hit &= (columns - gap) % 2 == 1  # of a run of overlapping places, every other one
-        dead = np.zeros(work.shape, bool)
-        dead[:, 1:] = hit
-        work = work.copy()
-        work[:, :-1][hit] = np.broadcast_to(best[:, None], hit.shape)[hit]
-        work[dead] = -1
-        sizes[rows] -= hit.sum(axis=1)
-        order = np.argsort(work < 0, axis=1, kind="stable")
-        work = np.take_along_axis(work, order, axis=1)[:, : max(int(sizes[rows].max()), 2)]
-        return work, self.pair_ranks(work[:, :-1], work[:, 1:])
+    def _heaped(self, ids: np.ndarray) -> np.ndarray:
+        """The ids of one long cut: always the leftmost pair of least rank, by a heap; pairs that are gone are passed over."""
+        n = len(ids)
+        ranks = self.pair_ranks(ids[:-1], ids[1:]).astype(np.int64)
+        at = np.flatnonzero(ranks < NONE)
+        heap = (ranks[at] << 32 | at).tolist()
+        heapq.heapify(heap)
+        ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        now = np.append(ranks, NONE).tolist()  # the rank of the pair that begins at each place
+        none, pairs = int(NONE), self.pairs
+        while heap:
+            top = heapq.heappop(heap)
+            rank, place = top >> 32, top & 0xFFFFFFFF
+            if now[place] != rank:
+                continue
+            gone = after[place]
+            ids[place], ids[gone], now[gone] = rank, -1, none
+            after[place] = right = after[gone]
+            if right < n:
+                before[right] = place
+                now[place] = found = pairs.get(rank << 32 | ids[right], none)
+                if found != none:
+                    heapq.heappush(heap, found << 32 | place)
+            else:
+                now[place] = none
+            if (left := before[place]) >= 0:
+                now[left] = found = pairs.get(ids[left] << 32 | rank, none)
+                if found != none:
+                    heapq.heappush(heap, found << 32 | left)
+        out = np.array(ids, np.int32)
+        return out[out >= 0]
 
     def decode(self, flat: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of consecutive runs of ids."""
