@@ -112,3 +112,11 @@ def test_scan_with_clashing_columns(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert secrets.scan(empty).count() == 0 and secrets.redact(empty).count() == 0
+
+
+def test_a_lone_value_is_no_complement_of_itself(spark):
+    value = "Ab1" * 13 + "x"
+    texts = [f"user_id: {value}", value, f"user_id: {value} and {'Zz9' * 13}y", "https://host.example/?user_id=abc123", f"https://host.example/?user_id=abc123 {value} login: somebody"]
+    out = {r.doc_id: [(s.name, s.start) for s in r.spans] for r in secrets.scan(documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])).collect()}
+    assert out[0] == out[1] == out[3] == []
+    assert [n for n, _ in out[2]] == ["identifier", "secret"] and {n for n, _ in out[4]} >= {"secret", "identifier", "endpoint"}

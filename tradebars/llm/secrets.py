@@ -83,7 +83,10 @@ def spans(docs: DataFrame) -> DataFrame:
     before = F.max(F.when(strong, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(F.when(strong, F.col("start"))).over(by.rowsBetween(1, Window.unboundedFollowing))
     free = ~(F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False)))
-    parts = settle(_parts(docs).withColumn("free", free).where(strong | F.col("free")).drop("free"))
+    parts = _parts(docs).withColumn("free", free).where(strong | F.col("free")).drop("free")
+    # Of weak parts that overlap, the first is one thing with what it holds, which so is no complement of it.
+    over = F.max(F.when(~strong, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    parts = settle(parts.withColumn("over", over).where(strong | F.col("over").isNull() | (F.col("over") <= F.col("start"))).drop("over"))
 
     weak = parts.where(~strong)
     bucket = F.floor(F.col("start") / SCOPE)
