@@ -2,12 +2,12 @@
 
 Spark's built-in functions do all of it. Texts are lower-cased (A-Z) and cut into words. Base phrases are counted where
 their words stand consecutively. The index holds, for each word of the licence templates below, the templates and places
-where it stands. Word weights (IDF) are counted over all documents for the words of key phrases, and for others over the
-documents that hold one of these. For each document and template, the word of highest
-weight that the document shares with the template's key phrase is looked up; a hit at place p in the document and q in the
-template proposes that the template begins at p - q, and proposals are joined with the template's words at those places. A
-template, a licence's naming line or its body, counts when its mandatory key phrase stands there whole. As a whole key phrase has all its words, the one looked up
-is among them, so no phrase is missed. Its score is the weight of its matched words, as a share of all its words.
+where it stands. Word weights (IDF) of all words of templates are counted over all documents. Of each template's key phrase
+the `LOOKED_UP` words of highest weight are looked up: a word at place p in the document and q in the template proposes that
+the template begins at p - q, and the proposals of the words are intersected. Where all agree, the template's words are laid
+against those places. A template, a licence's naming line, its notice or its body, counts when its mandatory key phrase
+stands there whole. As a whole key phrase has all its words, those looked up are among them, so no phrase is missed. Its
+score is the weight of its matched words, as a share of all its words.
 
 Defined results: a null or empty text has no words, places or labels, and score 0; repeated rows get the same result each;
 rows with a null doc_id are told apart by their text; an empty table gives an empty result; ties in weight go by the
@@ -16,10 +16,11 @@ word; other columns play no part.
 
 from __future__ import annotations
 
+import math
 import re
 import string
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradebars.llm._tables import settle
@@ -31,6 +32,7 @@ TEMPLATES = (
     ("agpl-3.0", "gnu affero general public license version 3", "gnu affero general public license"),
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license", "not use this file except in compliance with the license"),
+    ("apache-2.0", "licensed under the apache license 2 0", "apache license 2 0"),
     ("artistic-2.0", "the artistic license 2 0", "artistic license 2 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
     ("bsd", "released under the bsd license", "bsd license"),
@@ -79,6 +81,24 @@ BODIES = (
         code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this
         software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our
         heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."""),
+    ("apache-2.0", "distributed under the license is distributed on an as is basis", """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+        http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("gpl-3.0", "either version 3 of the license or at your option any later version", """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either
+        version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General
+        Public License along with this program. If not, see"""),
+    ("bsl-1.0", "obtaining a copy of the software and accompanying documentation covered by this license", """
+        Boost Software License - Version 1.0 - August 17th, 2003 Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works
+        of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire
+        statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all
+        derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor."""),
+    ("mpl-2.0", "subject to the terms of the mozilla public license", """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/."""),
     ("zlib", "altered source versions must be plainly marked as such", """
         This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
         Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
@@ -86,10 +106,10 @@ BODIES = (
         acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as
         being the original software. 3. This notice may not be removed or altered from any source distribution."""),
 )
-#: Words of templates that are too common to be looked up; they still count in key phrases.
-COMMON = frozenset("0 1 2 3 4 a above all and any appear are as at be by copies copy except file for form free from in included into is may must name names neither nor not notice of only option or other person products provided purpose source specific such terms that the this to under use used v version which with without you your".split())
-#: Words looked up for each document and template.
-LOOKED_UP = 1
+#: Licences that a file names by an identifier line.
+IDENTIFIED = ("agpl-3.0", "apache-2.0", "artistic-2.0", "bsd-2-clause", "bsd-3-clause", "bsl-1.0", "cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0", "cc0-1.0", "epl-2.0", "gpl-2.0", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "mit", "mpl-2.0", "unlicense", "zlib")
+#: Words of a key phrase that are looked up.
+LOOKED_UP = 3
 #: Share of a body's weight from which on the whole licence stands in the text.
 WHOLE = 0.9
 _KEY = ["doc_id", "text_hash"]
@@ -99,7 +119,8 @@ _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def templates() -> list[tuple[str, list[str], list[str], bool]]:
     """(label, words, words of the key phrase, whether a body) of every template."""
     cut = lambda t: re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", t.lower()).split()
-    return [(label, cut(text), cut(key), False) for label, text, key in TEMPLATES] + [(label, cut(text), cut(key), True) for label, key, text in BODIES]
+    lines = [(label, f"spdx license identifier {label}", f"spdx license identifier {label}") for label in IDENTIFIED]
+    return [(label, cut(text), cut(key), False) for label, text, key in (*TEMPLATES, *lines)] + [(label, cut(text), cut(key), True) for label, key, text in BODIES]
 
 
 def _words() -> Column:
@@ -135,38 +156,40 @@ def base(docs: DataFrame) -> DataFrame:
     )
 
 
-def _index(spark) -> DataFrame:
-    """(template, label, body, place, word, key): the words of all templates, and whether they belong to the key phrase."""
+def _index(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
+    """(template, label, body, place, word, weight, key, looked_up): the words of all templates, whether they belong to the key
+    phrase, and how many words of that phrase are looked up where this is one of them, else null."""
     rows = []
     for t, (label, words, key, body) in enumerate(templates()):
         at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-        rows += [f"({t}, '{label}', {str(body).lower()}, {i}, '{w}', {str(at <= i < at + len(key)).lower()})" for i, w in enumerate(words)]
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, label, body, place, word, key)")
+        chosen = sorted(set(key), key=lambda w: (-weights[w], w))[:LOOKED_UP]
+        rows += [(t, label, body, i, w, weights[w], at <= i < at + len(key), len(chosen) if at <= i < at + len(key) and w in chosen else None) for i, w in enumerate(words)]
+    return spark.createDataFrame(rows, "template int, label string, body boolean, place int, word string, weight double, key boolean, looked_up int")
+
+
+def idf(docs: DataFrame, vocabulary: list[str]) -> dict[str, float]:
+    """The weight of each word of the vocabulary, by how many of all documents hold it; as many rows as words reach the driver."""
+    held = F.array_intersect(F.split(_words(), " "), F.array(*map(F.lit, vocabulary)))
+    counts = docs.select(F.explode(held).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    total, found = docs.count(), {r.word: r.n for r in counts.collect()}
+    return {w: 1 + math.log((total + 1) / (found.get(w, 0) + 1)) for w in vocabulary}
 
 
 def matched(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, label, score, whole) of the templates whose key phrase a text holds, one row a label; whole says
     whether a licence's whole body stands there, but for a tenth of its weight."""
-    spark = docs.sparkSession
-    index = _index(spark)
     vocabulary = sorted({w for _, words, _, _ in templates() for w in words})
-    rare = sorted({w for *_, key, _ in templates() for w in key if w not in COMMON})
+    index = _index(docs.sparkSession, idf(docs, vocabulary))
+    weighted = F.broadcast(index.select("template", "label", "body", "place", "word", "weight", "key"))
+    postings = F.broadcast(index.where("looked_up is not null").select("template", "word", "place", "looked_up"))
+    # A text with a whole key phrase holds the rarest of its words.
+    rarest = sorted({r.word for r in index.where("looked_up is not null").groupBy("template").agg(F.max_by("word", F.struct("weight", "word")).alias("word")).collect()})
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), _words().alias("words"))
-    held = rows.where(F.concat(F.lit(" "), "words", F.lit(" ")).rlike(f" (?:{'|'.join(map(re.escape, rare))}) "))
+    held = rows.where(F.concat(F.lit(" "), "words", F.lit(" ")).rlike(f" (?:{'|'.join(map(re.escape, rarest))}) "))
     hits = held.select(*_KEY, F.posexplode(F.split("words", " ")).alias("place", "word")).where(F.col("word").isin(vocabulary))
-    hits = settle(hits.repartition(*_KEY).dropDuplicates([*_KEY, "place"]))
-    total = docs.count()
-    counts = hits.where(~F.col("word").isin(sorted(COMMON))).dropDuplicates([*_KEY, "word"])
-    weights = settle(counts.groupBy("word").agg((1 + F.log(F.lit(total + 1) / (F.count("*") + 1))).alias("weight")))
-    weighted = F.broadcast(index.join(weights, "word", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0))))
-
-    share = counts.select(*_KEY, "word").join(weighted.where(F.col("key") & F.col("word").isin(rare)).select("word", "template", "weight").distinct(), "word")
-    best = Window.partitionBy(*_KEY, "template").orderBy(F.desc("weight"), "word")
-    looked_up = share.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= LOOKED_UP).select(*_KEY, "template", "word")
-    tokens = hits.withColumnRenamed("place", "at")
-    placed = looked_up.alias("l").join(tokens.alias("t"), F.col("l.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("l.text_hash") == F.col("t.text_hash")) & (F.col("l.word") == F.col("t.word"))).select("l.*", "at")
-    postings = F.broadcast(index.where("key").select("template", "word", "place"))
-    begins = placed.join(postings, ["template", "word"]).select(*_KEY, "template", (F.col("at") - F.col("place")).alias("begin")).distinct()
+    tokens = settle(hits.repartition(*_KEY).dropDuplicates([*_KEY, "place"]).withColumnRenamed("place", "at"))
+    proposed = tokens.join(postings, "word").select(*_KEY, "template", (F.col("at") - F.col("place")).alias("begin"), "word", "looked_up")
+    begins = proposed.groupBy(*_KEY, "template", "begin").agg(F.count_distinct("word").alias("n"), F.max("looked_up").alias("looked_up")).where("n = looked_up").select(*_KEY, "template", "begin")
 
     got = tokens.withColumn("there", F.lit(True)).alias("g")
 
