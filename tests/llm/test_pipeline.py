@@ -49,13 +49,13 @@ def brute_quality(data):
     out = []
     for r, c in counted:
         good = not failed(c)
-        for m, (least, both) in quality.METRICS.items() if good else ():
+        for m, (least, share, both) in quality.METRICS.items() if good else ():
             group = next((g for g in ((r[2], r[3]), (r[2],)) if len(seen[g, m]) >= quality.ENOUGH), ())
             held = sorted(seen[group, m])
             at = lambda q: held[math.ceil(q * len(held)) - 1]  # noqa: E731, B023
-            low, mid, high = (0.0 if (b := at(q)) <= 0 else quality.LEAST * quality.GAMMA ** (b - 0.5) for q in (0.25, 0.5, 0.75))
+            low, mid, high, tail = (0.0 if (b := at(q)) <= 0 else quality.LEAST * quality.GAMMA ** (b - 0.5) for q in (0.25, 0.5, 0.75, quality.TAIL))
             reach = quality.REACH * max(high - low, least)
-            good = good and value(m, c) <= mid + reach and not (both and value(m, c) < mid - reach)
+            good = good and value(m, c) <= high + max(reach, share * (tail - mid)) and not (both and value(m, c) < low - reach)
         if good:
             out.append(r)
     return out

@@ -36,8 +36,8 @@ def _bucket(x: str) -> str:
 def quality(docs: str = "documents") -> str:
     """CTEs that end in judged(doc_id, counts, base_failed, kept)."""
     metrics = {"symbol_share": "n_symbols / greatest(word_chars, 1)", "word_length": "word_chars / greatest(n_words, 1)", "dup_line_share": "n_dup_lines / greatest(n_lines, 1)"}
-    least = "CASE metric WHEN 'symbol_share' THEN 0.005 WHEN 'word_length' THEN 0.1 ELSE 0.02 END"
-    tail = "CASE metric WHEN 'symbol_share' THEN 0.2 WHEN 'word_length' THEN 0.0 ELSE 3.0 END"
+    least = "CASE metric WHEN 'symbol_share' THEN 0.005 WHEN 'word_length' THEN 0.2 ELSE 0.02 END"
+    tail = "CASE metric WHEN 'symbol_share' THEN 0.2 WHEN 'word_length' THEN 0.5 ELSE 3.0 END"
     spread = f"6.0 * greatest(q75 - q25, {least})"
     fence = {"low": f"q25 - {spread}", "high": f"q75 + greatest({spread}, {tail} * (q98 - q50))"}
     quartile = lambda q: f"min(CASE WHEN upto >= {q} * total THEN bucket END)"

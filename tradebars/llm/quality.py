@@ -40,7 +40,7 @@ GAMMA, LEAST = 1.02, 1e-3
 REACH, TAIL = 6.0, 0.98
 #: metric: (least distance of quartiles, share of the tail, whether a low value also counts against a document)
 #: The least distances hold where a group's texts are all alike, as one odd sign in a text is no outlier even there.
-METRICS = {"symbol_share": (0.005, 0.2, False), "word_length": (0.1, 0.0, True), "dup_line_share": (0.02, 3.0, False)}
+METRICS = {"symbol_share": (0.005, 0.2, False), "word_length": (0.2, 0.5, True), "dup_line_share": (0.02, 3.0, False)}
 #: Groups with fewer documents take the sketch of their language, and that one too that of all documents.
 ENOUGH = 200
 QUANTILES = (0.25, 0.5, 0.75, TAIL)
