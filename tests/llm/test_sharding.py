@@ -84,6 +84,32 @@ def test_tree_equals_brute_force(spark, monkeypatch):
     assert {x.doc_id: x.shard for x in out} == {d: leaves[h] for d, h in hashes.items()}
 
 
+def test_large_points_are_cut_by_the_tree(spark, monkeypatch):
+    """Of points that are all large, or most of the bytes, shards are near equal; with slack, the first cut keeps the order of its dimension."""
+    r = random.Random(6)
+    data = [(i, f"big{i} ".ljust(r.randint(1500, 4000), "b"), "en", "a", 1) for i in range(80)]
+    check(sharding.assign(documents(spark, data), 8).collect(), data, 8, 0.1)
+    with monkeypatch.context() as m:
+        m.setattr(sharding, "SLACK", 0.1)
+        where = check(sharding.assign(documents(spark, data), 8).collect(), data, 8, 0.25)
+    sizes = {zlib.crc32(t.encode()): len(t) for _, t, *_ in data}
+    sides = [{n for c, n in sizes.items() if next(iter(where[c])) // 4 == side} for side in (0, 1)]
+    assert max(sides[0]) <= min(sides[1])
+    data += [(100 + i, f"small{i} ".ljust(r.randint(20, 90), "s"), r.choice(["en", "fr"]), "b", 1) for i in range(2000)]
+    check(sharding.assign(documents(spark, data), 8).collect(), data, 8, 0.02)
+
+
+def test_a_point_beyond_a_shard_leaves_the_others_equal(spark):
+    data = [(i, f"text{i} ".ljust(100, "x"), "en", "a", 1) for i in range(2000)] + [(5000, "giant ".ljust(60000, "g"), "fr", "b", 1)]
+    out = sharding.assign(documents(spark, data), 8).collect()
+    check(out, data, 8)
+    sums = {}
+    for x in out:
+        sums[x.shard] = sums.get(x.shard, 0) + x.size
+    light = sorted(sums.values())[:-1]
+    assert max(sums.values()) == 60008 and light[0] > 0.98 * light[-1]
+
+
 def test_odd_rows_and_empty_table(spark):
     data = rows()
     out = sharding.assign(documents(spark).withColumn("shard", F.lit("clash")), 5).collect()

@@ -1,14 +1,17 @@
 """Sharding by a k-d tree with distributed weighted medians: the `bytes` law, sizes near equal.
 
 Texts that are equal are one point, so that copies share a shard. Only a group that exceeds a whole shard (`WHOLE`, a
-parameter) is dealt into points of a shard's weight at most, as no balance were possible otherwise. Points of more than
-`LARGE` of a shard, of which there are few, are placed first, the heaviest on the shard that holds least, since no cut
-through the others could balance them; the tree fills what they leave. A point has metadata dimensions (bytes of the text,
-language, source, least doc_id) and a weight, its bytes. A node that is to hold k shards is cut along its widest dimension
-at the weighted quantile that is its first floor(k / 2) shards' room as a share of its room, until every leaf is one shard.
+parameter) is dealt into points of a shard's weight at most, as no balance were possible otherwise. A point has metadata
+dimensions (bytes of the text, language, source, least doc_id) and a weight, its bytes. A node that is to hold k shards is
+cut along its widest dimension at the weighted quantile floor(k / 2) / k of all its points, until every leaf is one shard.
 The quantile is found by sums over bins, which are refined until the cut is within `TOLERANCE` of a shard: every round is
-one aggregation with map-side sums for all nodes of a level. Only bins come to the driver, at most `BINS` for each shard,
-and the large points, of which there are less than shards / `LARGE`.
+one aggregation with map-side sums for all nodes of a level.
+
+Points of more than `LARGE` of a shard are atoms of the quantile: the driver holds them (less than shards / `LARGE`), each
+goes to the side of the cut that it lies on, and the cut of the other points moves until both sides have their share. Where
+the atoms of a side can't be packed into its shards, within `SLACK` of a shard, or parts of one text would share a shard, the
+nearest cut between atoms that allows it is taken; where there is none, as in nodes of two or three shards that hold little
+else, the sides take the atoms as the packing has them. Only bins come to the driver besides, at most `BINS` for each shard.
 
 Defined results: a null text has no bytes, size 8 and checksum 0, and is equal to other nulls; null languages, sources and
 ids sort first; repeated rows get slots of their own; ties are told apart by the text's hash, so they don't depend on how
@@ -18,10 +21,12 @@ stay together even beyond a shard; other columns play no part.
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections import Counter
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tradebars.llm._tables import settle
@@ -29,8 +34,10 @@ from tradebars.llm._tables import settle
 BINS = 4096
 #: Shards' worth of equal texts up to which they stay in one shard.
 WHOLE = 1.0
-#: Shard's worth from which on a point is placed before the tree is grown.
+#: Shard's worth from which on a point is an atom, known to the driver.
 LARGE = 1 / 20
+#: Shard's worth that a cut between atoms may cost a shard.
+SLACK = 1 / 50
 TOLERANCE = 1 / 4000
 #: Lots for each shard that the copies of a text are dealt into by doc_id, before anything is shuffled by text.
 LOTS = 48
@@ -44,24 +51,20 @@ _DIMENSIONS = ("k_bytes", "k_lang", "k_source", "k_id")
 
 @dataclass
 class Node:
-    """A box of the tree that is to hold the shards in `rooms` (number, room)."""
+    """A box of the tree that is to hold `shards` shards from `first` on, and the large points in it."""
 
-    rooms: list[tuple[int, float]]
+    first: int
+    shards: int
+    large: list[Row] = field(default_factory=list)
     dimension: str = ""
     cut: int = 0
     sides: list[Node] = field(default_factory=list)
 
-    def open_leaves(self) -> list[Node]:
-        if self.sides:
-            return [n for s in self.sides for n in s.open_leaves()]
-        return [self] if len(self.rooms) > 1 else []
-
-    @property
-    def first(self) -> int:
-        return self.rooms[0][0]
+    def leaves(self) -> list[Node]:
+        return [n for s in self.sides for n in s.leaves()] if self.sides else [self]
 
     def number(self) -> Column:
-        """The first shard of the leaf that a point is in."""
+        """The first shard of the leaf that a point, not a large one, is in."""
         if not self.sides:
             return F.lit(self.first)
         return F.when(F.col(self.dimension) < self.cut, self.sides[0].number()).otherwise(self.sides[1].number())
@@ -101,37 +104,49 @@ def _points(lots: DataFrame, most: float, low: int, high: int) -> tuple[DataFram
     return dealt.select(*by, "lot"), points.select(*by, "weight", *[_key(v, tie, _BITS[k]).alias(k) for k, v in values.items()])
 
 
-def _placed_first(points: DataFrame, room: float, shards: int) -> tuple[dict[tuple[int, int], int], list[tuple[int, float]]]:
-    """The shard of each large point (text_hash, part), and what room that leaves every shard."""
-    large = points.where(F.col("weight") > LARGE * room).select("text_hash", "part", "weight").collect()
-    rooms = [(room, k) for k in range(shards)]
-    found = {}
+def _packed(large: list[Row], shards: int) -> list[list[Row]]:
+    """The heaviest first, each on the shard that holds least."""
+    packs: list[list[Row]] = [[] for _ in range(shards)]
+    heap = [(0, k) for k in range(shards)]
     for r in sorted(large, key=lambda r: (-r.weight, r.text_hash, r.part)):
-        left, k = max(rooms, key=lambda x: (x[0], -x[1]))
-        rooms[k] = (left - r.weight, k)
-        found[r.text_hash, r.part] = k
-    return found, [(k, left) for left, k in rooms if left > 0]
+        load, k = heap[0]
+        packs[k].append(r)
+        heapq.heapreplace(heap, (load + r.weight, k))
+    return packs
 
 
-def _cuts(points: DataFrame, root: Node, room: float) -> bool:
-    """Split every open leaf once; False when none was left."""
-    nodes = {n.first: n for n in root.open_leaves()}
-    if not nodes:
-        return False
-    placed = points.withColumn("node", root.number()).where(F.col("node").isin(list(nodes)))
-    ranges = {r.node: r for r in placed.groupBy("node").agg(F.sum("weight").alias("weight"), *[f(k).alias(f"{n}_{k}") for k in _DIMENSIONS for n, f in (("min", F.min), ("max", F.max))]).collect()}
-    whole = {k: max((r[f"max_{k}"] for r in ranges.values()), default=0) - min((r[f"min_{k}"] for r in ranges.values()), default=0) for k in _DIMENSIONS}
-    search = {}
-    for first, node in nodes.items():
-        left = len(node.rooms) // 2
-        share = sum(x for _, x in node.rooms[:left]) / sum(x for _, x in node.rooms)
-        node.dimension = _DIMENSIONS[0]
-        if r := ranges.get(first):
-            node.dimension = max(_DIMENSIONS, key=lambda k: (r[f"max_{k}"] - r[f"min_{k}"]) / max(1, whole[k]))
-            low, high = r[f"min_{node.dimension}"], r[f"max_{node.dimension}"] + 1
-            # low edge, width of a bin, weight below the low edge, weight wanted below the cut
-            search[first] = [low, -(-(high - low) // BINS), 0, r.weight * share]
-        node.sides = [Node(node.rooms[:left]), Node(node.rooms[left:])]
+def _loads(packs: list[list[Row]]) -> list[int]:
+    return [sum(r.weight for r in p) for p in packs]
+
+
+def _share(left: list[int], right: list[int], total: float) -> float:
+    """What the left side is to hold of the total, if every shard is filled to one level but for those whose load exceeds it."""
+    level, rest, loads = 0.0, total, sorted(left + right, reverse=True)
+    for i, load in enumerate(loads):
+        level = rest / (len(loads) - i)
+        if load <= level:
+            break
+        rest -= load
+    return sum(max(level, load) for load in left)
+
+
+def _sides(node: Node, total: float, room: float) -> tuple[list[Row], list[Row]]:
+    """The large points of both sides: those below the cut and the others, or as near to that as they can be packed."""
+    left, right = node.shards // 2, node.shards - node.shards // 2
+    order = sorted(node.large, key=lambda r: (r[node.dimension], r.text_hash, r.part))
+    at = sum(r[node.dimension] < node.cut for r in order)
+    packs = _packed(order, node.shards)
+    most = max((1 + SLACK) * room, total / node.shards, *_loads(packs))
+    parts = Counter(r.text_hash for r in order)
+    spread = lambda rs, k: all(n <= k * -(-parts[t] // node.shards) for t, n in Counter(r.text_hash for r in rs).items())
+    for i in sorted(range(len(order) + 1), key=lambda i: (abs(i - at), i)):
+        if spread(order[:i], left) and spread(order[i:], right) and max(_loads(_packed(order[:i], left)) + _loads(_packed(order[i:], right))) <= most:
+            return order[:i], order[i:]
+    return [r for p in packs[:left] for r in p], [r for p in packs[left:] for r in p]
+
+
+def _search(placed: DataFrame, search: dict[int, list], nodes: dict[int, Node], atoms: bool, room: float) -> None:
+    """Set each node's cut; `search` holds low edge, width of a bin, weight below the low edge and weight wanted below the cut."""
     while search:
         value = F.lit(None).cast("bigint")
         for first, (low, width, *_) in search.items():
@@ -139,21 +154,67 @@ def _cuts(points: DataFrame, root: Node, room: float) -> bool:
             inside = (F.col("node") == first) & (x >= low) & (x < low + width * BINS)
             value = F.when(inside, F.expr(f"({nodes[first].dimension} - {low}L) div {width}L")).otherwise(value)
         sums = placed.select("node", "weight", value.alias("bin")).where("bin is not null").groupBy("node", "bin").agg(F.sum("weight").alias("weight"))
-        bins: dict[int, list[tuple[int, int]]] = {}
+        bins: dict[int, dict[int, int]] = {first: {} for first in search}
         for r in sums.collect():
-            bins.setdefault(r.node, []).append((r.bin, r.weight))
+            bins[r.node][r.bin] = r.weight
         for first in list(search):
             low, width, below, wanted = search[first]
-            for at, weight in sorted(bins[first]):
+            node, every = nodes[first], dict(bins[first])
+            for r in node.large if atoms else []:
+                if low <= (x := r[node.dimension]) < low + width * BINS:
+                    every[(x - low) // width] = every.get((x - low) // width, 0) + r.weight
+            at, weight = 0, 0
+            for at, weight in sorted(every.items()):
                 if below + weight >= wanted:
                     break
                 below += weight
             near = min(wanted - below, below + weight - wanted)
-            if width == 1 or near <= TOLERANCE * room:
-                nodes[first].cut = low + (at + (below + weight - wanted < wanted - below)) * width
+            if width == 1 or near <= TOLERANCE * room or (atoms and bins[first].get(at, 0) <= TOLERANCE * room):
+                node.cut = low + (at + (below + weight - wanted < wanted - below)) * width
                 del search[first]
             else:
                 search[first] = [low + at * width, -(-width // BINS), below, wanted]
+
+
+def _cuts(points: DataFrame, root: Node, room: float) -> bool:
+    """Split every leaf of several shards once; False when there was none."""
+    nodes = {n.first: n for n in root.leaves() if n.shards > 1}
+    if not nodes:
+        return False
+    placed = points.withColumn("node", root.number()).where(F.col("node").isin(list(nodes)))
+    found = {r.node: r for r in placed.groupBy("node").agg(F.sum("weight").alias("weight"), *[f(k).alias(f"{n}_{k}") for k in _DIMENSIONS for n, f in (("min", F.min), ("max", F.max))]).collect()}
+    ranges, weights = {}, {}
+    for first, node in nodes.items():
+        r = found.get(first)
+        weights[first] = r.weight if r else 0
+        values = {k: [x[k] for x in node.large] + ([r[f"min_{k}"], r[f"max_{k}"]] if r else []) for k in _DIMENSIONS}
+        if values[_DIMENSIONS[0]]:
+            ranges[first] = {k: (min(v), max(v)) for k, v in values.items()}
+    whole = {k: max((r[k][1] for r in ranges.values()), default=0) - min((r[k][0] for r in ranges.values()), default=0) for k in _DIMENSIONS}
+    edges: dict[int, tuple[int, int]] = {}
+    search = {}
+    for first, node in nodes.items():
+        node.dimension = _DIMENSIONS[0]
+        if r := ranges.get(first):
+            node.dimension = max(_DIMENSIONS, key=lambda k: (r[k][1] - r[k][0]) / max(1, whole[k]))
+            low, high = r[node.dimension]
+            edges[first] = (low, -(-(high + 1 - low) // BINS))
+            total = weights[first] + sum(x.weight for x in node.large)
+            search[first] = [*edges[first], 0, total * (node.shards // 2 / node.shards)]
+    _search(placed, search, nodes, True, room)
+    again, large = {}, {}
+    for first, node in nodes.items():
+        large[first] = ([], [])
+        if node.large:
+            total = weights[first] + sum(x.weight for x in node.large)
+            large[first] = _sides(node, total, room)
+            loads = [_loads(_packed(x, k)) for x, k in zip(large[first], (node.shards // 2, node.shards - node.shards // 2), strict=True)]
+            if weights[first]:
+                again[first] = [*edges[first], 0, min(weights[first], max(0.0, _share(*loads, total) - sum(loads[0])))]
+    _search(placed, again, nodes, False, room)
+    for first, node in nodes.items():
+        left = node.shards // 2
+        node.sides = [Node(first, left, large[first][0]), Node(first + left, node.shards - left, large[first][1])]
     return True
 
 
@@ -164,14 +225,14 @@ def assign(docs: DataFrame, shards: int = 24, whole: float = WHOLE) -> DataFrame
     room = max(1.0, (sums["size"] or 0) / shards)
     dealt, points = _points(settle(_lots(rows)), whole * room, sums.low or 0, sums.high or 0)
     points = settle(points)
-    first, rooms = _placed_first(points, room, shards)
+    large = points.where(F.col("weight") > LARGE * room).select("text_hash", "part", "weight", *_DIMENSIONS).collect()
     small = points.where(F.col("weight") <= LARGE * room)
-    root = Node(rooms or [(0, room)])
+    root = Node(0, shards, large)
     while _cuts(small, root, room):
         pass
     numbers = small.select(*_TEXT, "part", root.number().alias("shard"))
-    if first:
-        held = docs.sparkSession.createDataFrame([(h, p, k) for (h, p), k in first.items()], "text_hash bigint, part bigint, shard int")
+    if large:
+        held = docs.sparkSession.createDataFrame([(r.text_hash, r.part, n.first) for n in root.leaves() for r in n.large], "text_hash bigint, part bigint, shard int")
         numbers = numbers.union(points.join(F.broadcast(held), ["text_hash", "part"]).select(*_TEXT, "part", "shard"))
     numbers = dealt.join(numbers, [*_TEXT, "part"]).drop("part")
     placed = rows.select("doc_id", "size", *_TEXT, "lot").join(numbers, [*_TEXT, "lot"]).drop("lot")
