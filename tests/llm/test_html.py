@@ -116,6 +116,36 @@ def test_parts_that_stood_out_before(weight):
     assert text(f"<article><p class=\"broken>{LONG}</p><p>{LONG}</article>") in (LONG, f"{LONG} {LONG}")
 
 
+def test_sections_under_class_words_are_judged_by_their_score(weight):
+    """A section of the article stays, whatever its class, if its text says so; a box of few words, links or a form does not."""
+    text = lambda part, shell="article": html.main_text(page(f"<{shell}><p>{LONG}</p>{part}<p>{LONG} z</p></{shell}>"), weight)
+    own = f"<h2>How it works</h2><p>{LONG} a</p><p>{LONG} b</p>"
+    for name in ("login", "cookie-recipes", "share"):
+        for tag in ("section", "div"):
+            assert text(f"<{tag} class='{name}'>{own}</{tag}>") == f"{LONG} How it works {LONG} a {LONG} b {LONG} z"
+    inner = "<div class=ad>Buy now</div><button>Go</button>"
+    assert text(f"<section class=login>{own}{inner}</section>") == f"{LONG} How it works {LONG} a {LONG} b {LONG} z"
+    boxes = [
+        f"<section class=login><p>{LONG} a</p><p>{LONG} b</p></section>", "<section class=login><h2>Log in</h2><form><p>Your name and your word</p></form></section>",
+        "<div class=newsletter><h3>Letters</h3><p>Get all of our news by mail, once a week, for free</p></div>",
+        "<div class=sidebar><h3>Topics</h3><ul>" + "<li><a href=/>a topic</a></li>" * 4 + "</ul></div>", f"<section class=comments>{own}</section>", f"<aside>{own}</aside>",
+    ]
+    for box in boxes:
+        assert text(box) == f"{LONG} {LONG} z", box
+    # Without its weights nothing is pardoned: the fitted scores decide, not the lists alone.
+    assert html.main_text(page(f"<article><p>{LONG}</p><section class=login>{own}</section></article>"), {**weight, "word@p": -1.0}) != f"{LONG} How it works {LONG} a {LONG} b"
+
+
+def test_the_stretch_chooses_where_several_regions_are_marked(weight, monkeypatch):
+    """Of several marked articles, or on a page without marks, the whole page in place of the stretch gives another text."""
+    teasers = "<div class=list>" + "".join(f"<div>link list {i}</div>" * 3 for i in range(12)) + "</div>"
+    unmarked = page(f"<div class=wrap><div id=text><p>{LONG}</p><p>{LONG}</p></div></div>{teasers}")
+    right = html.main_text(unmarked, weight)
+    assert right == f"{LONG} {LONG}"
+    monkeypatch.setattr(html, "best_stretch", lambda scores: (0, len(scores)))
+    assert html.main_text(unmarked, weight) != right
+
+
 def test_null_repeated_and_tied_pages(spark, weight):
     """Of two stretches of one score the first is taken; repeated rows give one row each."""
     twice = f"<div><p>{LONG} a</p></div>" + "<nav>" + "<a href=/>menu words</a> " * 80 + "</nav>" + f"<div><p>{LONG} b</p></div>"

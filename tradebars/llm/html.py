@@ -10,8 +10,9 @@ Where a page marks its article, words outside the mark score as frame.
 
 Class words condemn less than tags do. A class such as `post tags-ai`, of which one name says content, is no frame, nor
 is `has-sidebar`, which tells of another element. Where no marked article lies outside of frames, an element that only
-its class (or `form`) condemns is pardoned if it holds a marked article or most words of the page. Comments and related
-articles are never pardoned. Headings in the `header` of an article are its title and stay.
+its class (or `form`) condemns is pardoned if it holds a marked article or most words of the page. Within a marked article,
+a section that only its class condemns is pardoned by its score: if it has a heading and its tokens sum to more than
+`PARDON` words of a paragraph do, with what frames it holds left out. Comments and related articles are never pardoned. Headings in the `header` of an article are its title and stay.
 
 Weights are fitted on labelled pages: those that mark their main text themselves (`article`, `main` or an articleBody
 property) label their tokens. Counts are gathered by a Spark aggregation over a bounded sample of such pages, on top of
@@ -55,6 +56,8 @@ IMPLIED_ENDS = {
     "tbody": (("thead", "tbody", "tr"), ("table",)), "tfoot": (("thead", "tbody", "tr"), ("table",)),
 }
 PSEUDO = 200.0
+#: Words of running text that a section's score must be worth to outweigh a class that names it as a frame.
+PARDON = 40
 
 _ATTRIBUTES = r"""((?>[^>"']+|"[^"]*"|'[^']*')*)"""
 _TOKEN = re.compile(
@@ -193,6 +196,13 @@ class Page:
             for e in range(n):
                 if frames[e] == SOFT and (inner[e] or 2 * held[e] > total and not any(inner)):
                     frames[e] = NONE
+        self._own = frames
+        self._spread()
+
+    def _spread(self) -> None:
+        """Carry frames and marks down to the elements in them."""
+        n = len(self.tags)
+        frames = self._own
         self.framed = [False] * n
         self.region = [-1] * n  # the outermost element marked as content around each
         title = [False] * n
@@ -209,6 +219,31 @@ class Page:
                 self.region[e] = e
         self.marked = any(r >= 0 for r in self.region)
 
+    def pardon(self, weight: dict[str, float]) -> None:
+        """Lift the frame of sections of a marked article whose own score says that they are text of it."""
+        n = len(self.tags)
+        least = PARDON * weight.get("word@p", 0.0)
+        if least <= 0 or not any(self._condemned(e) for e in range(1, n)):
+            return
+        total, headed = [0.0] * n, [False] * n
+        for tag, count, e in self._tokens:
+            total[e] += count * weight.get("<" + tag if tag else "word@" + self._leaf(e), weight[""])
+            headed[e] |= tag in HEADINGS
+        for e in range(n - 1, 0, -1):
+            if self._own[e] == NONE:
+                total[self.parents[e]] += total[e]
+                headed[self.parents[e]] |= headed[e]
+        kept = [e for e in range(1, n) if self._condemned(e) and headed[e] and total[e] > least]
+        for e in kept:
+            self._own[e] = NONE
+        if kept:
+            self._spread()
+
+    def _condemned(self, e: int) -> bool:
+        """Whether only its class makes this section of a marked article a frame."""
+        p = self.parents[e]
+        return self._own[e] == SOFT and self.tags[e] in ("section", "div") and self.region[p] >= 0 and not self.framed[p]
+
     def _heads_article(self, e: int) -> bool:
         """Whether this is the header of an article in no other frame."""
         while self.tags[e] in ("div", "hgroup") and self.frames[e] == NONE:
@@ -230,7 +265,7 @@ class Page:
         out = []
         for tag, n, e in self._tokens:
             if tag:
-                own = self.frames[e] if self.tags[e] == tag else NONE
+                own = self._own[e] if self.tags[e] == tag else NONE
                 out.append(("<frame" if own and self.framed[e] else "<content" if self.marks[e] and self.tags[e] == tag else "<" + tag, n))
             elif self.framed[e] or (outside_is_frame and self.marked and self.region[e] < 0):
                 out.append(("word@frame", n))
@@ -339,6 +374,7 @@ def main_text(source: str | None, weight: dict[str, float]) -> str:
     if not source:
         return ""
     page = Page(source)
+    page.pardon(weight)
     unseen = weight[""]
     return page.text(*best_stretch([weight.get(t, unseen) * n for t, n in page.tokens()]))
 
