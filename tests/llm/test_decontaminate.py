@@ -226,3 +226,64 @@ def test_a_shared_preamble_makes_no_leak_and_few_rows(spark, monkeypatch):
     assert {k for k in by if k[0] < 500 or k[1] < 100} == {(500, 7)} and by[500, 7].n_matched == by[500, 7].n_windows
     assert (501, 105) in by and by[501, 105].kind == "exact"
     assert rows[0] < 400
+
+
+def test_leaks_by_shared_windows_alone_are_all_there(spark, monkeypatch):
+    """Items of shared passages with slots and their own tails: the pairs of classes and members equal brute force over all windows."""
+    r = random.Random(10)
+    word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(3))
+    words = lambda n: " ".join(word() for _ in range(n))
+    value = lambda: str(r.randint(1, 99))
+    shapes = [words(11), f"{words(4)} # {words(3)} @ {words(4)} # {words(3)}", f"{words(3)} # # {words(2)} # {words(3)} @ {words(2)}", f"{words(6)} # {words(4)}"]
+    filled = lambda t, a, b: t.replace("#", a).replace("@", b)
+    items = []
+    for i in range(60):
+        a = value()
+        first, *more = r.sample(shapes, r.randint(1, 2))
+        parts = [filled(first, a, r.choice([a, value()]))] + [filled(m, value(), value()) for m in more]
+        tail = words(r.choice([0, 2, 9]))
+        items.append((i, " ".join([words(r.randint(0, 3)), *parts, tail]).strip()))
+    items += [(70, items[0][1]), (0, items[1][1])]
+    docs = []
+    for i in range(60):
+        t = items[r.randrange(60)][1] if i % 3 == 0 else filled(r.choice(shapes), value(), value())
+        if i % 3 == 1:
+            t = " ".join(t.split()[r.randint(0, 2) : r.randint(9, 20)])
+        docs.append((i, f"{words(5)} {t} {words(5)}" + (f" {filled(r.choice(shapes), value(), value())}" if i % 4 == 0 else "")))
+    want = {(d, t, n, k) for d, j, n, k in brute_leaks(docs, list(enumerate(t for _, t in items))) for t in [(items[j][0], items[j][1])]}
+    table, benchmark = documents(spark, [(i, t, "en", "a", 1) for i, t in docs]), spark.createDataFrame(items, "item_id bigint, text string")
+    key = {x.k: (x.item_id, x.text) for x in benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("k")).collect()}
+    for common, screened in ((8, D.SCREENED), (2, 0), (10**6, D.SCREENED)):
+        monkeypatch.setattr(D, "COMMON", common)
+        monkeypatch.setattr(D, "SCREENED", screened)
+        found = D.leaks(table, benchmark, shared=True).cache()
+        got = [(x.doc_id, key[x.item_key], x.n_matched, x.kind) for x in D.pairs(found).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        rows = found.where("kind != 'member'").collect()
+        assert sum(x.n_items for x in rows) == len(want) and all(x.n_windows > 0 for x in rows)
+        alone = {(x.doc_id, x.item_id) for x in D.leaks(table, benchmark).collect()}
+        assert (common == 10**6) == (len(alone) == len({(d, t[0]) for d, t, *_ in want}))
+    assert {k for *_, k in want} == {"exact", "reparameterised"} and len(want) > 300
+
+
+def test_a_question_asked_with_many_numbers_is_found_with_another(spark):
+    """Twelve items differ in a number: a copy with a thirteenth, and one cut before the number, leak by what all share."""
+    items = [(i, f"how far does the slow red train go in {10 + i} hours") for i in range(12)]
+    docs = [(0, "they ask how far does the slow red train go in 99 hours of the day", "en", "a", 1), (1, "nothing of that is in here", "en", "a", 1)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = D.leaks(documents(spark, docs), benchmark, shared=True)
+    rows = found.where("kind != 'member'").collect()
+    assert [(x.doc_id, x.item_id, x.n_matched, x.n_windows, x.kind, x.n_items) for x in rows] == [(0, 0, 4, 4, "reparameterised", 12)]
+    assert sorted((x.doc_id, x.item_id) for x in D.pairs(found).collect()) == [(0, i) for i in range(12)]
+
+
+def test_a_shared_preamble_gives_one_row_a_document(spark):
+    preamble = "read the following question with care and then choose the one answer that is right for all cases"
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(3))
+    items = [(i, f"{preamble} {' '.join(word() for _ in range(14))}") for i in range(60)]
+    docs = [(i, f"{preamble} {' '.join(word() for _ in range(40))}", "en", "a", 1) for i in range(60)] + [(60, f"see {items[7][1]}", "en", "a", 1)]
+    found = D.leaks(documents(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"), shared=True).collect()
+    rows = [x for x in found if x.kind != "member"]
+    assert len(rows) == 62 and sum(x.n_items for x in rows) == 61 * 60 and len(found) == 62 + 60
+    assert sorted((x.item_id, x.n_items) for x in rows if x.doc_id == 60) == [(0, 59), (7, 1)]

@@ -9,7 +9,9 @@ stand for one value of the document throughout. So a question with other numbers
 has its shape is not. Where the values of an alignment are inconsistent, its templates count for nothing; windows that read
 the same count always.
 
-Windows that many items share, such as a preamble, count only beside others of the item (see `_met`).
+Windows that many items share, such as a preamble or a question asked with many numbers, are judged beside others of the
+item where a document has such. Where it has none, they are judged by `_by_classes` (with `shared`): items that these windows
+don't tell apart are one class and give one row a document, so nothing is lost and a shared preamble doesn't multiply.
 
 An item leaks into a document when `LEAST` of its windows join (all, if it has fewer, or as many as a copy with other values
 throughout can join by, if these are fewer); `kind` is exact where no slot of these differs, else reparameterised. Items of
@@ -36,7 +38,7 @@ WINDOW, LITERALS, LEAST, SHORTEST = 8, 5, 3, 4
 #: Benchmark windows up to which documents are screened by a broadcast table of their hashes (8 bytes each) before the join.
 SCREENED = 2_000_000
 BROADCAST_ROWS = 500_000
-#: Texts of items that may share a window which still counts for each of them by itself.
+#: Texts of items that may share a window which joins each of them by itself; beyond, it joins their classes.
 COMMON = 8
 
 #: Number words and units, in lower case.
@@ -201,29 +203,116 @@ def _sized(benchmark: DataFrame) -> DataFrame:
     return items.where(f"n_words >= {SHORTEST}").withColumns({"item_key": F.xxhash64("item_id", "text"), "item_hash": F.xxhash64("text")})
 
 
-def _met(hits: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
-    """The hits with the items' windows.
-
-    Windows that more than `COMMON` texts of items hold, such as a preamble that questions share, join only where a document
-    has another window of the item too, so they neither make a leak by themselves nor multiply; where an item has no other
-    windows, they do as any.
-    """
+def _told(wanted: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The items' windows that join by themselves, and those that more than `COMMON` texts of items hold and whose items have
+    others, or None where there are no such."""
     sizes = wanted.groupBy("window").agg(F.count_distinct("item_hash").alias("n")).where(F.col("n") > COMMON).select("window", F.lit(True).alias("common"))
     told = wanted.join(sizes, "window", "left").withColumn("common", F.coalesce("common", F.lit(False)))
     only = told.groupBy("item_key").agg(F.every("common").alias("only"))
     told = settle(told.join(only, "item_key").drop("item_hash"))
     own, common = told.where("only or not common").drop("common", "only"), told.where("common and not only").drop("common", "only")
-    if common.isEmpty():
-        return settle(hits.join(F.broadcast(own) if small else own, "window"))
-    hits = settle(hits)
+    return own, None if common.isEmpty() else common
+
+
+def _own_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "item_key").distinct()
+
+
+def _met(hits: DataFrame, own: DataFrame, common: DataFrame | None, small: bool) -> DataFrame:
+    """The hits with the items' windows: common ones join where a document has another window of the item too, so that they
+    don't multiply. What they join beyond is for `_by_classes`."""
     met = settle(hits.join(F.broadcast(own) if small else own, "window"))
-    pairs = met.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "item_key").distinct()
-    near = hits.join(pairs, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).drop("_d", "_h")
+    if common is None:
+        return met
+    near = hits.join(_own_pairs(met), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).drop("_d", "_h")
     return settle(met.unionByName(near.join(F.broadcast(common) if small else common, ["window", "item_key"])))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id, n_matched, n_windows, kind) of every leak."""
+#: How many windows of an item make a leak.
+_ENOUGH = f"least({LEAST}, n_windows, if(n_open > 0, n_open, null))"
+
+
+def _judged(met: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, item_id, item_key, n_matched, n_windows, kind) of the leaks among the joined windows; a window that
+    isn't `told` is not exact, whatever its values."""
+    by = ["doc_id", "text_hash", "item_id", "item_key", "n_windows", "n_open", "align"]
+    met = met.withColumn("align", F.col("place") - F.col("item_place")).select(*by, "item_place", "template", "told", F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("slots"))
+    values = met.select(*by, F.explode("slots").alias("s")).select(*by, "s.*")
+    values = values.groupBy(*by, "theirs").agg(F.min("ours").alias("low"), F.max("ours").alias("high"))
+    slots = values.groupBy(*by).agg(F.every(F.col("low") == F.col("high")).alias("consistent"), F.every((F.col("low") == F.col("theirs")) & (F.col("high") == F.col("theirs"))).alias("same"))
+    places = met.groupBy(*by).agg(*[F.collect_set(F.when(F.col("template") == t, F.col("item_place"))).alias(name) for name, t in (("verbatim", False), ("templates", True))], F.every("told").alias("told"))
+    same_key = F.expr("p.doc_id <=> s.doc_id and p.text_hash <=> s.text_hash and p.item_key = s.item_key and p.align = s.align")
+    joined = places.alias("p").join(slots.alias("s"), same_key, "left").select("p.*", F.coalesce("consistent", F.lit(True)).alias("consistent"), F.coalesce("same", F.lit(True)).alias("same"))
+    # What is left of an inconsistent alignment reads the same, so no slot of it differs.
+    joined = joined.withColumns({"places": F.when(F.col("consistent"), F.array_union("verbatim", "templates")).otherwise(F.col("verbatim")), "same": F.col("same") & F.col("told") | ~F.col("consistent")})
+    by.remove("align")
+    found = joined.where(F.size("places") > 0).groupBy(*by).agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_matched"), F.every("same").alias("same"))
+    return found.where(F.col("n_matched") >= F.expr(_ENOUGH)).select(
+        "doc_id", "text_hash", "item_id", "item_key", "n_matched", F.col("n_windows").cast("bigint").alias("n_windows"), F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind")
+    )
+
+
+def _classes(common: DataFrame) -> DataFrame:
+    """(class_id, members array<(item_id, item_key, n_windows)>): the items that no document tells apart by common windows alone.
+
+    Those of one class have the same common windows at the same distances, slots that are equal to each other in the same
+    places, and need as many windows. So a document's alignments with them, and what is consistent there, are the same. As is the
+    kind (see `_tell`).
+    """
+    by = ["item_key", "at", "window"]
+    first = common.groupBy("item_key").agg(F.min("item_place").alias("first"))
+    placed = settle(common.join(first, "item_key").withColumn("at", F.col("item_place") - F.col("first")))
+    values = placed.select(*by, F.posexplode("item_slots").alias("i", "value"))
+    names = values.groupBy("item_key", "value").agg(F.min(F.struct("at", "window", "i")).alias("name"))
+    patterns = values.join(names, ["item_key", "value"]).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("i", "name"))).alias("pattern"))
+    item = ["item_key", "item_id", "n_windows", "n_open"]
+    told = placed.join(patterns, by, "left").groupBy(*item).agg(F.sort_array(F.collect_list(F.struct("at", "window", "pattern"))).alias("windows"), F.count_distinct("at").alias("places"))
+    # An item with fewer common places than it needs has no leak by these alone.
+    told = told.where(F.col("places") >= F.expr(_ENOUGH)).withColumn("class_id", F.xxhash64("windows", F.expr(_ENOUGH)))
+    return told.groupBy("class_id").agg(F.sort_array(F.collect_list(F.struct("item_id", "item_key", F.col("n_windows").cast("bigint").alias("n_windows")))).alias("members"))
+
+
+def _tell(windows: DataFrame) -> DataFrame:
+    """The windows of items with `told`: whether the literal windows within a template are there too.
+
+    If a document has a template's values as a member has them, it has the member's literal windows in it. Where these aren't
+    common, it so has another window of the member; where they are, all of the class have them, with the same values.
+    """
+    n = F.size("item_slots")
+    literal = windows.where(n == 0).select("item_key", F.col("item_place").alias("inner"), F.lit(True).alias("there"))
+    inner = windows.where(n > 0).select("item_key", "window", "item_place", F.explode(F.sequence(F.col("item_place"), F.col("item_place") + F.greatest(F.lit(0), n + LITERALS - WINDOW))).alias("inner"))
+    told = inner.join(literal, ["item_key", "inner"], "left").groupBy("item_key", "window", "item_place").agg(F.every(F.coalesce("there", F.lit(False))).alias("told"))
+    return windows.join(told, ["item_key", "window", "item_place"], "left").withColumn("told", F.coalesce("told", F.lit(True)))
+
+
+def _by_classes(hits: DataFrame, common: DataFrame, own_pairs: DataFrame, small: bool) -> DataFrame:
+    """The leaks by common windows alone, into documents that have no other window of the item: (doc_id, text_hash, item_id,
+    item_key, n_matched, n_windows, kind, class_id, n_items, except_keys) of documents with classes, and the classes' members."""
+    classes = settle(_classes(common))
+    named = classes.select("class_id", F.col("members")[0].alias("first"), F.size("members").alias("n"))
+    windows = settle(_tell(common.join(named.select(F.col("first.item_key").alias("item_key")), "item_key", "left_semi")))
+    found = _judged(settle(hits.join(F.broadcast(windows) if small else windows, "window"))).drop("item_id", "n_windows")
+    found = found.join(named.withColumn("item_key", F.col("first.item_key")), "item_key").drop("item_key")
+    # Members of which the document has other windows too are judged by all of them, so they don't count here.
+    members = classes.select("class_id", F.explode("members").alias("member"))
+    others = own_pairs.join(members.withColumn("item_key", F.col("member.item_key")), "item_key").groupBy("_d", "_h", F.col("class_id").alias("_c")).agg(F.collect_list("member").alias("others"))
+    rest = others.join(classes, F.col("_c") == F.col("class_id")).select("_d", "_h", "_c", F.col("others.item_key").alias("except_keys"), F.array_except("members", "others").alias("rest"))
+    rest = rest.select("_d", "_h", "_c", "except_keys", F.array_min("rest").alias("_first"), F.size("rest").alias("_n"))
+    here = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")) & (F.col("class_id") == F.col("_c"))
+    found = found.join(rest, here, "left").withColumns({"first": F.when(F.col("_c").isNull(), F.col("first")).otherwise(F.col("_first")), "n": F.coalesce("_n", "n").cast("bigint")}).where("n > 0")
+    found = settle(found.select("doc_id", "text_hash", "first.item_id", "first.item_key", "n_matched", "first.n_windows", "kind", "class_id", F.col("n").alias("n_items"), "except_keys"))
+    members = members.join(found.select("class_id").distinct(), "class_id", "left_semi").select("member.*", "class_id", F.lit("member").alias("kind"))
+    return found.unionByName(members, allowMissingColumns=True)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, shared: bool = False) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_matched, n_windows, kind) of every leak but those by common windows alone.
+
+    With `shared` these are there too, a row for each document and class of items that it can't tell apart: the row has the
+    least of the items that it stands for, their number (n_items), the class (class_id) and those of the class that it doesn't
+    stand for (except_keys), as they have rows of their own or don't leak. Rows of kind `member`, without a document, give the
+    items (item_id, item_key) of each class that is met. `pairs` makes all pairs of them.
+    """
     spark = docs.sparkSession
     items = settle(_sized(benchmark))
     short = sorted(r.n_words for r in items.where(f"n_words < {WINDOW}").select("n_words").distinct().collect())
@@ -239,22 +328,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         screen = spark.sparkContext.broadcast(np.sort(known.astype(np.int64).view(U)))
     wanted = wanted.select("window", "item_id", "item_key", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.greatest(F.col("n_words") - WINDOW + 1, F.lit(1)).alias("n_windows"), "n_open", "item_hash")
     hits = _windows(docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text")), "text", ["doc_id", "text_hash"], [*short, WINDOW], screen)
-    met = _met(hits, wanted, small)
-    by = ["doc_id", "text_hash", "item_id", "item_key", "n_windows", "n_open", "align"]
-    met = met.withColumn("align", F.col("place") - F.col("item_place")).select(*by, "item_place", "template", F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("slots"))
-    values = met.select(*by, F.explode("slots").alias("s")).select(*by, "s.*")
-    values = values.groupBy(*by, "theirs").agg(F.min("ours").alias("low"), F.max("ours").alias("high"))
-    slots = values.groupBy(*by).agg(F.every(F.col("low") == F.col("high")).alias("consistent"), F.every((F.col("low") == F.col("theirs")) & (F.col("high") == F.col("theirs"))).alias("same"))
-    places = met.groupBy(*by).agg(*[F.collect_set(F.when(F.col("template") == t, F.col("item_place"))).alias(name) for name, t in (("verbatim", False), ("templates", True))])
-    same_key = F.expr("p.doc_id <=> s.doc_id and p.text_hash <=> s.text_hash and p.item_key = s.item_key and p.align = s.align")
-    joined = places.alias("p").join(slots.alias("s"), same_key, "left").select("p.*", F.coalesce("consistent", F.lit(True)).alias("consistent"), F.coalesce("same", F.lit(True)).alias("same"))
-    # What is left of an inconsistent alignment reads the same, so no slot of it differs.
-    joined = joined.withColumns({"places": F.when(F.col("consistent"), F.array_union("verbatim", "templates")).otherwise(F.col("verbatim")), "same": F.col("same") | ~F.col("consistent")})
-    by.remove("align")
-    found = joined.where(F.size("places") > 0).groupBy(*by).agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_matched"), F.every("same").alias("same"))
-    return found.where(F.col("n_matched") >= F.least(F.lit(LEAST), "n_windows", F.when(F.col("n_open") > 0, F.col("n_open")))).select(
-        "doc_id", "text_hash", "item_id", "n_matched", F.col("n_windows").cast("bigint").alias("n_windows"), F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind")
-    )
+    own, common = _told(wanted)
+    if common is not None:
+        hits = settle(hits)
+    met = _met(hits, own, common, small)
+    found = _judged(met.withColumn("told", F.lit(True)))
+    if not shared:
+        return found.drop("item_key")
+    found = found.withColumns({"class_id": F.lit(None).cast("bigint"), "n_items": F.lit(1).cast("bigint"), "except_keys": F.lit(None).cast("array<bigint>")})
+    return found if common is None else found.unionByName(_by_classes(hits, common, _own_pairs(met), small))
+
+
+def pairs(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, item_id, item_key, n_matched, n_windows, kind) of every pair that rows of `leaks` with `shared` stand for."""
+    columns = ["doc_id", "text_hash", "item_id", "item_key", "n_matched", "n_windows", "kind"]
+    members = found.where("kind = 'member'").select("class_id", "item_id", "item_key", "n_windows")
+    classes = found.where("kind != 'member' and class_id is not null").drop("item_id", "item_key", "n_windows").join(members, "class_id")
+    classes = classes.where("except_keys is null or not array_contains(except_keys, item_key)")
+    return found.where("class_id is null").select(columns).union(classes.select(columns))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
