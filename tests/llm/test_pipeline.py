@@ -124,6 +124,22 @@ def test_odd_documents(spark, tmp_path):
     assert sorted(str(x.doc_id) for x in out) == sorted(str(d) for d, _ in want) and all(x.n_tokens > 0 for x in out)
 
 
+def test_leaks_by_shared_windows_alone_go(spark, tmp_path):
+    """Of items that share a preamble or differ in a number, what all of them share makes a leak, as brute force over all windows says."""
+    r = random.Random(13)
+    make = lambda n: " ".join(f"w{''.join(r.choice('abcdefgh') for _ in range(5))}" for _ in range(n))
+    preamble = make(17)
+    items = [(i, f"{preamble} {make(12)}") for i in range(12)] + [(20 + i, f"how far does the slow red train go in {10 + i} hours") for i in range(12)]
+    texts = [make(40), f"{make(9)} {preamble} {make(9)}", f"{make(9)} {items[3][1]}", f"{make(9)} how far does the slow red train go in 99 hours", f"{make(9)} how far does the slow red train go", f"{make(9)} how far does the slow red train go in many", make(20)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)] + [(None, texts[1], None, None, 1), (3, texts[0], "en", "a", 1)], SCHEMA)
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    gone = {t for t, *_ in test_decontaminate.brute_leaks([(t, t) for t in texts], items)}
+    assert gone == {texts[i] for i in (1, 2, 3)}
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(((x.doc_id, x.text) for x in kept.collect()), key=str) == sorted([(i, t) for i, t in enumerate(texts) if t not in gone] + [(3, texts[0])], key=str)
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -349,8 +349,8 @@ def pairs(found: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents into which no item leaks, with the columns they came with."""
-    found = settle(leaks(docs, benchmark).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct())
+    """The documents into which no item leaks, be it by common windows alone, with the columns they came with."""
+    found = settle(leaks(docs, benchmark, shared=True).where("kind != 'member'").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct())
     small = found.count() <= BROADCAST_ROWS
     inner, restore = shield(docs, ["_d", "_h", "_t"])
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h"))
