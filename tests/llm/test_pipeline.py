@@ -1,12 +1,16 @@
 """The pipeline against a brute-force version of each stage's decisions."""
 
+import ctypes
 import hashlib
 import math
 import random
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import corpus_pipeline
 import public_tokenizers as P
+import pyarrow as pa
 import test_decontaminate
 import test_jaccard
 import test_quality_rules
@@ -14,7 +18,7 @@ import test_secrets
 
 from pyspark.sql import functions as F
 
-from tradebars.llm import bpe, quality
+from tradebars.llm import bpe, decontaminate, jaccard, quality
 from tradebars.llm._tables import settle
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -145,3 +149,35 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert [len(x) for x in corpus_pipeline.STAGES] == [2] * 5
+
+
+def test_workers_give_back_their_memory(spark):
+    """Python workers outlive a stage beside their executor's heap: after its tasks they hold no more than they need."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: F.hex(F.xxhash64("doc_id", i).bitwiseAND(0xFFFFFFFF)))
+    docs = settle(spark.range(0, 8000, 1, 4).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words).alias("text")))
+
+    def free(it):
+        """MB that the C library holds free."""
+        for batch in it:
+            held = lambda: int(Path("/proc/self/smaps_rollup").read_text().split("\nAnonymous:")[1].split()[0]) / 1024
+            before = held()
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+            time.sleep(1)  # so that each task has a worker of its own
+            yield pa.RecordBatch.from_arrays([pa.array([before - held()])], names=["mb"])
+
+    held = {}
+    for name, stage in {
+        "quality": lambda: quality.counts(docs),
+        "shingles": lambda: jaccard._screen(docs, 16),
+        "cut": lambda: jaccard._cut(docs, 16),
+        "windows": lambda: decontaminate._windows(docs.limit(800), "text", ["doc_id"], [decontaminate.WINDOW]),
+        "bpe": lambda: bpe.encode(docs.limit(400), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN),
+    }.items():
+        spark.sparkContext.environment["STAGE"] = name  # workers of its own
+        try:
+            stage().write.format("noop").mode("overwrite").save()
+            held[name] = max(r.mb for r in spark.range(0, 4, 1, 4).mapInArrow(free, "mb double").collect())
+        finally:
+            del spark.sparkContext.environment["STAGE"]
+    assert max(held.values()) < 24, held

@@ -257,6 +257,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     added = ["ids", "decoded"] if decoded else ["ids"]
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
 
+    @B.lean
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = read(ranks_path if "/" in ranks_path else SparkFiles.get(ranks_path), pattern)
         encoder = Encoder(vocabulary)
@@ -277,6 +278,7 @@ def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", keep: list[str] |
     """The columns in `keep` (all by default) and `decoded binary`, the bytes that the ids stand for."""
     names = [c for c in (docs.columns if keep is None else keep) if c != "decoded"]
 
+    @B.lean
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = read(ranks_path if "/" in ranks_path else SparkFiles.get(ranks_path), "")
         for batch in it:

@@ -161,6 +161,7 @@ _FIELDS = "window bigint, place int, template boolean, slots array<bigint>"
 def _windows(table: DataFrame, text: str, names: list[str], sizes: list[int], screen=None) -> DataFrame:
     """The columns in `names`, n_windows of the size of each text, and its windows (those of the screen only)."""
 
+    @B.lean
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = screen.value if screen is not None else None
         flags = None
@@ -193,6 +194,7 @@ def _windows(table: DataFrame, text: str, names: list[str], sizes: list[int], sc
 def _sized(benchmark: DataFrame) -> DataFrame:
     """The items (key, item_id, text, n_words, n_open: windows by which a copy with other values throughout joins)."""
 
+    @B.lean
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             words = Canonical(batch.column(1))

@@ -36,7 +36,8 @@ signature, whose chance of any collision is about 3 % among a thousand million s
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -124,8 +125,22 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
+def _batches(rows: Iterable[tuple], fields: list[tuple[str, pa.DataType]]) -> Iterator[pa.RecordBatch]:
+    """Batches of the rows with about CHUNK_BYTES of bytes each, so that neither side of the task holds all of them."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= B.CHUNK_BYTES:
+            yield _batch(held, fields)
+            held, size = [], 0
+    if held:
+        yield _batch(held, fields)
+
+
 def _held(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[tuple[np.ndarray, ...]]]:
-    """Lists of parts whose first arrays have HELD values together, about."""
+    """Lists of parts whose first arrays have HELD values together, about. The taker may clear a list to free its parts."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for part in parts:
@@ -163,22 +178,28 @@ def _screen(docs: DataFrame, fragments: int) -> DataFrame:
                 front = rank < np.repeat(sizes - _need(sizes) + _extra(sizes), sizes)
                 yield hashes[front], np.repeat(sigs, sizes)[front], sizes.astype(np.int64), sigs, part.column(0).to_pylist()
 
+    @B.lean
     def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spread = TaskContext.get().partitionId() * 7919
         for number, held in enumerate(_held(fronts(it))):
-            hashes, keys = _distinct(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            of_texts = [h[2:] for h in held]
+            hashes, keys = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            held.clear()
+            hashes, keys = _distinct(hashes, keys)
             first = _common(hashes)[0]
             rank = np.arange(len(hashes)) - np.repeat(first, np.diff(np.append(first, len(hashes))))
             own, n_own = np.unique(keys[rank > 1], return_counts=True)
             own, n_own = np.append(own, ~U(0)), np.append(n_own, 0)
             hashes, keys = hashes[rank < 2], keys[rank < 2]
-            rows = [(f, None, None, None, k, h) for f, k, h in _pieces(_fragment(hashes, fragments), keys, hashes)]
-            sigs = np.concatenate([h[3] for h in held])
+            del first, rank
+            sigs = np.concatenate([t[1] for t in of_texts])
             at = np.searchsorted(own, sigs)
             counted = np.where(own[at] == sigs, n_own[at], 0).astype(np.int64)
-            rows.append((-1 - (spread + number) % fragments, [d for h in held for d in h[4]], np.concatenate([h[2] for h in held]).tobytes(), counted.tobytes(), sigs.tobytes(), None))
-            yield _batch(rows, fields)
+            texts = (-1 - (spread + number) % fragments, [d for t in of_texts for d in t[2]], np.concatenate([t[0] for t in of_texts]).tobytes(), counted.tobytes(), sigs.tobytes(), None)
+            pieces = ((f, None, None, None, k, h) for f, k, h in _pieces(_fragment(hashes, fragments), keys, hashes))
+            yield from _batches(chain(pieces, [texts]), fields)
 
+    @B.lean_group
     def count(table: pa.Table) -> pa.Table:
         keys = _joined(table, "keys")
         if table.column("fragment")[0].as_py() < 0:
@@ -220,15 +241,19 @@ def _cut(docs: DataFrame, fragments: int) -> DataFrame:
                 hashes, sizes, sigs = shingles(part.column(0))
                 yield hashes, np.repeat(sigs, sizes)
 
+    @B.lean
     def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _held(sets(it)):
-            hashes, keys = _distinct(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            hashes, keys = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            held.clear()
+            hashes, keys = _distinct(hashes, keys)
             first = _common(hashes)[0]
             times = np.diff(np.append(first, len(hashes))).astype(np.int32)
-            rows = [(f, k, h, None, None) for f, k, h in _pieces(_fragment(hashes, fragments), keys, hashes)]
-            rows += [(f, None, None, h, t) for f, h, t in _pieces(_fragment(hashes[first], fragments), hashes[first], times)]
-            yield _batch(rows, fields)
+            sets_of = ((f, k, h, None, None) for f, k, h in _pieces(_fragment(hashes, fragments), keys, hashes))
+            counts_of = ((f, None, None, h, t) for f, h, t in _pieces(_fragment(hashes[first], fragments), hashes[first], times))
+            yield from _batches(chain(sets_of, counts_of), fields)
 
+    @B.lean_group
     def total(table: pa.Table) -> pa.Table:
         hashes, times = _joined(table, "seen"), _joined(table, "times", np.int32)
         order = np.argsort(hashes, kind="stable")
@@ -239,13 +264,15 @@ def _cut(docs: DataFrame, fragments: int) -> DataFrame:
         sums = sums[common]
         return pa.table({"fragment": table.column("fragment").slice(0, 1), "seen": pa.array([hashes[first[common]].tobytes()], pa.binary()), "times": pa.array([np.minimum(sums, 2**31 - 1).astype(np.int32).tobytes()], pa.binary()), "pairs": pa.array([int(sums.sum())], pa.int64())})
 
+    @B.lean
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for fragment, parts, keys, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys, hashes = np.frombuffer(keys, U), np.frombuffer(hashes, U)
-                rows = [(fragment, part, k, h, None, None) for part, k, h in _pieces((keys % U(parts)).astype(np.int64), keys, hashes)]
-                yield _batch(rows, [fields[0], ("part", pa.int32()), *fields[1:]])
+                rows = ((fragment, part, k, h, None, None) for part, k, h in _pieces((keys % U(parts)).astype(np.int64), keys, hashes))
+                yield from _batches(rows, [fields[0], ("part", pa.int32()), *fields[1:]])
 
+    @B.lean_group
     def mark(table: pa.Table) -> pa.Table:
         hashes, keys = _distinct(_joined(table, "hashes"), _joined(table, "keys"))
         seen, times = _joined(table, "seen"), _joined(table, "times", np.int32)
@@ -303,6 +330,7 @@ def _prefixes(cut: DataFrame, classes: DataFrame) -> DataFrame:
     how many of its shingles no other class has, and the bits of the others."""
     words = [f"b{i}" for i in range(MARKS // 64)]
 
+    @B.lean
     def take(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_runs(it, "sig"):
             lengths = np.array([len(x) for x in table.column("hashes").to_pylist()]) // 8
@@ -339,6 +367,7 @@ def _overlaps(cut: DataFrame, pairs: DataFrame) -> DataFrame:
     rows = leaders.union(members).withColumn("place", F.xxhash64("lead", "fragment", "salt"))
     rows = rows.select("place", "lead", "member", "hashes").repartition("place").sortWithinPartitions("place", F.asc_nulls_first("member"))
 
+    @B.lean
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader: tuple[np.ndarray, np.ndarray] = np.zeros(0, np.int64), np.zeros(0, U)
         for batch in it:
@@ -457,6 +486,7 @@ def _tiled(open_rows: DataFrame) -> DataFrame:
     place = F.xxhash64("hash", F.least("own", "other"), F.greatest("own", "other"))
     rows = own.select(place.alias("tile"), F.sign(F.col("other") - F.col("own")).cast("int").alias("side"), "sig", "n", "place", "score", "label", "marks.*")
 
+    @B.lean_group
     def near(table: pa.Table) -> pa.Table:
         at = {c: table.column(c).to_numpy() for c in ("side", "sig", "n", "place", "score", "label", "lone")}
         bits = np.stack([table.column(f"b{i}").to_numpy() for i in range(MARKS // 64)])

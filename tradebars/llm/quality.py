@@ -93,6 +93,7 @@ def counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     docs = docs.select(*dict.fromkeys([*names, text]))
     where = docs.columns.index(text)
 
+    @B.lean
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for part in B.chunks(batch, text):
